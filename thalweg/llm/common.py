@@ -89,10 +89,10 @@ def running_before(df: DataFrame, keys: Sequence[str], bucket: str, order: Seque
     keys = list(keys)
     sums = df.groupBy(*keys, bucket).agg(F.sum(weight).alias("__sum"))
     earlier = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select(*keys, bucket, F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__start"))
+    starts = sums.select(*keys, bucket, F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__offset"))
     within = Window.partitionBy(*keys, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return (
         df.join(starts, [*keys, bucket])
-        .withColumn(name, F.col("__start") + F.coalesce(F.sum(weight).over(within), F.lit(0)))
-        .drop("__start")
+        .withColumn(name, F.col("__offset") + F.coalesce(F.sum(weight).over(within), F.lit(0)))
+        .drop("__offset")
     )

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_classifier, quality_rules
-from .common import crc_mod, table
+from . import mixing, packing, quality_classifier, quality_rules, sharding
+from .common import crc_mod, table, written
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
@@ -37,3 +37,30 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
     columns = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance"]
     return quality_rules.judge(docs).select("doc_id", *columns)
+
+
+@query
+def op2_curriculum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    mixed = mixing.mix(written(mixing.sized(docs).drop("text")))
+    columns = ["doc_id", "size", "source_size", "target", "taken", "position"]
+    return mixed.select(*columns).orderBy(F.asc_nulls_last("position"))
+
+
+ORACLE_SQL["op2_curriculum_mixing"] = mixing.MIX_SQL
+
+
+def byte_bpe() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op3_differencing_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), byte_bpe())
+
+
+@query
+def op6_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents").select("doc_id", "text"))
