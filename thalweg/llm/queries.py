@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, quality_classifier, quality_rules, sharding
+from . import jaccard_join, mixing, packing, quality_classifier, quality_rules, sharding
 from .common import crc_mod, table, written
 
 QUERIES: dict = {}
@@ -64,3 +64,8 @@ def op3_differencing_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op8_partenum_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.group(table(spark, sf_dir, "documents").select("doc_id", "text"))
