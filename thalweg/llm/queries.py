@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, mixing, packing, quality_classifier, quality_rules, sharding
+from . import jaccard_join, mixing, packing, quality_classifier, quality_rules, sharding, toxicity, warc
 from .common import crc_mod, table, written
 
 QUERIES: dict = {}
@@ -69,3 +69,21 @@ def op6_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_partenum_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.group(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op4_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.detect(docs, table(spark, sf_dir, "labels"), ~_held_out(3, 1))
+    return scored.select(
+        "doc_id", _held_out(3, 1).alias("held_out"), "score", _predicted("score"), F.size("offending").alias("n_offending")
+    )
+
+
+@query
+def op7_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.round_trip(spark, table(spark, sf_dir, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE_SQL["op7_warc_round_trip"] = warc.WARC_SQL
