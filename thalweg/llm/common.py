@@ -64,6 +64,10 @@ def range_bounds(df: DataFrame, key: str, n: int) -> list[int]:
     return sorted({row["low"], *row["at"]}) if row["low"] is not None else []
 
 
+def _longs(values: Sequence[int]) -> Column:
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>") if values else F.array().cast("array<bigint>")
+
+
 def range_of(key: Column, bounds: Sequence[int], fan: int = 32) -> Column:
     """Index of the last bound that is not above ``key`` (0 below all), by a search tree of ``fan`` branches a level."""
     levels = [list(bounds)]
@@ -71,7 +75,7 @@ def range_of(key: Column, bounds: Sequence[int], fan: int = 32) -> Column:
         levels.insert(0, levels[0][::fan])
     found = F.lit(0)
     for level in levels:
-        cells = F.array(*[F.lit(level[i : i + fan]).cast("array<bigint>") for i in range(0, max(1, len(level)), fan)])
+        cells = F.array(*[_longs(level[i : i + fan]) for i in range(0, max(1, len(level)), fan)])
         found = let(found, _descend(cells, key, fan))
     return found
 

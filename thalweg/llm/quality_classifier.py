@@ -41,18 +41,19 @@ class Discriminant:
     temper: float
 
 
-def vector() -> dict[str, Column]:
+def vector(at: str = "") -> dict[str, Column]:
     """Ratios held towards a prior of 50 words, as roots or logs, so that texts of any length are comparable."""
-    words, chars = F.col("n_words") + 50.0, F.col("word_chars") + 300.0
+    n = lambda name: F.col(at + name)
+    words, chars = n("n_words") + 50.0, n("word_chars") + 300.0
     return {
         "x_length": F.log(chars / words),
-        "x_symbols": F.sqrt(F.col("n_symbols") / chars),
-        "x_upper": F.sqrt(F.col("n_upper") / chars),
-        "x_marks": F.sqrt(F.col("n_marks") / chars),
-        "x_codes": F.sqrt(F.col("n_codes") / chars),
-        "x_variety": F.log(F.col("n_distinct_words") + 50.0) / F.log(words),
-        "x_echo": F.sqrt(F.col("n_echo_words") / words),
-        "x_lines": F.sqrt(F.col("n_dup_lines") / words),
+        "x_symbols": F.sqrt(n("n_symbols") / chars),
+        "x_upper": F.sqrt(n("n_upper") / chars),
+        "x_marks": F.sqrt(n("n_marks") / chars),
+        "x_codes": F.sqrt(n("n_codes") / chars),
+        "x_variety": F.log(n("n_distinct_words") + 50.0) / F.log(words),
+        "x_echo": F.sqrt(n("n_echo_words") / words),
+        "x_lines": F.sqrt(n("n_dup_lines") / words),
     }
 
 
@@ -112,11 +113,11 @@ def _log_density(model: Discriminant, c: int) -> Column:
     return F.lit(model.offsets[c]) - far / 2
 
 
-def score(rows: DataFrame, model: Discriminant) -> DataFrame:
+def score(rows: DataFrame, model: Discriminant, name: str = "score") -> DataFrame:
     """``rows`` with score (0 to 1) in place of the statistics; a narrow native expression."""
     odds = (_log_density(model, 1) - _log_density(model, 0)) / model.temper
     value = 1 / (1 + F.exp(-F.greatest(F.lit(-500.0), F.least(F.lit(500.0), odds))))
-    return rows.withColumn("score", value).drop(*X)
+    return rows.withColumn(name, value).drop(*X)
 
 
 def classify(
@@ -132,5 +133,23 @@ def classify(
     need(docs, key, text)
     need(labels, key, label)
     rows = statistics(docs.drop("score"), text)
+    return score(rows, _learned(rows, labels, may_learn, label, key, shrinkage))
+
+
+def _learned(rows: DataFrame, labels: DataFrame, may_learn: Column, label: str, key: str, shrinkage: Shrinkage) -> Discriminant:
     known = labels.where(may_learn & F.col(label).isNotNull()).groupBy(key).agg(F.min(label).alias("__label"))
-    return score(rows, fit(rows.select(key, *X).join(known, key), "__label", shrinkage))
+    return fit(rows.select(key, *X).join(known, key), "__label", shrinkage)
+
+
+def accepted(
+    docs: DataFrame, labels: DataFrame, may_learn: Column, least: float, label: str = "quality", key: str = "doc_id",
+    text: str = "text", shrinkage: Shrinkage = Shrinkage(),
+) -> DataFrame:
+    """``docs`` whose score is at least ``least``, unchanged: a fit, then one pass over the texts without a shuffle."""
+    need(docs, key, text)
+    known = labels.where(may_learn & F.col(label).isNotNull()).select(key).distinct()
+    rows = statistics(docs.select(key, text).join(known, key), text)
+    model = _learned(rows, labels, may_learn, label, key, shrinkage)
+    df = docs.select("*", style_statistics(F.col(text)).alias("__s"))
+    df = df.select("*", *[c.alias(n) for n, c in vector("__s.").items()])
+    return score(df, model, "__score").where(F.col("__score") >= least).select(*docs.columns)

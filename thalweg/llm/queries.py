@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, mixing, packing, quality_classifier, quality_rules, sharding, toxicity, warc
+from . import imatch, jaccard_join, mixing, packing, quality_classifier, quality_rules, quotations, sharding, toxicity, warc
 from .common import crc_mod, table, written
 
 QUERIES: dict = {}
@@ -44,7 +44,7 @@ def op2_curriculum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     mixed = mixing.mix(written(mixing.sized(docs).drop("text")))
     columns = ["doc_id", "size", "source_size", "target", "taken", "position"]
-    return mixed.select(*columns).orderBy(F.asc_nulls_last("position"))
+    return mixed.select(*columns).orderBy(F.asc_nulls_last("position"), "doc_id")
 
 
 ORACLE_SQL["op2_curriculum_mixing"] = mixing.MIX_SQL
@@ -87,3 +87,23 @@ def op7_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE_SQL["op7_warc_round_trip"] = warc.WARC_SQL
+
+
+@query
+def op5_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = imatch.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    near = lambda other: imatch.likeness(F.col("fingerprint"), F.col(other))
+    return df.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        F.concat_ws("", "fingerprint").alias("fingerprint"),
+        F.concat_ws("", "edited").alias("edited_fingerprint"),
+        near("edited").alias("near_edited"),
+        near("next").alias("near_next"),
+    )
+
+
+@query
+def op9_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotations.conversations(table(spark, sf_dir, "conversations"))
