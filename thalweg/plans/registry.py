@@ -2,7 +2,563 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from ..functions import d8, rules
+from ..functions import geometry as G
+from ..operators import network, raster, spatial
+from .fixtures import Tables, sql
+
 FLAGSHIP = "J2_gauges_in_lakes"
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
+
+
+def query(name: str, oracle: str | None = None):
+    """Registers a function of the derived tables; ``oracle`` may use their names."""
+
+    def add(f):
+        def run(spark, sf_dir) -> DataFrame:
+            return f(Tables(spark, sf_dir))
+
+        run.__name__, run.__doc__ = name, f.__doc__
+        QUERIES[name] = run
+        if oracle is not None:
+            ORACLE_SQL[name] = sql(oracle)
+        return f
+
+    return add
+
+
+def six(c):
+    """Six places, half to even, after all sums."""
+    return rules.rounded(c, 6)
+
+
+SIX = "round_even(({0}) * 1e6, 0) / 1e6".format
+
+# ---- relational -------------------------------------------------------------------------------------------------
+
+
+@query("J1_active_flow_stations", """
+SELECT DISTINCT s.STATION_NUMBER, s.STATION_NAME FROM stations s JOIN data_range d ON s.STATION_NUMBER = d.STATION_NUMBER
+WHERE s.HYD_STATUS = 'A' AND d.DATA_TYPE = 'Q'""")
+def _(t):
+    flow = t.data_range.where("DATA_TYPE = 'Q'")
+    return t.stations.where("HYD_STATUS = 'A'").join(flow, "STATION_NUMBER", "left_semi").select("STATION_NUMBER", "STATION_NAME")
+
+
+@query("J2_gauges_in_lakes", """
+SELECT l.lake_id, s.STATION_NUMBER FROM lakes l JOIN stations s
+ON s.x > l.cx - l.hw AND s.x < l.cx + l.hw AND s.y > l.cy - l.hw AND s.y < l.cy + l.hw""")
+def _(t):
+    cell = max(1.0, t.width() / 10)
+    found = spatial.points_in_polygons(t.gauges().select("STATION_NUMBER", "p"), t.lake_rings().select("lake_id", "ring"), cell)
+    return found.select("lake_id", "STATION_NUMBER")
+
+
+@query("J3_lakes_meeting_window", """
+SELECT lake_id FROM lakes WHERE cx - hw <= 5e1 AND cx + hw >= 1e1 AND cy - hw <= 5e1 AND cy + hw >= 1e1""")
+def _(t):
+    box = G.bounds(F.col("ring"))
+    win = F.struct(F.lit(10.0).alias("minx"), F.lit(10.0).alias("miny"), F.lit(50.0).alias("maxx"), F.lit(50.0).alias("maxy"))
+    return t.lake_rings().where(G.boxes_meet(box, win)).select("lake_id")
+
+
+@query("S2_box_scan", "SELECT lake_id, cx - hw AS minx, cy + hw AS maxy FROM lakes WHERE cx - hw <= 3e1 AND cx + hw >= 0 AND cy - hw <= 3e1 AND cy + hw >= 0")
+def _(t):
+    boxed = t.lakes.select("lake_id", (F.col("cx") - F.col("hw")).alias("minx"), (F.col("cx") + F.col("hw")).alias("maxx"), (F.col("cy") - F.col("hw")).alias("miny"), (F.col("cy") + F.col("hw")).alias("maxy"))
+    return spatial.boxes_in_window(boxed, 0.0, 0.0, 30.0, 30.0).select("lake_id", "minx", "maxy")
+
+
+@query("A7_stations_per_lake", """
+SELECT l.lake_id, string_agg(s.STATION_NUMBER, ', ' ORDER BY s.sid) AS stations FROM lakes l JOIN stations s
+ON s.x > l.cx - l.hw AND s.x < l.cx + l.hw AND s.y > l.cy - l.hw AND s.y < l.cy + l.hw GROUP BY l.lake_id""")
+def _(t):
+    found = spatial.points_in_polygons(t.gauges().select("STATION_NUMBER", "sid", "p"), t.lake_rings().select("lake_id", "ring"), max(1.0, t.width() / 10))
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("sid", "STATION_NUMBER"))), lambda s: s["STATION_NUMBER"])
+    return found.groupBy("lake_id").agg(F.array_join(ordered, ", ").alias("stations"))
+
+
+@query("P1_lake_filter", "SELECT lake_id, Lake_type FROM lakes WHERE Lake_area > 5e0 OR Lake_type <> 1")
+def _(t):
+    return t.lakes.where((F.col("Lake_area") > 5.0) | ~F.col("Lake_type").eqNullSafe(1)).select("lake_id", "Lake_type")
+
+
+@query("P5_area_length_units", f"SELECT LINKNO, {SIX('unit_area * 1e-6')} AS area_km2, {SIX('Length * 1e-3')} AS length_km FROM streams")
+def _(t):
+    return t.streams.select("LINKNO", six(rules.number(F.col("unit_area")) * 1e-6).alias("area_km2"), six(rules.number(F.col("Length")) * 1e-3).alias("length_km"))
+
+
+@query("P6_outlets", "SELECT LINKNO, (DSLINKNO <= 0 OR DSLINKNO = -9999) AS outlet FROM streams")
+def _(t):
+    return t.streams.select("LINKNO", rules.is_outlet(F.col("DSLINKNO")).alias("outlet"))
+
+
+@query("P7_semi_anti", """
+SELECT LINKNO, 'semi' AS kind FROM streams WHERE LINKNO IN (SELECT DN FROM basins WHERE is_lake = 1)
+UNION ALL SELECT LINKNO, 'anti' AS kind FROM streams WHERE LINKNO NOT IN (SELECT DN FROM basins)""")
+def _(t):
+    b = t.basins.select(F.col("DN").alias("LINKNO"), "is_lake")
+    semi = t.streams.join(b.where("is_lake = 1"), "LINKNO", "left_semi").select("LINKNO", F.lit("semi").alias("kind"))
+    return semi.union(t.streams.join(b, "LINKNO", "left_anti").select("LINKNO", F.lit("anti").alias("kind")))
+
+
+@query("P8_clamped_slope", f"SELECT LINKNO, {SIX('CASE WHEN Slope * 60 >= 1e0 THEN 1e-2 ELSE greatest(Slope * 60, 1e-2) END')} AS slope FROM streams")
+def _(t):
+    return t.streams.select("LINKNO", six(rules.clamp_slope(F.col("Slope") * 60, 0.01)).alias("slope"))
+
+
+@query("P9_value_map", "SELECT s.LINKNO, coalesce(m.DN + 1000000, s.DSLINKNO) AS mapped FROM streams s LEFT JOIN (SELECT DN FROM basins WHERE is_lake = 1) m ON m.DN = s.DSLINKNO")
+def _(t):
+    m = t.basins.where("is_lake = 1").select(F.col("DN").alias("DSLINKNO"), (F.col("DN") + 1000000).alias("to"))
+    return t.streams.join(m, "DSLINKNO", "left").select("LINKNO", F.coalesce("to", "DSLINKNO").alias("mapped"))
+
+
+@query("P10_lake_names", """
+SELECT lake_id, CASE WHEN lake_id % 2 = 0 THEN 'Lake_' || CAST(lake_id AS VARCHAR) ELSE 'Basin' END AS name,
+CASE WHEN lake_id % 2 = 0 THEN lake_id ELSE -1 END AS parsed FROM lakes""")
+def _(t):
+    name = F.when(F.col("lake_id") % 2 == 0, F.concat(F.lit("Lake_"), F.col("lake_id").cast("string"))).otherwise("Basin")
+    return t.lakes.select("lake_id", name.alias("name"), rules.lake_id(name).alias("parsed"))
+
+
+@query("P14_role_mask", """
+SELECT DN, CASE WHEN is_lake = 1 THEN 3 WHEN trim(STATION_NU) <> '' THEN 2 WHEN DSLINKNO <= 0 THEN 1 ELSE 0 END AS mask FROM basins""")
+def _(t):
+    return t.basins.select("DN", rules.role_mask(rules.is_outlet(F.col("DSLINKNO")), rules.has_text(F.col("STATION_NU")), F.col("is_lake") == 1).alias("mask"))
+
+
+@query("P16_link_derivatives", f"""
+SELECT LINKNO, {SIX('sqrt((x1 - x0) * (x1 - x0) + (y1 - y0) * (y1 - y0))')} AS straight, {SIX('(DOUTEND + DOUTEND + Length) / 2')} AS doutmid,
+{SIX('CASE WHEN Length > 0 THEN strmDrop / Length ELSE 0e0 END')} AS slope FROM streams""")
+def _(t):
+    line = F.col("line")
+    slope = F.when(F.col("Length") > 0, F.try_divide("strmDrop", "Length")).otherwise(0.0)
+    return t.lines().select("LINKNO", six(G.distance(G.first_vertex(line), G.last_vertex(line))).alias("straight"), six((F.col("DOUTEND") * 2 + F.col("Length")) / 2).alias("doutmid"), six(slope).alias("slope"))
+
+
+@query("P18_d8_decode", "SELECT r, c, fdr, tr, tc FROM d8")
+def _(t):
+    cells = raster.steepest(t.cells())
+    df = raster.flow_targets(cells)
+    return df.select(F.col("row").cast("long").alias("r"), F.col("col").cast("long").alias("c"), "fdr", F.col("trow").cast("long").alias("tr"), F.col("tcol").cast("long").alias("tc"))
+
+
+@query("P19_d8_encode", "SELECT code, dr * 3 AS dr, dc * 2 AS dc, code AS encoded, (code + 3) % 8 + 1 AS opposite FROM offsets")
+def _(t):
+    df = d8.offsets(t.spark).select("code", (F.col("dr") * 3).alias("dr"), (F.col("dc") * 2).alias("dc"))
+    return df.select("*", d8.encode(F.col("dr"), F.col("dc")).alias("encoded"), d8.opposite(F.col("code")).alias("opposite"))
+
+
+@query("S11_export_rule_a", "SELECT LINKNO, round_even(Length / 7e0 * 1e3, 0) / 1e3 AS Length, Slope, CASE WHEN LINKNO % 4 = 0 THEN -1 ELSE DSLINKNO END AS DSLINKNO FROM streams")
+def _(t):
+    df = t.streams.select("LINKNO", (F.col("Length") / 7.0).alias("Length"), "Slope", F.when(F.col("LINKNO") % 4 != 0, F.col("DSLINKNO")).alias("DSLINKNO"))
+    return rules.export(df, 3)
+
+
+@query("S11_export_rule_b", "SELECT LINKNO, round_even(Length / 7e0 * 1e6, 0) / 1e6 AS Length, round_even(Slope * 1e6, 0) / 1e6 AS Slope FROM streams")
+def _(t):
+    return rules.export(t.streams.select("LINKNO", (F.col("Length") / 7.0).alias("Length"), "Slope"), 6, ())
+
+
+@query("G1_lake_area", f"SELECT lake_id, {SIX('power(2 * hw, 2)')} AS area FROM lakes")
+def _(t):
+    return t.lake_rings().select("lake_id", six(G.polygon_area(F.array("ring"))).alias("area"))
+
+
+@query("G2_line_length", f"SELECT LINKNO, {SIX('sqrt((x1 - x0) * (x1 - x0) + (y1 - y0) * (y1 - y0))')} AS len, {SIX('(x0 + x1) / 2')} AS mx, {SIX('(y0 + y1) / 2')} AS my FROM streams")
+def _(t):
+    mid = G.midpoint(F.col("line"))
+    return t.lines().select("LINKNO", six(G.length(F.col("line"))).alias("len"), six(mid["x"]).alias("mx"), six(mid["y"]).alias("my"))
+
+
+@query("G3_total_bounds", f"SELECT {SIX('min(cx - hw)')} AS minx, {SIX('max(cy + hw)')} AS maxy FROM lakes")
+def _(t):
+    b = t.lake_rings().select(G.bounds(F.col("ring")).alias("b"))
+    return b.agg(six(F.min("b.minx")).alias("minx"), six(F.max("b.maxy")).alias("maxy"))
+
+
+@query("G17_cell_centres", f"SELECT r, c, {SIX('1e3 + (c + 5e-1) * 25e-1')} AS x, {SIX('5e3 - (r + 5e-1) * 25e-1')} AS y FROM grid")
+def _(t):
+    p = G.cell_xy([1000.0, 2.5, 0.0, 5000.0, 0.0, -2.5], F.col("r"), F.col("c"), 0.5)
+    return t.grid.select("r", "c", six(p["x"]).alias("x"), six(p["y"]).alias("y"))
+
+
+# ---- joins and rankings -----------------------------------------------------------------------------------------
+
+
+@query("J6_basin_river_join", "SELECT b.DN, b.is_lake, s.Length, s.strmOrder FROM basins b LEFT JOIN streams s ON s.LINKNO = b.DN")
+def _(t):
+    basin, river = t.basins.drop("DSLINKNO", "sz", "unit_area", "STATION_NU"), t.streams
+    more = [c for c in ("Length", "strmOrder") if c not in basin.columns]
+    return basin.join(river.select(F.col("LINKNO").alias("DN"), *more), "DN", "left").select("DN", "is_lake", *more)
+
+
+@query("J8_nearest_gauge", f"""
+SELECT e.sid, {SIX('coalesce(min(sqrt((e.x - s.x) * (e.x - s.x) + (e.y - s.y) * (e.y - s.y))), -1e0)')} AS d
+FROM stations e LEFT JOIN stations s ON s.sid <> e.sid AND s.HYD_STATUS = 'A' AND sqrt((e.x - s.x) * (e.x - s.x) + (e.y - s.y) * (e.y - s.y)) <= 1e0
+WHERE e.HYD_STATUS = 'D' GROUP BY e.sid""")
+def _(t):
+    here = t.gauges().where("HYD_STATUS = 'D'").select("sid", "p")
+    there = t.gauges().where("HYD_STATUS = 'A'").select(F.col("p").alias("q"))
+    near = spatial.nearest_distance(here, there, "sid", 1.0)
+    return near.select("sid", six(F.when(F.col("d") == float("inf"), -1.0).otherwise(F.col("d"))).alias("d"))
+
+
+_POINTS = """SELECT LINKNO AS pt, CASE WHEN LINKNO % 2 = 0 THEN 'inflow' ELSE 'outflow' END AS point_type,
+  x1 + 1e0 AS px, y1 - 2e0 AS py FROM streams WHERE LINKNO % 40 = 0 OR LINKNO % 41 = 0"""
+
+
+@query("J7_connect_nodes", f"""
+WITH pts AS ({_POINTS}), near AS (
+  SELECT p.pt, s.LINKNO, sqrt(power(px - CASE WHEN point_type = 'inflow' THEN x1 ELSE x0 END, 2) + power(py - CASE WHEN point_type = 'inflow' THEN y1 ELSE y0 END, 2)) AS d,
+    greatest(0e0, least(1e0, ((px - x0) * (x1 - x0) + (py - y0) * (y1 - y0)) / ((x1 - x0) * (x1 - x0) + (y1 - y0) * (y1 - y0)))) AS f, px, py, x0, y0, x1, y1
+  FROM pts p JOIN streams s ON s.y0 <= p.py + 5e0 AND s.y1 >= p.py - 5e0)
+SELECT pt, min_by(LINKNO, (d, LINKNO)) AS LINKNO, {SIX('min(d)')} AS d FROM near
+WHERE sqrt(power(px - (x0 + f * (x1 - x0)), 2) + power(py - (y0 + f * (y1 - y0)), 2)) <= 5e0 GROUP BY pt""")
+def _(t):
+    t.streams.createOrReplaceTempView("streams")
+    pts = t.spark.sql(_POINTS).select("pt", "point_type", F.struct(F.col("px").alias("x"), F.col("py").alias("y")).alias("p"))
+    return spatial.connect_nodes(pts, t.lines().select("LINKNO", "line"), 5.0, 1000.0).select("pt", "LINKNO", six(F.col("d")).alias("d"))
+
+
+@query("J9_nearest_stream", "SELECT LINKNO FROM streams ORDER BY sqrt(power(3e4 - x1, 2) + power(25e2 - y1, 2)), LINKNO LIMIT 1")
+def _(t):
+    p = F.struct(F.lit(30000.0).alias("x"), F.lit(2500.0).alias("y"))
+    df = t.lines().select("LINKNO", G.distance(p, G.last_vertex(F.col("line"))).alias("d"))
+    return df.orderBy("d", "LINKNO").limit(1).select("LINKNO")
+
+
+@query("W2_ranked_exits", "SELECT lake_id, link_no, seq FROM (SELECT *, row_number() OVER (PARTITION BY lake_id ORDER BY gauge_dist, doutend, local_accum DESC, dscontarea DESC, seq) AS k FROM exits) WHERE k = 1")
+def _(t):
+    return spatial.rank_exits(t.exits, "local_accum").select("lake_id", "link_no", "seq")
+
+
+@query("W5_best_cell_per_link", "SELECT lake_id, link_no, max(local_accum) AS most, min(local_accum) AS least FROM exits GROUP BY lake_id, link_no")
+def _(t):
+    df = t.exits.select("lake_id", "link_no", F.col("seq").alias("row"), F.lit(0).alias("col"), "local_accum")
+    most = raster.best_per_link(df, "local_accum", False).select("lake_id", "link_no", F.col("local_accum").alias("most"))
+    least = raster.best_per_link(df, "local_accum", True).select("lake_id", "link_no", F.col("local_accum").alias("least"))
+    return most.join(least, ["lake_id", "link_no"])
+
+
+@query("W8_union_points", "SELECT lake_id AS id, CAST(NULL AS VARCHAR) AS name FROM lakes UNION ALL SELECT sid, STATION_NAME FROM stations")
+def _(t):
+    lakes = t.lakes.select(F.col("lake_id").alias("id"))
+    return lakes.unionByName(t.stations.select(F.col("sid").alias("id"), F.col("STATION_NAME").alias("name")), allowMissingColumns=True)
+
+
+@query("W9_set_difference", "SELECT LINKNO FROM streams WHERE LINKNO % 2 = 0 EXCEPT SELECT DN FROM basins UNION SELECT lake_id FROM lakes")
+def _(t):
+    odd = t.streams.where("LINKNO % 2 = 0").select("LINKNO").join(t.basins, F.col("LINKNO") == F.col("DN"), "left_anti")
+    return odd.union(t.lakes.select("lake_id")).distinct()
+
+
+# ---- aggregations -----------------------------------------------------------------------------------------------
+
+
+@query("A2_dissolve_first", "SELECT lvl, min_by(LINKNO, LINKNO) AS first_link, count(*) AS n FROM streams GROUP BY lvl")
+def _(t):
+    return t.streams.groupBy("lvl").agg(F.min_by("LINKNO", "LINKNO").alias("first_link"), F.count(F.lit(1)).alias("n"))
+
+
+@query("A3_dissolve_max", "SELECT DSLINKNO AS unit, max(Length) AS Length, max(strmOrder) AS strmOrder FROM streams GROUP BY DSLINKNO")
+def _(t):
+    return t.streams.groupBy(F.col("DSLINKNO").alias("unit")).agg(F.max("Length").alias("Length"), F.max("strmOrder").alias("strmOrder"))
+
+
+@query("A4_unit_area", f"SELECT lvl, {SIX('sum(unit_area) * 1e-6')} AS area FROM streams GROUP BY lvl")
+def _(t):
+    return t.streams.groupBy("lvl").agg(six(F.sum("unit_area") * 1e-6).alias("area"))
+
+
+@query("A5_weighted_slope", f"SELECT lvl, {SIX('sum(Slope * Length) / nullif(sum(Length), 0)')} AS slope FROM streams GROUP BY lvl")
+def _(t):
+    return t.streams.groupBy("lvl").agg(six(F.try_divide(F.sum(F.col("Slope") * F.col("Length")), F.sum("Length"))).alias("slope"))
+
+
+@query("A6_group_without_nulls", "SELECT DSLINKNO, lvl, CAST(sum(sz) AS BIGINT) AS area FROM streams WHERE DSLINKNO > 0 GROUP BY DSLINKNO, lvl")
+def _(t):
+    keyed = t.streams.withColumn("DSLINKNO", F.when(F.col("DSLINKNO") > 0, F.col("DSLINKNO")))
+    return keyed.where("DSLINKNO is not null and lvl is not null").groupBy("DSLINKNO", "lvl").agg(F.sum("sz").alias("area"))
+
+
+@query("A12_argmax", "SELECT DSLINKNO, arg_min(LINKNO, (-sz, LINKNO)) AS largest FROM streams GROUP BY DSLINKNO")
+def _(t):
+    return t.streams.groupBy("DSLINKNO").agg(F.min(F.struct((-F.col("sz")).alias("s"), "LINKNO")).alias("b")).select("DSLINKNO", F.col("b.LINKNO").alias("largest"))
+
+
+@query("A14_counts", "SELECT HYD_STATUS, count(*) AS n FROM stations GROUP BY HYD_STATUS")
+def _(t):
+    return t.stations.groupBy("HYD_STATUS").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---- network ----------------------------------------------------------------------------------------------------
+
+
+def _reach(t):
+    return network.closure(network.edges(t.streams))
+
+
+@query("T1_closure", "SELECT id, anc, hops FROM reach")
+def _(t):
+    return _reach(t)
+
+
+@query("T2_duplicate_exits", """
+SELECT a.lake_id, a.link_no, a.seq FROM exits a WHERE a.link_no = -1 OR NOT EXISTS (
+  SELECT 1 FROM exits b WHERE b.lake_id = a.lake_id AND b.link_no <> -1 AND b.link_no = a.link_no AND b.local_accum > a.local_accum)
+  AND NOT EXISTS (SELECT 1 FROM exits b JOIN reach q ON q.anc = b.link_no WHERE b.lake_id = a.lake_id AND q.id = a.link_no)""")
+def _(t):
+    return network.drop_duplicate_exits(t.exits, _reach(t), "local_accum").select("lake_id", "link_no", "seq")
+
+
+@query("T3_trace_downstream", """
+WITH starts AS (SELECT LINKNO AS start FROM streams WHERE LINKNO % 37 = 0), walk AS (
+  SELECT start, start AS id, CAST(0 AS BIGINT) AS hops FROM starts UNION ALL SELECT start, anc, hops FROM starts JOIN reach ON id = start)
+SELECT w.start, w.id, w.hops FROM walk w LEFT JOIN (SELECT start, min(hops) AS e FROM walk WHERE id % 5 = 0 GROUP BY start) s ON s.start = w.start
+WHERE e IS NULL OR w.hops <= e""")
+def _(t):
+    starts = t.streams.where("LINKNO % 37 = 0").select(F.col("LINKNO").alias("start"))
+    stops = t.streams.where("LINKNO % 5 = 0").select(F.col("LINKNO").alias("stop"))
+    return network.trace_downstream(starts, _reach(t), stops)
+
+
+@query("T6_contraction", """
+WITH into_ AS (SELECT LINKNO, CAST(floor(LINKNO / 2) AS BIGINT) AS winner FROM streams WHERE LINKNO % 9 = 0
+  UNION ALL SELECT CAST(floor(LINKNO / 2) AS BIGINT), CAST(floor(LINKNO / 2) AS BIGINT) FROM streams WHERE LINKNO % 9 = 0), one AS (
+  SELECT LINKNO, max(winner) AS winner FROM into_ GROUP BY LINKNO), unit AS (
+  SELECT coalesce(o.winner, s.LINKNO) AS unit, s.* FROM streams s LEFT JOIN one o ON o.LINKNO = s.LINKNO)
+SELECT u.unit AS LINKNO, coalesce(any_value(m.winner), any_value(s.DSLINKNO)) AS DSLINKNO, max(u.Length) AS Length, max(u.sz) AS sz
+FROM unit u JOIN streams s ON s.LINKNO = u.unit LEFT JOIN one m ON m.LINKNO = s.DSLINKNO GROUP BY u.unit""")
+def _(t):
+    some = t.streams.where("LINKNO % 9 = 0").select("LINKNO", F.floor(F.col("LINKNO") / 2).alias("winner"))
+    swallowed = some.union(some.select("winner", "winner"))
+    links = t.streams.select("LINKNO", "DSLINKNO", "USLINKNO1", "USLINKNO2", "Length", "sz")
+    return network.contract(links, swallowed)
+
+
+@query("T5_longest_path", f"""
+WITH inside AS (SELECT LINKNO % 4 AS lake_id, LINKNO, DSLINKNO, USLINKNO1, Length, strmDrop, StraightL, DOUTEND FROM streams WHERE LINKNO % 3 <> 0 AND lvl < 6),
+tops AS (SELECT a.lake_id, a.LINKNO AS start FROM inside a WHERE NOT EXISTS (SELECT 1 FROM inside b WHERE b.lake_id = a.lake_id AND b.LINKNO = a.USLINKNO1)),
+walk AS (SELECT * FROM (WITH RECURSIVE w(lake_id, start, cur) AS (SELECT lake_id, start, start FROM tops UNION ALL
+  SELECT w.lake_id, w.start, j.LINKNO FROM w JOIN inside i ON i.lake_id = w.lake_id AND i.LINKNO = w.cur JOIN inside j ON j.lake_id = w.lake_id AND j.LINKNO = i.DSLINKNO) SELECT * FROM w)),
+each AS (SELECT w.lake_id, w.start, sum(Length) AS Length, sum(strmDrop) AS strmDrop, min(DOUTEND) AS DOUTEND FROM walk w JOIN inside i ON i.lake_id = w.lake_id AND i.LINKNO = w.cur GROUP BY w.lake_id, w.start)
+SELECT lake_id, start, {SIX('Length')} AS Length, {SIX('strmDrop')} AS strmDrop, {SIX('DOUTEND + Length')} AS DOUTSTART FROM
+(SELECT *, row_number() OVER (PARTITION BY lake_id ORDER BY Length DESC, start) AS k FROM each) WHERE k = 1""")
+def _(t):
+    inside = t.streams.where("LINKNO % 3 <> 0 and lvl < 6").select((F.col("LINKNO") % 4).alias("lake_id"), "LINKNO")
+    best = network.path_metrics(inside, t.streams)
+    return best.select("lake_id", "start", six(F.col("Length")).alias("Length"), six(F.col("strmDrop")).alias("strmDrop"), six(F.col("DOUTSTART")).alias("DOUTSTART"))
+
+
+@query("T8_phantom_bypass", f"""
+WITH chain AS (SELECT * FROM (WITH RECURSIVE w(id, cur, hops) AS (SELECT s.LINKNO, s.DSLINKNO, 1 FROM streams s WHERE s.LINKNO % 7 <> 3 AND s.DSLINKNO % 7 = 3 AND s.DSLINKNO > 0 UNION ALL
+  SELECT w.id, s.DSLINKNO, w.hops + 1 FROM w JOIN streams s ON s.LINKNO = w.cur WHERE s.DSLINKNO % 7 = 3 AND s.DSLINKNO > 0) SELECT * FROM w)),
+gain AS (SELECT id, sum(p.Length) AS l, sum(p.strmDrop) AS d, min(p.DSContArea) AS a, arg_max(p.DOUTEND, hops) AS e, arg_max(p.DSLINKNO, hops) AS n, count(*) AS k FROM chain c JOIN streams p ON p.LINKNO = c.cur GROUP BY id)
+SELECT s.LINKNO, coalesce(n, s.DSLINKNO) AS DSLINKNO, {SIX('s.Length + coalesce(l, 0e0)')} AS Length, s.strmDrop + coalesce(d, 0e0) AS strmDrop,
+least(s.DSContArea, coalesce(a, s.DSContArea)) AS DSContArea, coalesce(e, s.DOUTEND) AS DOUTEND, coalesce(k, 0) AS n_absorbed
+FROM streams s LEFT JOIN gain g ON g.id = s.LINKNO WHERE s.LINKNO % 7 <> 3""")
+def _(t):
+    return network.bypass_phantoms(t.streams, t.basins).withColumn("Length", six(F.col("Length")))
+
+
+@query("T9_upstream_of_point", "SELECT id FROM reach WHERE anc = 5 UNION SELECT 5")
+def _(t):
+    return network.upstream_of(_reach(t), 5)
+
+
+@query("T11_survivors", """
+SELECT LINKNO AS id, CASE WHEN LINKNO = 1 THEN -9999 WHEN LINKNO < 16 THEN -9999 ELSE CAST(floor(LINKNO / power(2e0, lvl - 3)) AS BIGINT) END AS down FROM streams""")
+def _(t):
+    alive = t.streams.where("lvl = 3").select(F.col("LINKNO").alias("id"))
+    moved = t.streams.where("lvl <> 3").select(F.col("LINKNO").alias("id"), F.col("DSLINKNO").alias("agg")).where("agg > 0")
+    return network.remap_to_survivors(t.streams.select(F.col("LINKNO").alias("id"), F.col("DSLINKNO").alias("down")), moved, alive)
+
+
+@query("T12_main_stem", """
+SELECT DISTINCT cur AS LINKNO FROM (WITH RECURSIVE w(cur) AS (SELECT CAST(1 AS BIGINT) UNION ALL
+  SELECT b.up FROM w JOIN (SELECT DSLINKNO, arg_min(LINKNO, (-sz, LINKNO)) AS up FROM streams WHERE DSLINKNO > 0 GROUP BY DSLINKNO) b ON b.DSLINKNO = w.cur) SELECT * FROM w)""")
+def _(t):
+    rivers = t.streams.select("LINKNO", "DSLINKNO", F.col("sz").alias("area"))
+    seeds = t.streams.where("LINKNO = 1").select(F.col("LINKNO").alias("id"))
+    return network.main_stems(rivers, seeds)
+
+
+@query("T13_dangling", "SELECT s.LINKNO, s.DSLINKNO FROM streams s WHERE s.DSLINKNO > 0 AND s.DSLINKNO NOT IN (SELECT DN FROM basins)")
+def _(t):
+    return network.dangling(t.streams, t.basins.select(F.col("DN").alias("id")))
+
+
+@query("T_contributing_area", "SELECT a.LINKNO AS id, CAST(a.sz + coalesce(sum(b.sz), 0) AS BIGINT) AS total FROM streams a LEFT JOIN reach q ON q.anc = a.LINKNO LEFT JOIN streams b ON b.LINKNO = q.id GROUP BY a.LINKNO, a.sz")
+def _(t):
+    nodes = t.streams.select(F.col("LINKNO").alias("id"), F.when(F.col("DSLINKNO") > 0, F.col("DSLINKNO")).alias("down"), "sz")
+    return network.accumulate(nodes, "sz")
+
+
+@query("T_distance_to_outlet", "SELECT a.LINKNO AS id, CAST(coalesce(sum(b.sz), 0) AS BIGINT) AS below FROM streams a LEFT JOIN reach q ON q.id = a.LINKNO LEFT JOIN streams b ON b.LINKNO = q.anc GROUP BY a.LINKNO")
+def _(t):
+    nodes = t.streams.select(F.col("LINKNO").alias("id"), F.when(F.col("DSLINKNO") > 0, F.col("DSLINKNO")).alias("down"), "sz")
+    return network.path_sums(nodes, "sz")
+
+
+@query("E4_stream_order")
+def _(t):
+    nodes = t.streams.select(F.col("LINKNO").alias("id"), F.when(F.col("DSLINKNO") > 0, F.col("DSLINKNO")).alias("down"))
+    return network.strahler(nodes)
+
+
+# ---- raster -----------------------------------------------------------------------------------------------------
+
+
+def _mask(t):
+    return raster.burn(t.lake_rings(), t.width(), t.width())
+
+
+def _flows(t):
+    return raster.steepest(t.cells()).join(t.cells().drop("z"), ["row", "col"])
+
+
+def _named(df, *more):
+    return df.select("lake_id", F.col("row").cast("long").alias("r"), F.col("col").cast("long").alias("c"), *more)
+
+
+@query("S7_window", "SELECT r, c, z FROM grid WHERE c BETWEEN 5 AND 14 AND r BETWEEN 3 AND 22")
+def _(t):
+    return raster.window(t.cells(), 5, 3, 10, 20).select(F.col("row").cast("long").alias("r"), F.col("col").cast("long").alias("c"), "z")
+
+
+@query("S8_sample", "SELECT s.sid, coalesce(g.w, -1) AS w FROM stations s LEFT JOIN grid g ON g.r = CAST(round_even(s.y, 0) AS BIGINT) AND g.c = CAST(round_even(s.x, 0) AS BIGINT)")
+def _(t):
+    cell = G.xy_cell([0.0, 1.0, 0.0, 0.0, 0.0, 1.0], F.col("p"))
+    points = t.gauges().select("sid", cell["row"].alias("row"), cell["col"].alias("col"))
+    return raster.sample(points, t.cells(), "w").select("sid", "w")
+
+
+@query("R1_lake_windows", """
+SELECT lake_id, CAST(floor(cx - hw) AS BIGINT) AS xoff, CAST(floor(cy - hw) AS BIGINT) AS yoff, CAST(ceil(cx + hw) - floor(cx - hw) + 1 AS BIGINT) AS xsize
+FROM lakes WHERE floor(cx - hw) >= 0 AND floor(cy - hw) >= 0 AND ceil(cx + hw) + 1 <= (SELECT max(wide) FROM grid) AND ceil(cy + hw) + 1 <= (SELECT max(wide) FROM grid)""")
+def _(t):
+    n = t.width()
+    w = raster.window_of_bounds(G.bounds(F.col("ring")), [0.0, 1.0, 0.0, 0.0, 0.0, 1.0], n, n)
+    df = t.lake_rings().select("lake_id", w.alias("w")).where("w is not null")
+    return df.select("lake_id", "w.xoff", "w.yoff", "w.xsize")
+
+
+@query("R2_padded_windows", """
+SELECT lake_id, CAST(greatest(0, floor(cx - hw) - 6) AS BIGINT) AS xoff, CAST(least((SELECT max(wide) FROM grid), ceil(cx + hw) + 6) - greatest(0, floor(cx - hw) - 6) AS BIGINT) AS xsize FROM lakes""")
+def _(t):
+    n = t.width()
+    w = raster.padded_window(G.bounds(F.col("ring")), [0.0, 1.0, 0.0, 0.0, 0.0, 1.0], n, n)
+    return t.lake_rings().select("lake_id", w.alias("w")).where("w is not null").select("lake_id", F.col("w.xoff").cast("long").alias("xoff"), F.col("w.xsize").cast("long").alias("xsize"))
+
+
+@query("R3_burned_lakes", "SELECT lake_id, r, c FROM mask")
+def _(t):
+    return _named(_mask(t))
+
+
+@query("R4_shoreline", "SELECT lake_id, r, c FROM shore")
+def _(t):
+    return _named(raster.shoreline(_mask(t)))
+
+
+@query("R5_exit_cells", """
+SELECT s.lake_id, s.r, s.c FROM shore s JOIN d8 g ON g.r = s.r AND g.c = s.c LEFT JOIN mask m ON m.lake_id = s.lake_id AND m.r = g.tr AND m.c = g.tc
+WHERE g.src = 1 AND m.r IS NULL""")
+def _(t):
+    mask = _mask(t)
+    return _named(raster.exits(raster.shoreline(mask), mask, _flows(t)))
+
+
+_INFLOWS = """SELECT DISTINCT s.lake_id, s.r, s.c FROM shore s JOIN grid g ON g.r = s.r AND g.c = s.c AND g.src = 1
+JOIN d8 n ON n.tr = s.r AND n.tc = s.c AND n.fdr > 0 AND n.src = 1 LEFT JOIN mask m ON m.lake_id = s.lake_id AND m.r = n.r AND m.c = n.c WHERE m.r IS NULL"""
+
+
+@query("R6_inflow_cells", _INFLOWS)
+def _(t):
+    mask = _mask(t)
+    return _named(raster.inflows(raster.shoreline(mask), mask, _flows(t)))
+
+
+@query("R7_most_upstream", "SELECT lake_id, link_no, seq FROM exits e WHERE NOT EXISTS (SELECT 1 FROM exits b JOIN reach q ON q.id = b.link_no WHERE b.lake_id = e.lake_id AND q.anc = e.link_no)")
+def _(t):
+    return raster.most_upstream(t.exits, _reach(t)).select("lake_id", "link_no", "seq")
+
+
+@query("R8_most_downstream", "SELECT lake_id, link_no, seq FROM exits e WHERE NOT EXISTS (SELECT 1 FROM exits b JOIN reach q ON q.anc = b.link_no WHERE b.lake_id = e.lake_id AND q.id = e.link_no)")
+def _(t):
+    return raster.most_downstream(t.exits, _reach(t)).select("lake_id", "link_no", "seq")
+
+
+_CONFLICTS = """SELECT r, c, arg_min(m.lake_id, (-n, m.lake_id)) AS winner FROM mask m JOIN (SELECT lake_id, count(*) AS n FROM mask GROUP BY lake_id) k ON k.lake_id = m.lake_id GROUP BY r, c HAVING count(*) > 1"""
+
+
+def _won(mask):
+    return raster.conflicts(mask, mask.groupBy("lake_id").agg(F.count(F.lit(1)).alias("size")))
+
+
+@query("R9_lake_conflicts", _CONFLICTS)
+def _(t):
+    return _won(_mask(t)).select(F.col("row").cast("long").alias("r"), F.col("col").cast("long").alias("c"), "winner")
+
+
+@query("R17_merged_patches", f"""
+WITH won AS ({_CONFLICTS}), p AS (SELECT m.*, CAST((m.lake_id + m.r) % 8 + 1 AS INT) AS new_fdr FROM mask m LEFT JOIN won w ON w.r = m.r AND w.c = m.c WHERE w.winner IS NULL OR w.winner = m.lake_id)
+SELECT d.r, d.c, coalesce(p.new_fdr, d.fdr) AS fdr FROM d8 d LEFT JOIN p ON p.r = d.r AND p.c = d.c""")
+def _(t):
+    mask = _mask(t)
+    patches = mask.select("lake_id", F.col("lake_id").alias("seq"), "row", "col", ((F.col("lake_id") + F.col("row")) % 8 + 1).cast("int").alias("new_fdr"))
+    merged = raster.merge_patches(raster.steepest(t.cells()), patches, _won(mask))
+    return merged.select(F.col("row").cast("long").alias("r"), F.col("col").cast("long").alias("c"), "fdr")
+
+
+@query("A9_common_basin", "SELECT lake_id, arg_min(w, (-n, w)) AS value, max(n) AS n FROM (SELECT lake_id, w, count(*) AS n FROM mask m JOIN grid g ON g.r = m.r AND g.c = m.c WHERE w > 0 GROUP BY lake_id, w) GROUP BY lake_id")
+def _(t):
+    return raster.common_value(_mask(t), t.cells(), "w")
+
+
+@query("A13_local_centroid", f"""
+SELECT lake_id, {SIX('avg(r)')} AS r, {SIX('avg(c)')} AS c FROM (SELECT m.*, row_number() OVER (PARTITION BY m.lake_id ORDER BY power(m.r - l.cy, 2) + power(m.c - l.cx, 2), m.r, m.c) AS k
+FROM mask m JOIN lakes l ON l.lake_id = m.lake_id) WHERE k <= 10 GROUP BY lake_id""")
+def _(t):
+    df = _mask(t).join(t.lakes.select("lake_id", "cx", "cy"), "lake_id")
+    far = F.pow(F.col("row") - F.col("cy"), 2) + F.pow(F.col("col") - F.col("cx"), 2)
+    near = df.withColumn("k", F.row_number().over(Window.partitionBy("lake_id").orderBy(far, "row", "col"))).where("k <= 10")
+    return near.groupBy("lake_id").agg(six(F.avg("row")).alias("r"), six(F.avg("col")).alias("c"))
+
+
+@query("E2_flow_directions", "SELECT fdr, count(*) AS n, CAST(sum(r * 31 + c) AS BIGINT) AS s FROM d8 GROUP BY fdr")
+def _(t):
+    return raster.steepest(t.cells()).groupBy("fdr").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("row").cast("long") * 31 + F.col("col")).alias("s"))
+
+
+_ACCUM = """SELECT * FROM (WITH RECURSIVE w(r, c, tr, tc) AS (SELECT r, c, r, c FROM d8 UNION ALL
+  SELECT w.r, w.c, d.tr, d.tc FROM w JOIN d8 d ON d.r = w.tr AND d.c = w.tc AND d.fdr > 0) SELECT tr AS r, tc AS c, count(*) AS ad8 FROM w GROUP BY tr, tc)"""
+
+
+@query("E3_contributing_cells", f"SELECT r, c, ad8 FROM ({_ACCUM})")
+def _(t):
+    df = raster.contributing(raster.steepest(t.cells()), t.width())
+    return df.select(F.col("row").cast("long").alias("r"), F.col("col").cast("long").alias("c"), "ad8")
+
+
+@query("E5_stream_threshold", f"SELECT CASE WHEN ad8 >= 5 THEN 1 ELSE 0 END AS src, count(*) AS n FROM ({_ACCUM}) GROUP BY 1")
+def _(t):
+    df = raster.contributing(raster.steepest(t.cells()), t.width())
+    return df.groupBy(F.when(F.col("ad8") >= 5, 1).otherwise(0).alias("src")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("E7_snapped_points", """
+SELECT s.sid, f.r, f.c, f.steps FROM stations s LEFT JOIN (SELECT * FROM (WITH RECURSIVE w(sid, r, c, steps) AS (
+  SELECT sid, CAST(floor(y) AS BIGINT), CAST(floor(x) AS BIGINT), 0 FROM stations UNION ALL
+  SELECT w.sid, d.tr, d.tc, w.steps + 1 FROM w JOIN d8 d ON d.r = w.r AND d.c = w.c WHERE d.src <> 1 AND d.fdr > 0 AND w.steps < 25)
+  SELECT w.sid, w.r, w.c, w.steps FROM w JOIN d8 d ON d.r = w.r AND d.c = w.c WHERE d.src = 1)) f ON f.sid = s.sid""")
+def _(t):
+    pts = t.gauges().select(F.col("sid").alias("pt"), F.floor("y").cast("int").alias("row"), F.floor("x").cast("int").alias("col"))
+    df = raster.snap(pts, _flows(t))
+    return df.select(F.col("pt").alias("sid"), F.col("srow").cast("long").alias("r"), F.col("scol").cast("long").alias("c"), "steps")
