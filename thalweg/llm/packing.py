@@ -16,9 +16,11 @@ import heapq
 import json
 import re
 import zlib
+from bisect import insort
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -84,30 +86,37 @@ def parts(text: str, size: int = PART) -> Iterator[str]:
     yield text[at:]
 
 
+def _joined(a: list, b: list, k: int) -> list:
+    """Two partial partitions as one: the fullest windows of ``b`` onto the emptiest of ``a``; windows by rising sums."""
+    if len(a) < len(b):
+        a, b = b, a
+    free = k - len(a)  # empty windows of a
+    down = b[::-1]
+    new = down[:free] + [
+        (x[0] + y[0], x[1], x[2] + y[2]) for x, y in zip(a, down[free:], strict=False)
+    ]
+    a = a[max(0, len(b) - free) :]
+    if len(new) > 8:
+        return sorted(a + new, key=itemgetter(0, 1))
+    for window in new:
+        insort(a, window, key=itemgetter(0, 1))
+    return a
+
+
 def _difference(sizes: list[int], k: int) -> list[list[int]]:
-    """Partition of the items into k windows of near-equal sums, by multiway differencing."""
-    heap = [(-s, i, [(s, [i])]) for i, s in enumerate(sizes)]
+    """Partition of the items into k windows of near-equal sums, by multiway differencing.
+
+    A partial partition holds its windows that aren't empty as (sum, first item, items).
+    """
+    heap = [(-s, i, [(s, i, [i])]) for i, s in enumerate(sizes)]
     heapq.heapify(heap)
     made = len(heap)
     while len(heap) > 1:
-        a, b = heapq.heappop(heap)[2], heapq.heappop(heap)[2]
-        if len(a) < len(b):
-            a, b = b, a
-        if len(a) + len(b) <= k:
-            a.extend(b)
-        else:
-            low = [(0, []) for _ in range(k - len(a))] + sorted(a, key=lambda x: x[0])
-            high = sorted(b, key=lambda x: -x[0])
-            for i, (s, items) in enumerate(high):
-                t, have = low[i]
-                low[i] = (t + s, have + items)
-            least = min(s for s, _ in low)
-            a = [(s - least, items) for s, items in low]
-        most = max(s for s, _ in a)
-        spread = most - min(s for s, _ in a) if len(a) == k else most
-        heapq.heappush(heap, (-spread, made, a))
+        a = _joined(heapq.heappop(heap)[2], heapq.heappop(heap)[2], k)
+        least = a[0][0] if len(a) == k else 0
+        heapq.heappush(heap, (least - a[-1][0], made, a))
         made += 1
-    return [items for _, items in heap[0][2]] if heap else []
+    return [items for _, _, items in heap[0][2]] if heap else []
 
 
 def pack(sizes: list[int], capacity: int) -> list[list[int]]:
