@@ -562,3 +562,119 @@ def _(t):
     pts = t.gauges().select(F.col("sid").alias("pt"), F.floor("y").cast("int").alias("row"), F.floor("x").cast("int").alias("col"))
     df = raster.snap(pts, _flows(t))
     return df.select(F.col("pt").alias("sid"), F.col("srow").cast("long").alias("r"), F.col("scol").cast("long").alias("c"), "steps")
+
+
+@query("R8b_separated_inflows", f"""
+WITH inflow AS ({_INFLOWS}), outflow AS (SELECT s.lake_id, s.r, s.c FROM shore s JOIN d8 g ON g.r = s.r AND g.c = s.c LEFT JOIN mask m ON m.lake_id = s.lake_id AND m.r = g.tr AND m.c = g.tc WHERE g.src = 1 AND m.r IS NULL),
+moved AS (SELECT i.lake_id, i.r, i.c, min((o.code, n.r, n.c)) AS b FROM inflow i JOIN outflow x ON x.lake_id = i.lake_id AND x.r = i.r AND x.c = i.c, offsets o, d8 n
+  WHERE n.r = i.r + o.dr AND n.c = i.c + o.dc AND n.fdr = (o.code + 3) % 8 + 1 AND n.src = 1 AND NOT EXISTS (SELECT 1 FROM mask m WHERE m.lake_id = i.lake_id AND m.r = n.r AND m.c = n.c) GROUP BY i.lake_id, i.r, i.c)
+SELECT i.lake_id, coalesce(b[2], i.r) AS r, coalesce(b[3], i.c) AS c, b IS NOT NULL AS moved FROM inflow i LEFT JOIN moved m ON m.lake_id = i.lake_id AND m.r = i.r AND m.c = i.c""")
+def _(t):
+    mask, flows = _mask(t), _flows(t)
+    shore = raster.shoreline(mask)
+    return _named(raster.separate(raster.inflows(shore, mask, flows), raster.exits(shore, mask, flows), mask, flows), "moved")
+
+
+@query("G5_point_line_distance", f"""
+SELECT LINKNO, {SIX('sqrt(power(3e4 - (x0 + f * (x1 - x0)), 2) + power(25e2 - (y0 + f * (y1 - y0)), 2))')} AS d FROM (
+SELECT *, greatest(0e0, least(1e0, ((3e4 - x0) * (x1 - x0) + (25e2 - y0) * (y1 - y0)) / ((x1 - x0) * (x1 - x0) + (y1 - y0) * (y1 - y0)))) AS f FROM streams)""")
+def _(t):
+    p = F.struct(F.lit(30000.0).alias("x"), F.lit(2500.0).alias("y"))
+    return t.lines().select("LINKNO", six(G.line_distance(p, F.col("line"))).alias("d"))
+
+
+@query("G14_mercator", "SELECT sid, round_even((x % 180) * pi() * 6378137e0 / 180 * 1e3, 0) / 1e3 AS mx, round_even(ln(tan(pi() / 4 + (y % 80) * pi() / 360)) * 6378137e0 * 1e3, 0) / 1e3 AS my FROM stations")
+def _(t):
+    m = G.to_mercator(F.col("x") % 180, F.col("y") % 80)
+    return t.stations.select("sid", rules.rounded(m["x"], 3).alias("mx"), rules.rounded(m["y"], 3).alias("my"))
+
+
+@query("W4_override_snapped", f"""
+SELECT lake_id, link FROM (SELECT o.lake_id, s.LINKNO AS link, row_number() OVER (PARTITION BY o.lake_id ORDER BY abs(o.x - s.LINKNO % 100), s.LINKNO) AS k
+FROM overrides o JOIN streams s ON abs(o.x - s.LINKNO % 100) <= 3e0) WHERE k = 1""")
+def _(t):
+    here = t.overrides.select("lake_id", F.struct("x", F.lit(0.0).alias("y")).alias("p"))
+    there = t.streams.select("LINKNO", F.struct((F.col("LINKNO") % 100).cast("double").alias("x"), F.lit(0.0).alias("y")).alias("q"))
+    near = spatial.within_distance(here, there, "lake_id", 3.0)
+    best = near.groupBy("lake_id").agg(F.min(F.struct("d", "LINKNO")).alias("b"))
+    return best.select("lake_id", F.col("b.LINKNO").alias("link"))
+
+
+@query("R16_edit_mask", "SELECT r, c, CAST(8 AS INT) AS new_fdr FROM d8 WHERE (r + c) % 3 = 0 AND fdr <> 8")
+def _(t):
+    before = raster.steepest(t.cells())
+    after = before.withColumn("fdr", F.when((F.col("row") + F.col("col")) % 3 == 0, 8).otherwise(F.col("fdr")))
+    return raster.edits(before, after).select(F.col("row").cast("long").alias("r"), F.col("col").cast("long").alias("c"), "new_fdr")
+
+
+@query("T7_reservoir_basins", """
+SELECT DN, CAST(-1 AS BIGINT) AS lake_id, 0 AS is_lake, 0e0 AS frac_lake FROM basins WHERE DN % 9 <> 0
+UNION ALL SELECT DISTINCT CAST(floor(DN / 2) AS BIGINT) + 10000000, CAST(floor(DN / 2) AS BIGINT), 1, 5e-1 FROM basins WHERE DN % 9 = 0""")
+def _(t):
+    gone = t.basins.where("DN % 9 = 0")
+    plain = t.basins.join(gone, "DN", "left_anti").select("DN", F.lit(-1).cast("long").alias("lake_id"), F.lit(0).alias("is_lake"), F.lit(0.0).alias("frac_lake"))
+    winner = F.floor(F.col("DN") / 2)
+    lakes = gone.select((winner + 10000000).alias("DN"), winner.alias("lake_id"), F.lit(1).alias("is_lake"), F.lit(0.5).alias("frac_lake")).distinct()
+    return plain.unionByName(lakes)
+
+
+def _route(t):
+    from ..operators import routing
+
+    mask = _mask(t)
+    own = mask.join(_won(mask), ["row", "col"], "left").where("winner is null or winner = lake_id").drop("winner")
+    flows = raster.steepest(t.cells())
+    target = raster.shoreline(own).groupBy("lake_id").agg(F.max(F.struct("row", "col")).alias("b"))
+    target = target.select("lake_id", F.col("b.row").alias("trow"), F.col("b.col").alias("tcol"))
+    return routing.route_lakes(own, flows, target)
+
+
+@query("R11_centre_line_routing")
+def _(t):
+    """Edits of the flow directions of all lakes, each along its centre line to an outlet on its shore."""
+    return _named(_route(t), "new_fdr")
+
+
+@query("T10_basin_aggregation")
+def _(t):
+    """Groups of small units, by drainage tree: the 16 subtrees at the fourth level."""
+    from ..operators import routing
+
+    area = network.accumulate(t.streams.select(F.col("LINKNO").alias("id"), F.when(F.col("DSLINKNO") > 0, F.col("DSLINKNO")).alias("down"), F.col("sz").cast("double").alias("unit")), "unit")
+    top = F.floor(F.col("LINKNO") / F.pow(F.lit(2.0), F.col("lvl") - 4)).cast("long")
+    units = t.streams.where("lvl >= 4").withColumn("tree", top).withColumn("end", F.col("LINKNO") == top)
+    mask = rules.role_mask(F.col("end"), F.col("LINKNO") % 23 == 0, F.col("LINKNO") % 50 == 0)
+    units = units.join(area.withColumnsRenamed({"id": "LINKNO", "total": "uparea"}), "LINKNO")
+    down = F.when(F.col("end"), F.lit(-9999)).otherwise(F.col("DSLINKNO")).alias("down")
+    return routing.aggregate_units(units.select("tree", F.col("LINKNO").alias("id"), down, F.col("sz").cast("double").alias("unit"), "uparea", mask.alias("mask")))
+
+
+@query("E1_filled_pits")
+def _(t):
+    """Depressions filled, tile by tile."""
+    from ..operators import routing
+
+    tiled = t.cells().select((F.floor(F.col("row") / 64) * 1000 + F.floor(F.col("col") / 64)).cast("long").alias("tile"), "row", "col", "z")
+    return routing.fill_pits(tiled)
+
+
+@query("E8_outlines")
+def _(t):
+    """Rings around the lakes' cells."""
+    from ..operators import routing
+
+    rings = routing.outlines(_mask(t).withColumnRenamed("lake_id", "label"))
+    return rings.select("label", "ring", "sense", six(G.ring_area(F.col("vertices"))).alias("area"), F.size("vertices").alias("n"))
+
+
+@query("E6_stream_links", f"""
+WITH acc AS ({_ACCUM}), s AS (SELECT d.r, d.c, d.tr, d.tc FROM d8 d JOIN acc a ON a.r = d.r AND a.c = d.c WHERE a.ad8 >= 5),
+k AS (SELECT n.r, n.c, count(u.r) AS ups FROM s n LEFT JOIN s u ON u.tr = n.r AND u.tc = n.c AND (u.r <> n.r OR u.c <> n.c) GROUP BY n.r, n.c)
+SELECT ups, count(*) AS n FROM k GROUP BY ups""")
+def _(t):
+    flows = raster.steepest(t.cells())
+    many = raster.contributing(flows, t.width()).where("ad8 >= 5").select("row", "col")
+    on = raster.flow_targets(flows.join(many, ["row", "col"]))
+    ups = on.where("trow <> row or tcol <> col").groupBy(F.col("trow").alias("row"), F.col("tcol").alias("col")).agg(F.count(F.lit(1)).alias("ups"))
+    df = on.join(ups, ["row", "col"], "left").select(F.coalesce("ups", F.lit(0).cast("long")).alias("ups"))
+    return df.groupBy("ups").agg(F.count(F.lit(1)).alias("n"))
