@@ -116,11 +116,14 @@ def _distances(rows: DataFrame, params: DataFrame, name: str) -> DataFrame:
     return df.select(*rows.columns, sum((F.col(f"y_{z}") * F.col(f"y_{z}") for z in Z), F.lit(0.0)).alias(name))
 
 
-def _strata(rows: DataFrame, rules: Rules) -> DataFrame:
-    """``rows`` with the column stratum: the finest of source, language and all whose own rows suffice; null if none."""
+def _strata(rows: DataFrame, rules: Rules, counted: DataFrame | None = None) -> DataFrame:
+    """``rows`` with the column stratum: the finest of source, language and all whose own rows suffice; null if none.
+
+    ``counted``: the same rows, cheaper to count.
+    """
     key = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("null"))
     fine = F.concat_ws("\x1f", key("lang"), key("source"))
-    sizes = rows.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
+    sizes = (rows if counted is None else counted).groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
     groups = sizes.select(fine.alias("fine"), key("lang").alias("__lang"), "n")
     by_source = F.when(F.col("n") >= rules.least_rows, F.concat(F.lit("s"), F.col("fine")))
     rest = groups.where(F.col("n") < rules.least_rows)
@@ -138,7 +141,7 @@ def _strata(rows: DataFrame, rules: Rules) -> DataFrame:
 
 def robust_estimates(rows: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Mean and Cholesky factor of each stratum: start from medians, then ``steps`` concentration steps over all rows."""
-    middle = rows.groupBy("stratum").agg(*[F.percentile_approx(z, 0.5, 10_000).alias(f"m_{z}") for z in Z])
+    middle = written(rows.groupBy("stratum").agg(*[F.percentile_approx(z, 0.5, 10_000).alias(f"m_{z}") for z in Z]))
     off = rows.join(middle, "stratum")
     spread = off.groupBy("stratum").agg(
         *[F.first(f"m_{z}").alias(f"m_{z}") for z in Z],
@@ -155,22 +158,38 @@ def robust_estimates(rows: DataFrame, rules: Rules = Rules()) -> DataFrame:
     params = written(_factor(start))
     for step in range(rules.steps):
         near = _distances(rows, params, "d2")
-        edges = near.groupBy("stratum").agg(F.percentile_approx("d2", rules.core, 10_000).alias("edge"))
+        edges = written(near.groupBy("stratum").agg(F.percentile_approx("d2", rules.core, 10_000).alias("edge")))
         core = near.join(edges, "stratum").where(F.col("d2") <= F.col("edge"))
         params = written(_moments(core, consistency(rules.core, len(Z)) if step == rules.steps - 1 else 1.0))
     return params
 
 
+def _rows(docs: DataFrame, rules: Rules, text: str = "text") -> DataFrame:
+    counted = with_statistics(docs, base_statistics, text)
+    return counted.select("*", *[c.alias(n) for n, c in vector().items()], base_failed(rules).alias("base_failed"))
+
+
 def judge(docs: DataFrame, rules: Rules = Rules(), text: str = "text") -> DataFrame:
     """``docs`` without ``text``, with the counts, base_failed, stratum, distance (double, null without estimate), kept."""
     need(docs, text, "lang", "source")
     made = {"n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_distinct_words", *Z}
     made |= {"base_failed", "stratum", "distance", "kept"}
     docs = docs.drop(*[c for c in docs.columns if c in made])
-    counted = with_statistics(docs, base_statistics, text)
-    rows = written(counted.select("*", *[c.alias(n) for n, c in vector().items()], base_failed(rules).alias("base_failed")))
-    rows = _strata(rows, rules)
+    rows = _strata(written(_rows(docs, rules, text)), rules)
     fit = rows.where("not base_failed and stratum is not null").select("stratum", *Z)
     judged = _distances(rows, robust_estimates(fit, rules), "distance")
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= rules.cutoff, F.lit(True))
     return judged.withColumn("kept", kept).drop(*Z)
+
+
+def passing(docs: DataFrame, rules: Rules = Rules(), text: str = "text") -> DataFrame:
+    """``docs`` that are kept, unchanged: estimates from the written counts, then one pass over the texts."""
+    need(docs, text, "lang", "source")
+    slim = docs.select("lang", "source", F.col(text).alias("text"))
+    rows = written(_rows(slim, rules))
+    fit = _strata(rows, rules).where("not base_failed and stratum is not null").select("stratum", *Z)
+    params = robust_estimates(fit, rules)
+    whole = docs.select(F.struct(*docs.columns).alias("__doc"), "lang", "source", F.col(text).alias("text"))
+    judged = _distances(_strata(_rows(whole, rules), rules, rows), params, "distance")
+    kept = judged.where(~F.col("base_failed") & F.coalesce(F.col("distance") <= rules.cutoff, F.lit(True)))
+    return kept.select("__doc.*")
