@@ -554,14 +554,15 @@ def _(t):
 
 
 @query("E7_snapped_points", """
-SELECT s.sid, f.r, f.c, f.steps FROM stations s LEFT JOIN (SELECT * FROM (WITH RECURSIVE w(sid, r, c, steps) AS (
+SELECT s.sid, coalesce(f.r, -1) AS r, coalesce(f.c, -1) AS c, coalesce(f.steps, -1) AS steps FROM stations s LEFT JOIN (SELECT * FROM (WITH RECURSIVE w(sid, r, c, steps) AS (
   SELECT sid, CAST(floor(y) AS BIGINT), CAST(floor(x) AS BIGINT), 0 FROM stations UNION ALL
   SELECT w.sid, d.tr, d.tc, w.steps + 1 FROM w JOIN d8 d ON d.r = w.r AND d.c = w.c WHERE d.src <> 1 AND d.fdr > 0 AND w.steps < 25)
   SELECT w.sid, w.r, w.c, w.steps FROM w JOIN d8 d ON d.r = w.r AND d.c = w.c WHERE d.src = 1)) f ON f.sid = s.sid""")
 def _(t):
     pts = t.gauges().select(F.col("sid").alias("pt"), F.floor("y").cast("int").alias("row"), F.floor("x").cast("int").alias("col"))
     df = raster.snap(pts, _flows(t))
-    return df.select(F.col("pt").alias("sid"), F.col("srow").cast("long").alias("r"), F.col("scol").cast("long").alias("c"), "steps")
+    off = lambda c: F.coalesce(c, F.lit(-1))
+    return df.select(F.col("pt").alias("sid"), off("srow").cast("long").alias("r"), off("scol").cast("long").alias("c"), off("steps").alias("steps"))
 
 
 @query("R8b_separated_inflows", f"""
