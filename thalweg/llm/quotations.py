@@ -142,3 +142,53 @@ def conversations(messages: DataFrame) -> DataFrame:
         "reply_order",
         chat(role, F.col("body")).alias("chat"),
     )
+
+
+#: The same in DuckDB's SQL.
+QUOTATIONS_SQL = r"""
+WITH m AS (
+  SELECT row_number() OVER () AS id, *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST) - 1 AS place
+  FROM conversations
+), cut AS (
+  SELECT id, unnest(string_split_regex(coalesce(text, ''), '\r?\n')) AS line,
+    generate_subscripts(string_split_regex(coalesce(text, ''), '\r?\n'), 1) AS i FROM m
+), lines AS (
+  SELECT id, i, len(regexp_replace(regexp_extract(line, '^((?:[ \t]*>)+)', 1), '[^>]', '', 'g')) AS level,
+    regexp_replace(line, '^((?:[ \t]*>)+) ?', '') AS body FROM cut
+), own AS (
+  SELECT id, trim(string_agg(body, chr(10) ORDER BY i), ' ') AS body FROM lines WHERE level = 0 GROUP BY id
+), runs AS (
+  SELECT *, i - row_number() OVER (PARTITION BY id, level ORDER BY i) AS run FROM lines WHERE level > 0
+), passages AS (
+  SELECT id, level, string_agg(body, chr(10) ORDER BY i) AS text FROM runs GROUP BY id, level, run
+), quotes AS (
+  SELECT p.id, p.level, m.conv_id, m.place,
+    md5(trim(regexp_replace(lower(p.text), '[\x20\x09-\x0D]+', ' ', 'g'), ' ')) AS hash
+  FROM passages p JOIN m ON m.id = p.id WHERE trim(p.text, ' ') <> ''
+), bodies AS (
+  SELECT m.id, m.conv_id, m.place, o.body FROM m JOIN own o ON o.id = m.id WHERE trim(o.body, ' ') <> ''
+), parts AS (
+  SELECT conv_id, place, body AS part FROM bodies
+  UNION SELECT conv_id, place, unnest(string_split_regex(body, '\n\s*\n')) FROM bodies
+  UNION SELECT conv_id, place, unnest(string_split(body, chr(10))) FROM bodies
+), originals AS (
+  SELECT conv_id, min(place) AS place, md5(trim(regexp_replace(lower(part), '[\x20\x09-\x0D]+', ' ', 'g'), ' ')) AS hash
+  FROM parts WHERE trim(part, ' ') <> '' GROUP BY conv_id, hash
+), linked AS (
+  SELECT q.id, q.level, max(CASE WHEN o.conv_id IS NOT DISTINCT FROM q.conv_id AND o.place < q.place THEN o.place END) AS here,
+    count(CASE WHEN o.conv_id IS DISTINCT FROM q.conv_id THEN o.place END) AS others
+  FROM (SELECT row_number() OVER () AS q, * FROM quotes) q LEFT JOIN originals o ON o.hash = q.hash GROUP BY q.q, q.id, q.level
+), summed AS (
+  SELECT id, count(*) AS n_quotes, max(level) AS max_level, count(CASE WHEN here IS NOT NULL OR others > 0 THEN 1 END) AS n_linked,
+    max(CASE WHEN level = 1 THEN here END) AS quoted FROM linked GROUP BY id
+), replies AS (
+  SELECT m.*, coalesce(o.body, '') AS body, s.n_quotes, s.max_level, s.n_linked, s.quoted,
+    coalesce(s.quoted, CASE WHEN m.place > 0 THEN m.place - 1 END) AS reply_to
+  FROM m LEFT JOIN own o ON o.id = m.id LEFT JOIN summed s ON s.id = m.id
+)
+SELECT conv_id, turn, role, body, place, CAST(coalesce(n_quotes, 0) AS BIGINT) AS n_quotes, CAST(coalesce(max_level, 0) AS INT) AS max_level,
+  CAST(coalesce(n_linked, 0) AS BIGINT) AS n_linked, reply_to, quoted IS NOT NULL AS by_quote,
+  row_number() OVER (PARTITION BY conv_id ORDER BY reply_to NULLS FIRST, place) - 1 AS reply_order,
+  '<|im_start|>' || coalesce(role, 'unknown') || chr(10) || body || '<|im_end|>' || chr(10) AS chat
+FROM replies
+"""
