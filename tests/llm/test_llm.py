@@ -153,6 +153,25 @@ def test_join_loses_no_link(spark, seed):
     assert got == brute_groups(rows)
 
 
+def chained_copies(seed):
+    """Short documents of which each adds a word to the one before it, or is shifted by one."""
+    rng = random.Random(seed)
+    rows = []
+    for g in range(60):
+        n, steps = rng.randint(8, 30), rng.randint(3, 8)
+        words = [f"c{g}w{i}" for i in range(n + steps)]
+        for i in range(steps):
+            rows.append((len(rows) + 1, " ".join(words[: n + i] if g % 2 else words[i : n + i])))
+    return rows
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_join_loses_no_link_of_small_crowds(spark, seed):
+    rows = chained_copies(seed)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.group(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_groups(rows)
+
+
 def test_join_of_documents_and_awkward_rows(documents, awkward, empty):
     rows = [(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()]
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.group(documents).collect()}
