@@ -182,3 +182,24 @@ def test_gauge_stream(spark, tmp_path):
     df = gauges.located(gauges.incoming(spark, source, "id string, x double, y double"), lakes, 2.0)
     gauges.into_table(df, out, str(tmp_path / "mark")).awaitTermination()
     assert [(r.id, r.lake_id) for r in spark.read.parquet(out).collect()] == [("a", 7)]
+
+
+def test_pits_across_tiles(spark):
+    rng = np.random.default_rng(3)
+    n = 40
+    z = np.round(rng.random((n, n)) * 20)
+    z[6:30, 6:30] = 3.0  # a basin over several tiles, behind a wall with one low pass
+    z[5, 5:31] = z[30, 5:31] = z[5:31, 5] = z[5:31, 30] = 50.0
+    z[5, 17] = 30.0
+    want = np.where(np.pad(np.zeros((n - 2, n - 2), bool), 1, constant_values=True), z, np.inf)
+    while True:
+        around = np.pad(want, 1, constant_values=np.inf)
+        low = np.min([around[1 + r : n + 1 + r, 1 + c : n + 1 + c] for r in (-1, 0, 1) for c in (-1, 0, 1)], axis=0)
+        new = np.minimum(want, np.maximum(z, low))
+        if (new == want).all():
+            break
+        want = new
+    cells = [(r // 8 * 1000 + c // 8, r, c, float(z[r, c])) for r in range(n) for c in range(n)]
+    got = routing.fill_pits(spark.createDataFrame(cells, "tile long, row int, col int, z double")).collect()
+    assert len(got) == n * n
+    assert all(x.z == want[x.row, x.col] for x in got)

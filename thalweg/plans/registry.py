@@ -652,7 +652,7 @@ def _(t):
 
 @query("E1_filled_pits")
 def _(t):
-    """Depressions filled, tile by tile."""
+    """Depressions filled over the whole grid, from tiles of 64 x 64 cells."""
     from ..operators import routing
 
     tiled = t.cells().select((F.floor(F.col("row") / 64) * 1000 + F.floor(F.col("col") / 64)).cast("long").alias("tile"), "row", "col", "z")
