@@ -226,6 +226,15 @@ def _(t):
     return spatial.connect_nodes(pts, t.lines().select("LINKNO", "line"), 5.0, 1000.0).select("pt", "LINKNO", six(F.col("d")).alias("d"))
 
 
+@query("J7_connect_nodes_all")
+def _(t):
+    """J7 for points of every stream."""
+    t.streams.createOrReplaceTempView("streams")
+    every = t.spark.sql(_POINTS.partition(" WHERE ")[0])
+    pts = every.select("pt", "point_type", F.struct(F.col("px").alias("x"), F.col("py").alias("y")).alias("p"))
+    return spatial.connect_nodes(pts, t.lines().select("LINKNO", "line"), 5.0, 1000.0).select("pt", "LINKNO", six(F.col("d")).alias("d"))
+
+
 @query("J9_nearest_stream", "SELECT LINKNO FROM streams ORDER BY sqrt(power(3e4 - x1, 2) + power(25e2 - y1, 2)), LINKNO LIMIT 1")
 def _(t):
     p = F.struct(F.lit(30000.0).alias("x"), F.lit(2500.0).alias("y"))
@@ -328,6 +337,13 @@ def _(t):
     return network.trace_downstream(starts, _reach(t), stops)
 
 
+@query("T3_trace_downstream_all")
+def _(t):
+    """T3 from every link."""
+    stops = t.streams.where("LINKNO % 5 = 0").select(F.col("LINKNO").alias("stop"))
+    return network.trace_downstream(t.streams.select(F.col("LINKNO").alias("start")), _reach(t), stops)
+
+
 @query("T6_contraction", """
 WITH into_ AS (SELECT LINKNO, CAST(floor(LINKNO / 2) AS BIGINT) AS winner FROM streams WHERE LINKNO % 9 = 0
   UNION ALL SELECT CAST(floor(LINKNO / 2) AS BIGINT), CAST(floor(LINKNO / 2) AS BIGINT) FROM streams WHERE LINKNO % 9 = 0), one AS (
@@ -356,6 +372,14 @@ def _(t):
     return best.select("lake_id", "start", six(F.col("Length")).alias("Length"), six(F.col("strmDrop")).alias("strmDrop"), six(F.col("DOUTSTART")).alias("DOUTSTART"))
 
 
+@query("T5_longest_path_all")
+def _(t):
+    """T5 over all links: lakes are the whole subtrees below the fourth level, and the links above them one more."""
+    top = F.when(F.col("lvl") >= 4, F.floor(F.col("LINKNO") / F.pow(F.lit(2.0), F.col("lvl") - 4)).cast("long")).otherwise(F.lit(0).cast("long"))
+    best = network.path_metrics(t.streams.select(top.alias("lake_id"), "LINKNO"), t.streams)
+    return best.select("lake_id", "start", six(F.col("Length")).alias("Length"), six(F.col("strmDrop")).alias("strmDrop"), six(F.col("DOUTSTART")).alias("DOUTSTART"))
+
+
 @query("T8_phantom_bypass", f"""
 WITH chain AS (SELECT * FROM (WITH RECURSIVE w(id, cur, hops) AS (SELECT s.LINKNO, s.DSLINKNO, 1 FROM streams s WHERE s.LINKNO % 7 <> 3 AND s.DSLINKNO % 7 = 3 AND s.DSLINKNO > 0 UNION ALL
   SELECT w.id, s.DSLINKNO, w.hops + 1 FROM w JOIN streams s ON s.LINKNO = w.cur WHERE s.DSLINKNO % 7 = 3 AND s.DSLINKNO > 0) SELECT * FROM w)),
