@@ -185,6 +185,85 @@ def test_join_of_documents_and_awkward_rows(documents, awkward, empty):
     assert jaccard_join.deduplicated(awkward).columns == awkward.columns
 
 
+def brute_components(rows):
+    """For each row, its set's size and the least id that links reach; ids may be null or repeated."""
+    sets = [shingle_set(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and b and 100 * len(a & b) >= 80 * len(a | b):
+                root[find(i)] = find(j)
+    least = {}
+    for i, (k, _) in enumerate(rows):
+        if k is not None:
+            least[find(i)] = min(k, least.get(find(i), k))
+    return sorted(((k, len(sets[i]), least.get(find(i)) if sets[i] else k) for i, (k, _) in enumerate(rows)), key=str)
+
+
+def grouped(spark, rows, join=jaccard_join.Join()):
+    return sorted(map(tuple, jaccard_join.group(spark.createDataFrame(rows, "doc_id long, text string"), join).collect()), key=str)
+
+
+def edited_copies(rng, name, n, copies, most):
+    """Copies of one text of ``n`` words, each with up to ``most`` words replaced, dropped or repeated, some edits alike."""
+    words = [f"{name}{i}" for i in range(n)]
+    common = [rng.randrange(n) for _ in range(6)]
+    out = []
+    for c in range(copies):
+        w = list(words)
+        for e in range(rng.randint(0, most)):
+            i = rng.choice(common) if rng.random() < 0.3 else rng.randrange(len(w))
+            i = min(i, len(w) - 1)
+            kind = rng.randrange(3)
+            w[i : i + 1] = [f"x{c}y{e}"] if kind == 0 else [] if kind == 1 else [w[i], w[i]]
+        out.append(" ".join(w))
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_families_lose_no_link(spark, seed):
+    """Large crowds in which most pairs lie just above or below the similarity asked."""
+    rng = random.Random(seed)
+    texts = [t for g in range(6) for t in edited_copies(rng, f"g{g}w", rng.randint(20, 160), 40, 9)]
+    texts += [" ".join(f"p{i}" for i in range(60)) + " " + " ".join(f"d{d}q{i}" for i in range(rng.randint(5, 40))) for d in range(40)]
+    texts += [f"alone{i}" for i in range(30)] + [f"a{i % 3} b c d e f g h i{i}" for i in range(30)]
+    rng.shuffle(texts)
+    rows = list(enumerate(texts, 1))
+    join = jaccard_join.Join() if seed == 1 else jaccard_join.Join(pivots=1, common_least=5, common_share=0.02)
+    assert grouped(spark, rows, join) == brute_components(rows)
+
+
+def test_small_crowds_around_a_similar_pair(spark):
+    """A passage gathers a similar pair and one to four sets that are like neither."""
+    rows = []
+    for g in range(48):
+        passage, unlike = " ".join(f"s{g}s{i}" for i in range(40)), 1 + g % 4
+        tail = " ".join(f"g{g}t{i}" for i in range(20))
+        more = [f"{passage} {tail}", f"{passage} {tail} end"] + [passage + " " + " ".join(f"g{g}u{u}v{i}" for i in range(20)) for u in range(unlike)]
+        rows += [(100 * g + i, t) for i, t in enumerate(more)]
+    assert grouped(spark, rows) == brute_components(rows)
+
+
+def test_links_through_null_and_repeated_ids(spark):
+    rows = []
+    for g, middle in enumerate((None, 12, 21, 33)):
+        words = [f"g{g}w{i}" for i in range(60)]
+        p, q, r = (" ".join(words[i : i + 50]) for i in (0, 4, 8))
+        rows += [(10 * g + 1, p), (middle, q), (10 * g + 3, r)]
+    other = [f"v{i}" for i in range(60)]
+    more = [(5, "p " * 9), (5, " ".join(other[:50])), (6, " ".join(other[4:54])), (None, "a b c d e f"), (None, "a b c d e f"), (None, None)]
+    assert grouped(spark, rows + more) == brute_components(rows + more)
+    rows = more
+    kept = jaccard_join.deduplicated(spark.createDataFrame([*rows, rows[0], rows[1]], "doc_id long, text string"))
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([rows[0], rows[1], rows[3], rows[5]], key=str)
+
+
 def test_parity_sketches_bound_the_difference():
     rng = np.random.default_rng(0)
     for n in (3, 40, 700):

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,22 +21,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see: ``spark.checkpoint.dir``, or a temporary one where it is unset."""
+    """The folder that the driver and all executors see: ``spark.checkpoint.dir``; unset, a temporary one in local mode only."""
     sc = spark.sparkContext
     where = sc.getCheckpointDir()
     if where is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="thalweg-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="thalweg-"))
         where = sc.getCheckpointDir()
     return where
 
 
+_INNER: ContextVar[str | None] = ContextVar("folder of the tables of the operator that runs", default=None)
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: computed once, lineage cut, columns still pruned when it is read."""
-    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    path = f"{_INNER.get() or shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def tidied(spark: SparkSession, make: Callable[[], DataFrame]) -> DataFrame:
+    """What ``make`` returns, written; the tables that it has ``written`` on its way are deleted."""
+    folder = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    token = _INNER.set(folder)
+    try:
+        made = make()
+    finally:
+        _INNER.reset(token)
+    out = written(made)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return out
+
+
 def need(df: DataFrame, *names: str) -> None:
     if missing := [n for n in names if n not in df.columns]:
         raise ValueError(f"missing columns: {', '.join(missing)}")
