@@ -33,17 +33,20 @@ from .common import need
 
 ENDS = re.compile(r"[.!?\n]")
 LETTERS = re.compile(r"[^\W\d_]+")
+#: The log odds at which training starts for a span that shows no part.
+BIAS = -6.0
+OTHERS = re.compile(r"[^\w ]|[\d_]")
 
 
 @dataclass(frozen=True)
 class Learning:
     most_rows: int = 20_000
     sizes: tuple[int, ...] = (4, 5, 6)
-    least_gain: float = 25.0
+    least_gain: float = 12.0
     least_odds: float = 5.0
     most_parts: int = 3000
     rounds: int = 800
-    ridge: float = 1e-5
+    ridge: float = 5e-5
 
 
 @dataclass(frozen=True)
@@ -54,19 +57,17 @@ class Model:
 
 
 def normal(text: str) -> str:
-    """Lower case with word ends as spaces, of unchanged length."""
+    """Lower case with all but letters as spaces, of unchanged length: the words of ``LETTERS``, parted alike."""
     low = text.lower()
     if len(low) != len(text):
         low = "".join(x if len(x) == 1 else c for c in text for x in [c.lower()])
-    for mark in ".,;:!?\n\t\"'()":
-        low = low.replace(mark, " ")
-    return f" {low} "
+    return f" {OTHERS.sub(' ', low)} "
 
 
 @lru_cache(maxsize=200_000)
 def word_parts(word: str, sizes: tuple[int, ...]) -> tuple[str, ...]:
     w = f" {word} "
-    return tuple({w[i : i + n] for n in sizes for i in range(len(w) - n + 1)} | ({w} if len(w) <= 14 else set()))
+    return tuple({w[i : i + n] for n in sizes for i in range(len(w) - n + 1)} | {w})
 
 
 def _automaton(parts: tuple[str, ...]):
@@ -156,9 +157,23 @@ def fit(texts: DataFrame, learning: Learning = Learning()) -> Model:
     return Model(parts, tuple(float(w) for w in weights), float(bias))
 
 
+def _first_weights(y, owner, row, col, n_parts) -> np.ndarray:
+    """Weights by which a span that shows a part alone has the log odds of the part's documents.
+
+    Parts of one word show together, so each starts with its share of the sum. From smaller weights the likelihood
+    would leave those of a word low whose documents other words explain as well.
+    """
+    seen = np.unique(owner[row] * n_parts + col) if len(row) else np.zeros(0, np.int64)
+    doc, part = seen // max(n_parts, 1), seen % max(n_parts, 1)
+    toxic = np.bincount(part, y[doc], n_parts)
+    clean = np.bincount(part, 1 - y[doc], n_parts)
+    beside = np.bincount(col, np.bincount(row)[row] if len(row) else None, n_parts) / np.maximum(np.bincount(col, minlength=n_parts), 1)
+    return (np.log((toxic + 0.5) / (clean + 0.5)) - BIAS) / np.maximum(beside, 1)
+
+
 def _train(y, plain, owner, row, col, n_spans, n_parts, learning) -> tuple[np.ndarray, float]:
     """Adam on the mean noisy-or log likelihood with a ridge."""
-    theta = np.concatenate([np.full(n_parts, 0.5), [-6.0]])
+    theta = np.concatenate([_first_weights(y, owner, row, col, n_parts), [BIAS]])
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     n = len(y)
     for t in range(1, learning.rounds + 1):
