@@ -7,12 +7,15 @@ of its lines: in the same conversation before the quoting message, or else in an
 message of its conversation that it quotes at level 1, or else to the message before it. Conversations come out as rows
 in reply order (messages by the place of what they reply to, then by their own), without quotes, formatted as chat turns.
 
-Originals are pre-aggregated by hash before the joins, and places in a conversation are counted by ranges of turns, so a
-conversation, text or quote of any number of rows is no hot task.
+Originals are pre-aggregated by hash and written before the joins, which can then split a common line, and places in a
+conversation are counted by ranges of turns, so a conversation or line of any number of rows is no hot task. Only rows
+of one conversation with equal turns, or replies to one message, are a range that is not cut.
+
+A passage is linked if it equals a whole message, a paragraph or a line; other excerpts have no origin.
 
 Nulls: a null text is empty; a null conversation is one of its own; a null turn comes first; a null role is ``unknown``.
 Rows of equal conversation and turn are ordered by role and text. An empty table gives an empty result. Other columns
-are kept; clashing ones are replaced.
+are left out.
 """
 
 from __future__ import annotations
@@ -81,7 +84,7 @@ def parse(messages: DataFrame) -> DataFrame:
 
 def placed(messages: DataFrame) -> DataFrame:
     """``messages`` with place: the number of earlier rows of the conversation."""
-    df = messages.withColumn("__c", F.coalesce(F.col("conv_id").cast("string"), F.lit("null")))
+    df = messages.withColumn("__c", F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("null")))
     df = df.withColumn("__range", F.coalesce(F.floor(F.col("turn") / RANGE), F.lit(-(1 << 62))))
     df = df.withColumn("__one", F.lit(1).cast("long"))
     order = [F.asc_nulls_first("turn"), F.asc_nulls_first("role"), F.xxhash64("text")]
@@ -101,11 +104,11 @@ def links(parsed: DataFrame) -> DataFrame:
     quoted = parsed.where(F.size("quotes") > 0).select("__c", "place", F.posexplode("quotes").alias("quote", "q"))
     quoted = quoted.select("__c", "place", F.col("q.level").alias("level"), "quote", _key(F.col("q.text")).alias("hash"))
     found = originals(parsed)
-    inside = found.groupBy("hash", "__c").agg(F.min("place").alias("in_place"))
+    inside = written(found.groupBy("hash", "__c").agg(F.min("place").alias("in_place")))
     anywhere = inside.groupBy("hash").agg(
         F.min(F.struct("__c", "in_place")).alias("least"), F.max(F.struct("__c", "in_place")).alias("most")
     )
-    df = quoted.join(inside, ["hash", "__c"], "left").join(anywhere, "hash", "left")
+    df = quoted.join(inside, ["hash", "__c"], "left").join(written(anywhere), "hash", "left")
     here = F.col("in_place") < F.col("place")
     other = F.when(F.col("least.__c") != F.col("__c"), F.col("least")).when(F.col("most.__c") != F.col("__c"), F.col("most"))
     return df.select(
@@ -122,7 +125,8 @@ def chat(role: Column, body: Column) -> Column:
 def conversations(messages: DataFrame) -> DataFrame:
     """One row a message: conv_id, turn, role, body, place, n_quotes, max_level, n_linked, reply_to (the place of the
     message replied to, null for the first), by_quote, reply_order (from 0, gapless in a conversation), chat."""
-    parsed = written(placed(parse(messages)))
+    need(messages, "conv_id", "turn", "role", "text")
+    parsed = written(placed(parse(messages.select("conv_id", "turn", "role", "text"))))
     linked = links(parsed)
     own = linked.where("level = 1 and origin_c = __c").groupBy("__c", "place").agg(F.max("origin_place").alias("quoted"))
     n = linked.where("origin_c is not null").groupBy("__c", "place").agg(F.count(F.lit(1)).alias("n_linked"))
@@ -144,11 +148,54 @@ def conversations(messages: DataFrame) -> DataFrame:
     )
 
 
-#: The same in DuckDB's SQL.
+def quoting(messages: DataFrame) -> DataFrame:
+    """``messages`` in which four in five messages, by a hash of conversation and place, also quote: the message before,
+    that one and within it the one before it, only the latter, or the opening of their own conversation with that of the
+    conversation numbered one less within it. For tables of plain turns, so that there are quotations to link."""
+    df = placed(messages.select("conv_id", "turn", "role", "text"))
+    at = F.concat_ws(":", F.coalesce(F.col("conv_id").cast("string"), F.lit("")), F.col("place"))
+    kind = F.conv(F.substring(F.md5(at.cast("binary")), 1, 8), 16, 10).cast("long") % 5
+    df = written(df.withColumn("kind", kind))
+    back = lambda n, name: df.select("__c", (F.col("place") + n).alias("place"), F.col("text").alias(name))
+    opening = df.where("place = 0").select("__c", "conv_id", F.col("text").alias("opening"))
+    other = opening.where("conv_id is not null").select((F.col("conv_id") + 1).alias("conv_id"), F.col("opening").alias("other"))
+    df = df.join(back(1, "one"), ["__c", "place"], "left").join(back(2, "two"), ["__c", "place"], "left")
+    df = df.join(opening.drop("conv_id"), "__c", "left").join(other, "conv_id", "left")
+
+    def quote(name: str, level: int) -> Column:
+        marks = ">" * level + " "
+        return F.concat(F.lit(marks), F.replace(F.col(name), F.lit("\n"), F.lit("\n" + marks)), F.lit("\n"))
+
+    kinds = [(1, [("one", 1)]), (2, [("two", 2), ("one", 1)]), (3, [("two", 1)]), (4, [("other", 2), ("opening", 1)])]
+    text = F.col("text")
+    for kind, quotes in kinds:
+        quoted = F.concat(*[quote(*q) for q in quotes], F.coalesce("text", F.lit("")))
+        text = F.when((F.col("kind") == kind) & (F.col("place") > 0) & quoted.isNotNull(), quoted).otherwise(text)
+    return df.select("conv_id", "turn", "role", text.alias("text"))
+
+
+#: The same, of the table with quotations, in DuckDB's SQL.
 QUOTATIONS_SQL = r"""
-WITH m AS (
+WITH plain AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST) - 1 AS place FROM conversations
+), kinds AS (
+  SELECT p.*, o.text AS one, t.text AS two, f.text AS opening, x.text AS other FROM plain p
+  LEFT JOIN plain o ON o.conv_id IS NOT DISTINCT FROM p.conv_id AND o.place = p.place - 1
+  LEFT JOIN plain t ON t.conv_id IS NOT DISTINCT FROM p.conv_id AND t.place = p.place - 2
+  LEFT JOIN plain f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.place = 0
+  LEFT JOIN plain x ON x.conv_id = p.conv_id - 1 AND x.place = 0
+), hashed AS (
+  SELECT *, CAST('0x' || substr(md5(coalesce(CAST(conv_id AS VARCHAR), '') || ':' || place), 1, 8) AS BIGINT) % 5 AS kind FROM kinds
+), conversing AS (
+  SELECT conv_id, turn, role, coalesce(CASE WHEN place > 0 THEN CASE kind
+    WHEN 1 THEN '> ' || replace(one, chr(10), chr(10) || '> ') || chr(10) || coalesce(text, '')
+    WHEN 2 THEN '>> ' || replace(two, chr(10), chr(10) || '>> ') || chr(10) || '> ' || replace(one, chr(10), chr(10) || '> ') || chr(10) || coalesce(text, '')
+    WHEN 3 THEN '> ' || replace(two, chr(10), chr(10) || '> ') || chr(10) || coalesce(text, '')
+    WHEN 4 THEN '>> ' || replace(other, chr(10), chr(10) || '>> ') || chr(10) || '> ' || replace(opening, chr(10), chr(10) || '> ') || chr(10) || coalesce(text, '')
+    END END, text) AS text FROM hashed
+), m AS (
   SELECT row_number() OVER () AS id, *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST) - 1 AS place
-  FROM conversations
+  FROM conversing
 ), cut AS (
   SELECT id, unnest(string_split_regex(coalesce(text, ''), '\r?\n')) AS line,
     generate_subscripts(string_split_regex(coalesce(text, ''), '\r?\n'), 1) AS i FROM m
