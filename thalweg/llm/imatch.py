@@ -1,9 +1,12 @@
 """Document fingerprints by I-Match over randomised lexicon subsets.
 
 The lexicon holds the terms whose share of documents lies in a band: too common ones say little, rare ones are typos and
-names. Each term belongs by hash to one of ``subsets`` random parts of the lexicon. For each part, a document's distinct
-terms in it are sorted and hashed; the fingerprint is the row of these hashes. The likeness of two fingerprints is the
-share of equal hashes among the parts that either has terms of.
+names. Its randomised subsets overlap: at each of ``levels`` a term is kept with a chance that falls by ``spread`` from
+one level to the next, and what is kept is dealt into ``parts`` random parts. For each part of each level, a document's
+distinct terms in it are sorted and hashed; the fingerprint is the row of these hashes. A part holds one or two terms of
+a document at the level that suits its length, so the likeness of two fingerprints, the share of equal hashes among the
+parts that either has terms of, is taken over the levels of which at most half of the parts are held. A text without a
+term of the band has one hash of all its terms, or of itself if it has none, and is only like its equals.
 
 The lexicon is bounded: a document share of at least ``low`` leaves at most (mean distinct terms of a document) / low
 terms, whatever the corpus; it becomes a hash table in the expression, a few lookups a term. Counts are over all documents.
@@ -12,7 +15,7 @@ Neighbours: documents are parted into ranges of the id whose bounds occur; the f
 range before, so every document meets its successor in one shuffle, no task having more than a range.
 
 Nulls: a null text is empty; null ids come last and are neighbours in the order of their texts' hashes, as are rows with
-equal ids. An empty table gives an empty result. Clashing column names are replaced.
+equal ids. An empty table gives an empty result. Columns of the names added are replaced; others may have any names.
 """
 
 from __future__ import annotations
@@ -24,20 +27,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import _longs, let, need, range_bounds, range_of
+from .text_stats import fields
 
 #: What parts terms: ASCII but letters and digits.
 BETWEEN = r"[\x00-\x2F:-@\[-`{-\x7F]+"
-NONE = "----"
+#: The hash of a part of which a text has no term.
+NONE = ""
+MADE = ("n_chars", "fingerprint", "edited_sha256", "edited", "next")
 
 
 @dataclass(frozen=True)
 class Lexicon:
-    """Band of the share of documents, and number of random parts; at least ``least`` documents show a term."""
+    """Band of the share of documents, and the randomised subsets; at least ``least`` documents show a term."""
 
     low: float = 0.001
     high: float = 0.2
     least: int = 2
-    subsets: int = 64
+    levels: int = 4
+    spread: int = 4
+    parts: int = 32
     rows_per_range: int = 2048
     most_ranges: int = 32_768
 
@@ -74,12 +82,19 @@ def _table(words: DataFrame) -> tuple[list[int], int]:
 
 
 def fingerprint(text: Column, table: tuple[list[int], int], band: Lexicon) -> Column:
-    """Array of the hashes, four hex digits each, of the sorted distinct terms in each part of the lexicon."""
+    """Array of the hashes, eight hex digits each, of the sorted distinct terms in each part of each level, and one more
+    of a text without any."""
 
     entries, reach = table
     slots = len(entries) - 64
+    bits = (band.parts - 1).bit_length()
+    room = 61 - (band.levels * band.parts).bit_length()  # bits of a term beside its part
+    marks = [i << room for i in range(band.levels * band.parts + 1)]
 
-    def held(words: Column) -> Column:
+    def digits(x: Column) -> Column:
+        return F.lower(F.lpad(F.hex(F.pmod(x, F.lit(1 << 32))), 8, "0"))
+
+    def held(words: Column, all_: Column) -> Column:
         def known(t: Column) -> Column:
             at = F.pmod(t, F.lit(slots)).cast("int")
             found = F.lit(False)
@@ -88,31 +103,57 @@ def fingerprint(text: Column, table: tuple[list[int], int], band: Lexicon) -> Co
                 found = F.when(here == t, F.lit(True)).when(here == 0, F.lit(False)).otherwise(found)
             return found
 
-        return F.transform(F.filter(terms(text), known), code)
+        return F.filter(all_, known)
+
+    def codes(kept: Column) -> Column:
+        lot = lambda t: F.xxhash64(t, F.lit(1))
+        part = lambda t: F.shiftrightunsigned(lot(t), 64 - bits)
+
+        def level(j: int) -> Column:
+            some = kept if j == 0 else F.filter(kept, lambda t: F.pmod(lot(t), F.lit(band.spread**j)) == 0)
+            return F.transform(some, lambda t: F.shiftleft(part(t) + band.parts * j, room) + F.shiftrightunsigned(t, 65 - room))
 
-    bits = (band.subsets - 1).bit_length()
-    part = lambda t: F.shiftrightunsigned(F.xxhash64(t, F.lit(1)), 64 - bits)
-    code = lambda t: F.shiftleft(part(t), 57 - bits) + F.shiftrightunsigned(t, 8 + bits)
-    marks = [i << (57 - bits) for i in range(band.subsets + 1)]
+        return F.sort_array(F.concat(*[level(j) for j in range(band.levels)], _longs(marks)))
 
-    def hashes(codes: Column) -> Column:
-        where = [F.array_position(codes, F.lit(m)).cast("int") for m in marks]
+    def hashes(sorted_: Column) -> Column:
+        where = [F.array_position(sorted_, F.lit(m)).cast("int") for m in marks]
 
         def piece(i: int, at: Column) -> Column:
             first, end = F.get(at, F.lit(i)), F.get(at, F.lit(i + 1))
-            value = F.lower(F.lpad(F.hex(F.pmod(F.xxhash64(F.slice(codes, first + 1, end - first - 1)), F.lit(65536))), 4, "0"))
+            value = digits(F.xxhash64(F.slice(sorted_, first + 1, end - first - 1)))
             return F.when(end - first <= 1, F.lit(NONE)).otherwise(value)
 
-        return let(F.array(*where), lambda at: F.array(*[piece(i, at) for i in range(band.subsets)]))
+        return let(F.array(*where), lambda at: F.array(*[piece(i, at) for i in range(len(marks) - 1)]))
+
+    def whole(all_: Column, kept: Column) -> Column:
+        own = F.when(F.size(all_) > 0, F.xxhash64(F.sort_array(all_))).otherwise(F.xxhash64(text))
+        rest = F.when(F.size(kept) > 0, F.lit(NONE)).otherwise(digits(own))
+        return F.concat(let(codes(kept), hashes), F.array(rest))
+
+    return let(terms(text), lambda all_: let(let(_longs(entries), lambda w: held(w, all_)), lambda kept: whole(all_, kept)))
+
+
+def likeness(a: Column, b: Column, band: Lexicon = Lexicon()) -> Column:
+    """Share of equal hashes among the parts that either fingerprint (arrays) has terms of, over the levels of which either
+    has at most half, and the last; equal ones are 1."""
+
+    def level(j: int) -> Column:
+        x, y = (F.slice(c, band.parts * j + 1, band.parts) for c in (a, b))
+        each = F.zip_with(x, y, lambda p, q: F.when((p == NONE) & (q == NONE), 0).when(p == q, 2).otherwise(1))
+
+        def counts(c: Column) -> Column:
+            some = F.size(F.filter(c, lambda v: v > 0))
+            fits = (some * 2 <= band.parts) | F.lit(j == band.levels - 1)
+            equal = F.size(F.filter(c, lambda v: v == 2))
+            return F.struct(F.when(fits, some).otherwise(0).alias("some"), F.when(fits, equal).otherwise(0).alias("equal"))
 
-    return let(F.sort_array(F.concat(let(_longs(entries), held), _longs(marks))), hashes)
+        return let(each, counts)
 
+    def share(levels: Column) -> Column:
+        total = lambda name: sum((F.get(levels, F.lit(j))[name] for j in range(band.levels)), F.lit(0))
+        return F.when(total("some") == 0, F.lit(0.0)).otherwise(total("equal") / total("some").cast("double"))
 
-def likeness(a: Column, b: Column) -> Column:
-    """Share of equal hashes among the parts that either fingerprint (arrays) has terms of; equal ones are 1."""
-    either = F.size(F.filter(F.zip_with(a, b, lambda x, y: (x != NONE) | (y != NONE)), lambda x: x))
-    equal = F.size(F.filter(F.zip_with(a, b, lambda x, y: (x != NONE) & (x == y)), lambda x: x))
-    return F.when(a == b, F.lit(1.0)).when(either == 0, F.lit(0.0)).otherwise(equal / either.cast("double"))
+    return F.when(a == b, F.lit(1.0)).otherwise(let(F.array(*[level(j) for j in range(band.levels)]), share))
 
 
 def with_successor(df: DataFrame, key: str, columns: list[str], band: Lexicon, ties: list[Column]) -> DataFrame:
@@ -130,10 +171,10 @@ def with_successor(df: DataFrame, key: str, columns: list[str], band: Lexicon, t
         F.lit(True).alias("ghost"),
     )
     sent = F.when(first, F.array(home, before)).otherwise(F.array(home))
-    rows = df.withColumn("__r", at).select("*", F.explode(sent).alias("__at")).select("*", "__at.*").drop("__at", "__r")
-    w = Window.partitionBy("r").orderBy("wrap", "__k", *ties)
+    rows = df.withColumn("__r", at).select("*", F.explode(sent).alias("__at")).drop("__r")
+    w = Window.partitionBy("__at.r").orderBy("__at.wrap", "__k", *ties)
     rows = rows.select("*", *[F.lead(c).over(w).alias(f"next_{c}") for c in columns])
-    return rows.where("not ghost").drop("r", "wrap", "ghost", "__k")
+    return rows.where("not __at.ghost").drop("__at", "__k")
 
 
 def fingerprints(docs: DataFrame, band: Lexicon = Lexicon(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -142,23 +183,24 @@ def fingerprints(docs: DataFrame, band: Lexicon = Lexicon(), key: str = "doc_id"
     The edited text is the document with its last half replaced by the first half as long of its successor.
     """
     need(docs, key, text)
-    docs = docs.drop("n_chars", "fingerprint", "edited_sha256", "edited", "next")
     table = _table(lexicon(docs, band, text))
-    whole = F.coalesce(F.col(text), F.lit(""))
-    df = docs.withColumn(text, whole).withColumn("n_chars", F.char_length(text).cast("long"))
-    df = df.withColumn("fingerprint", fingerprint(F.col(text), table, band)).withColumn("__h", F.xxhash64(text))
-    df = with_successor(df, key, [text, "fingerprint"], band, [F.col("n_chars"), F.col("__h")])
+    kept = F.struct(*[c for c in docs.columns if c not in (text, *MADE)]).alias("__doc")
+    df = docs.select(kept, F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    df = df.withColumn("n_chars", F.char_length("text").cast("long"))
+    df = df.withColumn("fingerprint", fingerprint(F.col("text"), table, band)).withColumn("h", F.xxhash64("text"))
+    df = with_successor(df, "key", ["text", "fingerprint"], band, [F.col("n_chars"), F.col("h")])
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(
-        F.substring(F.col(text), F.lit(1), (F.col("n_chars") - half).cast("int")),
-        F.substring(F.col(f"next_{text}"), F.lit(1), half),
+        F.substring(F.col("text"), F.lit(1), (F.col("n_chars") - half).cast("int")),
+        F.substring(F.col("next_text"), F.lit(1), half),
     )
-    df = df.withColumn("__edited", edited)
+    df = df.withColumn("edited_text", edited)
     return df.select(
-        *docs.columns,
+        *fields(df, "__doc"),
+        F.col("text").alias(text),
         "n_chars",
         "fingerprint",
-        F.sha2(F.col("__edited").cast("binary"), 256).alias("edited_sha256"),
-        fingerprint(F.col("__edited"), table, band).alias("edited"),
+        F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"),
+        fingerprint(F.col("edited_text"), table, band).alias("edited"),
         F.col("next_fingerprint").alias("next"),
     )
