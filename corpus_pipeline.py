@@ -33,8 +33,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, in training order; the last of a source may be cut."""
-    mixed = mixing.mix(mixing.sized(docs))
-    return mixing.training_order(mixed).select(*docs.columns)
+    return mixing.training_order(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -310,10 +310,15 @@ def test_mix_meets_its_targets(awkward, empty, documents):
 
 
 def test_training_order_cuts_and_sorts(documents):
-    mixed = mixing.mix(mixing.sized(documents))
-    rows = mixing.training_order(mixed).collect()
-    assert [r.position for r in rows] == sorted(r.position for r in rows)
-    assert all(len(WORD.findall(r.text)) == r.words for r in rows)
+    takes = {}
+    for r in mixing.mix(mixing.sized(documents)).collect():
+        for t in r.takes:
+            takes[(t.position, r.source, r.doc_id, t.epoch)] = (r.doc_id, t.words)
+    rows = mixing.training_order(documents).collect()
+    assert [(r.doc_id, len(WORD.findall(r.text))) for r in rows] == [takes[k] for k in sorted(takes)]
+    texts = {r.doc_id: r.text for r in documents.collect()}
+    assert sum(texts[r.doc_id] != r.text for r in rows) <= len({r.source for r in rows})
+    assert all(texts[r.doc_id].startswith(r.text) for r in rows)
 
 
 def check_packing(rows, texts):
@@ -419,22 +424,66 @@ def test_fingerprints_of_edited_texts(documents, awkward, empty):
     assert imatch.fingerprints(empty, band).count() == 0
 
 
-def test_fingerprint_by_brute_force(spark, documents):
-    band = imatch.Lexicon()
-    lexicon = {r.term for r in imatch.lexicon(documents, band).collect()}
-    df = documents.where("length(text) < 3000").select("text", imatch.fingerprint(F.coalesce("text", F.lit("")), imatch._table(imatch.lexicon(documents, band)), band).alias("f"), imatch.terms(F.coalesce("text", F.lit(""))).alias("t"))
-    parts = df.select("f", F.transform("t", lambda x: F.struct(x.alias("t"), F.shiftrightunsigned(F.xxhash64(x, F.lit(1)), 58).alias("p"))).alias("t"))
-    for r in parts.collect():
-        shown = {x.p for x in r.t if x.t in lexicon}
-        assert [h != imatch.NONE for h in r.f] == [i in shown for i in range(64)]
+def spark_hash(*values):
+    """Spark's xxhash64 of strings, longs (or pairs of a value and its bytes) one after the other."""
+    import xxhash
+
+    seed = 42
+    for v in values:
+        data = v.encode() if isinstance(v, str) else v if isinstance(v, bytes) else struct.pack("<q", v)
+        seed = xxhash.xxh64(data, seed=seed & (1 << 64) - 1).intdigest()
+    return seed - (1 << 64) if seed >> 63 else seed
 
 
-def test_likeness(spark):
-    df = spark.createDataFrame([(["a", "----", "b"], ["a", "----", "c"]), (["----"] * 3, ["----"] * 3), (["----"] * 3, ["a", "b", "c"])], "x array<string>, y array<string>")
-    assert [r[0] for r in df.select(imatch.likeness(F.col("x"), F.col("y"))).collect()] == [0.5, 1.0, 0.0]
+def brute_fingerprint(text, lexicon, band):
+    every = {spark_hash(w) for w in re.split(r"[\x00-\x2F:-@\[-`{-\x7F]+", text.lower()) if w}
+    room, parts = 61 - (band.levels * band.parts).bit_length(), {}
+    for t in every & lexicon:
+        lot = spark_hash(t, struct.pack("<i", 1))
+        for j in range(band.levels):
+            if lot % band.spread**j == 0:
+                part = band.parts * j + ((lot & (1 << 64) - 1) >> (64 - (band.parts - 1).bit_length()))
+                parts.setdefault(part, []).append((part << room) + ((t & (1 << 64) - 1) >> (65 - room)))
+    hex_ = lambda h: f"{h % (1 << 32):08x}"
+    row = [hex_(spark_hash(*sorted(parts[i]))) if i in parts else "" for i in range(band.levels * band.parts)]
+    return row + ["" if parts else hex_(spark_hash(*sorted(every)) if every else spark_hash(text))]
 
 
-PAGES = [(1, "http://a/", "<p>x</p>"), (2, None, "<p>x</p>"), (9, "http://c/", "<p>x</p>"), (3, "u", None), (4, "u", ""), (5, "u\r\nv", "é" * 5000), (None, "u", "<p>x</p>"), (1, "http://a/", "<p>x</p>"), (6, "u", "é" * 5000)]
+def brute_likeness(a, b, band):
+    if a == b:
+        return 1.0
+    some = equal = 0
+    for j in range(band.levels):
+        pairs = [(x, y) for x, y in list(zip(a, b))[band.parts * j : band.parts * (j + 1)] if x or y]
+        if 2 * len(pairs) <= band.parts or j == band.levels - 1:
+            some, equal = some + len(pairs), equal + sum(x == y for x, y in pairs)
+    return equal / some if some else 0.0
+
+
+def test_fingerprints_and_likeness_by_brute_force(documents):
+    band = imatch.Lexicon()
+    lexicon = {r.term for r in imatch.lexicon(documents, band).collect()}
+    counts = Counter(t for r in documents.collect() for t in {spark_hash(w) for w in re.split(r"[\x00-\x2F:-@\[-`{-\x7F]+", (r.text or "").lower()) if w})
+    n = documents.count()
+    assert lexicon == {t for t, c in counts.items() if max(2, 0.001 * n) <= c <= max(2, 0.2 * n)}
+    df = imatch.fingerprints(documents.select("doc_id", "text"))
+    near = [imatch.likeness(F.col("fingerprint"), F.col(c)).alias(f"near_{c}") for c in ("edited", "next")]
+    rows = {r.doc_id: r for r in df.select("*", *near).collect()}
+    for r in rows.values():
+        if len(r.text) < 3000:
+            assert r.fingerprint == brute_fingerprint(r.text, lexicon, band)
+        assert r.near_edited == pytest.approx(brute_likeness(r.fingerprint, r.edited, band))
+        assert r.near_next == pytest.approx(brute_likeness(r.fingerprint, r.next, band))
+    assert np.mean([r.near_edited for r in rows.values()]) > 10 * np.mean([r.near_next for r in rows.values()])
+
+
+def test_texts_without_band_terms_are_like_their_equals_only(spark):
+    rows = [(i, t) for i, t in enumerate(["漢字", "漢字", "語", "", None, "???", "!!", "zork", "zork  "])]
+    band = imatch.Lexicon(least=100)
+    got = [r.fingerprint for r in imatch.fingerprints(spark.createDataFrame(rows, "doc_id long, text string"), band).orderBy("doc_id").collect()]
+    like = [[brute_likeness(a, b, band) for b in got] for a in got]
+    equal = [[1.0 if i == j or {i, j} in ({0, 1}, {3, 4}, {7, 8}) else 0.0 for j in range(9)] for i in range(9)]
+    assert like == equal
 
 
 def test_archives_round_trip(spark, tmp_path):
@@ -519,6 +568,60 @@ def test_quotations(spark):
     assert quotations.conversations(df.where("false")).count() == 0
 
 
+INNER = """x_length z_length n_words word_chars n_echo_words stratum fine start edge log_det salt m_z_length d2 lang_ ramp ranges words
+epoch take takes position source_size target size source_ r wrap ghost key h next_text fingerprint edited next n_docs term quoted place
+by_quote node root crowd family gram grams at text_hash cell copies shown none id n_shingles component_id score offending label __s __key
+__lot __range __start __k __at __c one base_failed distance judged_by kept sequence_id offset start_ length sid piece""".split()
+
+
+@pytest.fixture(scope="module")
+def clashing(spark, awkward):
+    """Awkward rows with further columns that have the names operators work with, each of one value."""
+    more = [F.lit(f"own {c}").alias(c) for c in INNER]
+    base = awkward.select("doc_id", "text", "lang", "source", "n_chars")
+    df = base.select("*", *more, F.lit("turn").alias("Turn"))
+    nulls = spark.createDataFrame([(None,) * 5], base.schema).select("*", *[F.lit(None).cast("string").alias(c) for c in df.columns[5:]])
+    return df.union(nulls)
+
+
+def own_values(df):
+    """The columns with names that clash whose values aren't what they were."""
+    names = [c for c in INNER if c in df.columns]
+    rows = df.where("doc_id is not null").select(*[F.col(c).cast("string") for c in names]).distinct().collect()
+    return [c for c in names if any(r[c] != f"own {c}" for r in rows)]
+
+
+def test_operators_with_clashing_names(clashing, labels):
+    learn, n = F.coalesce(crc_mod(F.col("doc_id"), 4) != 2, F.lit(False)), clashing.count()
+    added = {
+        "classify": (quality_classifier.classify(clashing, labels, learn), ["score"]),
+        "judge": (quality_rules.judge(clashing), [*quality_rules.COUNTS, "base_failed", "distance", "judged_by", "kept"]),
+        "mix": (mixing.mix(mixing.sized(clashing)), ["size", "source_size", "target", "taken", "position", "takes"]),
+        "fingerprints": (imatch.fingerprints(clashing), list(imatch.MADE)),
+        "detect": (toxicity.detect(clashing, labels, learn), ["score", "offending"]),
+    }
+    for name, (df, made) in added.items():
+        assert df.count() == n, name
+        assert not set(own_values(df)) - set(made), name
+        assert {c for c in clashing.columns if c != "text"} <= set(df.columns), name
+    assert jaccard_join.group(clashing).count() == n
+    assert len(packing.pack_documents(clashing, byte_bpe()).select("doc_id").distinct().collect()) == clashing.select("doc_id").distinct().count()
+    assert sharding.assign(clashing).count() == n
+
+
+def test_pipeline_stages_with_awkward_tables(spark, clashing, empty):
+    import corpus_pipeline
+
+    for name, stage in corpus_pipeline.STAGES:
+        for df in (clashing, empty.select("doc_id", "text", "lang", "source", "n_chars")):
+            out = stage(spark, df, SF)
+            rows = out.count()
+            if stage is not corpus_pipeline.pack_sequences:
+                assert out.columns == df.columns, name
+                assert own_values(out) == [], name
+            assert rows > 0 if df is clashing else rows == 0, name
+
+
 def test_pipeline_stages(spark):
     pipeline = pytest.importorskip("corpus_pipeline")
     docs = spark.read.parquet(f"{SF}/documents.parquet")

@@ -11,7 +11,7 @@ The order within a source is cut into ranges of the hash whose sums are ranged f
 
 Nulls: a null text has no words; null sources are one source; null ids rank first. Equal ids tie by size; rows that are
 equal in both are interchangeable. Documents without words are never taken (position null). An empty table gives an
-empty result. Clashing column names are replaced.
+empty result. Columns of the names added are replaced; others may have any names.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import SPACE, need, running_before, written
-from .text_stats import words_of
+from .text_stats import fields, words_of
 
 
 @dataclass(frozen=True)
@@ -87,8 +87,16 @@ def mix(docs: DataFrame, curriculum: Curriculum = Curriculum()) -> DataFrame:
     takes: an array of (epoch, words, position), a struct for each time that the document is taken; taken is the sum of
     its words and position, from 0 to 1, the first of its positions.
     """
+    rows = _placed(docs, curriculum)
+    taken = F.aggregate("takes", F.lit(0).cast("long"), lambda n, x: n + x["words"])
+    first = F.array_min(F.transform("takes", lambda x: x["position"]))
+    kept = fields(rows, "__doc", "source_size", "target", "taken", "position", "takes")
+    return rows.select(*kept, "source_size", "target", taken.alias("taken"), first.alias("position"), "takes")
+
+
+def _placed(docs: DataFrame, curriculum: Curriculum) -> DataFrame:
+    """``docs`` as the struct __doc, with source_size, target and takes."""
     need(docs, "doc_id", "source", "size")
-    docs = docs.drop("source_size", "target", "taken", "position", "takes")
     sources = docs.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
     key = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("null")).alias("__key")
     plan = written(
@@ -97,7 +105,7 @@ def mix(docs: DataFrame, curriculum: Curriculum = Curriculum()) -> DataFrame:
         )
     )
     lot = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    df = docs.select("*", key, lot.alias("__lot")).join(plan, "__key")
+    df = docs.select(F.struct(*docs.columns).alias("__doc"), "doc_id", "size", key, lot.alias("__lot")).join(plan, "__key")
     where = F.conv(F.substring("__lot", 1, 8), 16, 10).cast("long") * F.col("ranges")
     df = df.withColumn("__range", F.shiftright(where, 32))
     df = running_before(df, ["__key"], "__range", [F.col("__lot"), F.col("doc_id"), F.col("size")], "size", "__start")
@@ -111,23 +119,20 @@ def mix(docs: DataFrame, curriculum: Curriculum = Curriculum()) -> DataFrame:
         return F.struct(epoch.alias("epoch"), words.alias("words"), at.alias("position"))
 
     takes = F.array(*[take(F.lit(e).cast("long")) for e in range(curriculum.most)])
-    df = df.withColumn("takes", F.filter(takes, lambda x: x["words"] > 0))
-    taken = F.aggregate("takes", F.lit(0).cast("long"), lambda n, x: n + x["words"])
-    first = F.array_min(F.transform("takes", lambda x: x["position"]))
-    return df.select(
-        *docs.columns, "source_size", "target", taken.alias("taken"), first.alias("position"), "takes"
-    )
+    return df.select("__doc", "source_size", "target", F.filter(takes, lambda x: x["words"] > 0).alias("takes"))
 
 
-def training_order(mixed: DataFrame, text: str = "text") -> DataFrame:
-    """A row for each take, range-sorted by position; a text of which only some words are taken is cut after the last."""
-    rows = mixed.select("*", F.explode("takes").alias("__take")).drop("takes", "position")
-    rows = rows.select("*", "__take.*").drop("__take")
-    if text in rows.columns:
-        parts = F.split(F.col(text), f"(?<=[^{SPACE}])(?=[{SPACE}])")  # each ends with a word
-        cut = F.concat_ws("", F.slice(parts, F.lit(1), F.col("words").cast("int")))
-        rows = rows.withColumn(text, F.when(F.col("words") < F.col("size"), cut).otherwise(F.col(text)))
-    return rows.orderBy("position", "source", "doc_id", "epoch")
+def training_order(docs: DataFrame, curriculum: Curriculum = Curriculum(), text: str = "text") -> DataFrame:
+    """``docs`` (doc_id, source, text and any others), a row for each take, range-sorted by position: unchanged, but that
+    the text of which only some words are taken, one a source at most, is cut after the last of them."""
+    need(docs, "doc_id", "source", text)
+    whole = docs.select(F.struct(*docs.columns).alias("__whole"), "doc_id", "source", F.col(text).alias("text"))
+    rows = _placed(sized(whole, "text").drop("text"), curriculum).select("__doc.__whole", "__doc.size", F.explode("takes").alias("take"))
+    parts = F.split(F.col("__whole")[text], f"(?<=[^{SPACE}])(?=[{SPACE}])")  # each ends with a word
+    cut = F.concat_ws("", F.slice(parts, F.lit(1), F.col("take.words").cast("int")))
+    taken = F.when(F.col("take.words") < F.col("size"), cut).otherwise(F.col("__whole")[text])
+    ordered = rows.orderBy("take.position", "__whole.source", "__whole.doc_id", "take.epoch")
+    return ordered.select(*[taken.alias(c) if c == text else F.col("__whole")[c].alias(c) for c in docs.columns])
 
 
 #: The same in DuckDB's SQL.

@@ -7,7 +7,8 @@ terms taken from Cholesky factors that are computed once and become literals of
 
 Nulls: a null text is empty and scored as such; null ids are never learned from; null labels don't count. Of several
 labels of one id the least counts. Repeated rows are scored alike. An empty table, or one without labels of both
-classes, still scores: by the classes that exist, 0.5 if there are none. Clashing column names are replaced.
+classes, still scores: by the classes that exist, 0.5 if there are none. A column named score is replaced; others may
+have any names.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import need, written
-from .text_stats import style_statistics, with_statistics
+from .text_stats import fields, style_statistics, with_statistics
 
 
 @dataclass(frozen=True)
@@ -41,9 +42,9 @@ class Discriminant:
     temper: float
 
 
-def vector(at: str = "") -> dict[str, Column]:
+def vector() -> dict[str, Column]:
     """Ratios held towards a prior of 50 words, as roots or logs, so that texts of any length are comparable."""
-    n = lambda name: F.col(at + name)
+    n = lambda name: F.col("__s")[name]
     words, chars = n("n_words") + 50.0, n("word_chars") + 300.0
     return {
         "x_length": F.log(chars / words),
@@ -61,12 +62,11 @@ X = ["x_length", "x_symbols", "x_upper", "x_marks", "x_codes", "x_variety", "x_e
 
 
 def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` without ``text`` and with the transformed statistics, written once."""
+    """``docs`` without ``text`` as the struct __doc, and the transformed statistics, written once."""
     need(docs, text)
-    docs = docs.drop(*[c for c in docs.columns if c in X])
     counted = with_statistics(docs, style_statistics, text)
-    keep = [c for c in docs.columns if c != text]
-    return written(counted.select(*keep, *[c.alias(n) for n, c in vector().items()]))
+    kept = F.struct(*fields(counted, "__doc", text)).alias("__doc")
+    return written(counted.select(kept, *[c.alias(n) for n, c in vector().items()]))
 
 
 def fit(rows: DataFrame, label: str, shrinkage: Shrinkage = Shrinkage()) -> Discriminant:
@@ -113,11 +113,10 @@ def _log_density(model: Discriminant, c: int) -> Column:
     return F.lit(model.offsets[c]) - far / 2
 
 
-def score(rows: DataFrame, model: Discriminant, name: str = "score") -> DataFrame:
-    """``rows`` with score (0 to 1) in place of the statistics; a narrow native expression."""
+def score(model: Discriminant) -> Column:
+    """The score (0 to 1) of transformed statistics; a native expression."""
     odds = (_log_density(model, 1) - _log_density(model, 0)) / model.temper
-    value = 1 / (1 + F.exp(-F.greatest(F.lit(-500.0), F.least(F.lit(500.0), odds))))
-    return rows.withColumn(name, value).drop(*X)
+    return 1 / (1 + F.exp(-F.greatest(F.lit(-500.0), F.least(F.lit(500.0), odds))))
 
 
 def classify(
@@ -132,13 +131,14 @@ def classify(
     """``docs`` without ``text`` and with score; learns from labelled rows for which ``may_learn`` (of the key) holds."""
     need(docs, key, text)
     need(labels, key, label)
-    rows = statistics(docs.drop("score"), text)
-    return score(rows, _learned(rows, labels, may_learn, label, key, shrinkage))
+    rows = statistics(docs, text)
+    model = _learned(rows, labels, may_learn, label, key, shrinkage)
+    return rows.select(*fields(rows, "__doc", "score"), score(model).alias("score"))
 
 
 def _learned(rows: DataFrame, labels: DataFrame, may_learn: Column, label: str, key: str, shrinkage: Shrinkage) -> Discriminant:
     known = labels.where(may_learn & F.col(label).isNotNull()).groupBy(key).agg(F.min(label).alias("__label"))
-    return fit(rows.select(key, *X).join(known, key), "__label", shrinkage)
+    return fit(rows.select(F.col("__doc")[key].alias(key), *X).join(known, key), "__label", shrinkage)
 
 
 def accepted(
@@ -150,6 +150,5 @@ def accepted(
     known = labels.where(may_learn & F.col(label).isNotNull()).select(key).distinct()
     rows = statistics(docs.select(key, text).join(known, key), text)
     model = _learned(rows, labels, may_learn, label, key, shrinkage)
-    df = docs.select("*", style_statistics(F.col(text)).alias("__s"))
-    df = df.select("*", *[c.alias(n) for n, c in vector("__s.").items()])
-    return score(df, model, "__score").where(F.col("__score") >= least).select(*docs.columns)
+    df = with_statistics(docs, style_statistics, text).select("__doc", *[c.alias(n) for n, c in vector().items()])
+    return df.where(score(model) >= least).select(*fields(df, "__doc"))

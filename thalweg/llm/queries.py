@@ -35,7 +35,7 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
-    columns = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance"]
+    columns = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance", "judged_by"]
     return quality_rules.judge(docs).select("doc_id", *columns)
 
 
@@ -97,8 +97,8 @@ def op5_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         "n_chars",
         "edited_sha256",
-        F.concat_ws("", "fingerprint").alias("fingerprint"),
-        F.concat_ws("", "edited").alias("edited_fingerprint"),
+        F.concat_ws(".", "fingerprint").alias("fingerprint"),
+        F.concat_ws(".", "edited").alias("edited_fingerprint"),
         near("edited").alias("near_edited"),
         near("next").alias("near_next"),
     )
@@ -106,7 +106,7 @@ def op5_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quotations.conversations(table(spark, sf_dir, "conversations"))
+    return quotations.conversations(quotations.quoting(table(spark, sf_dir, "conversations")))
 
 
 ORACLE_SQL["op9_quotation_linking"] = quotations.QUOTATIONS_SQL

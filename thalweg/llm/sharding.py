@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import let, need, range_bounds, range_of, running_before
+from .text_stats import fields
 
 #: Fixed values of the published algorithm.
 MULTIPLIER, SHIFT, SCALE = 2862933555777941757, 1 << 33, float(1 << 31)
@@ -56,11 +57,12 @@ def assign(
 ) -> DataFrame:
     """``docs`` without ``text`` and with size, text_crc32, law, shard, slot and grown_shard."""
     need(docs, key, text)
-    docs = docs.drop("size", "text_crc32", "law", "shard", "slot", "grown_shard")
+    made = ["size", "text_crc32", "law", "shard", "slot", "grown_shard"]
     whole = F.coalesce(F.col(text), F.lit("")).cast("binary")
     bounds = range_bounds(docs, key, -(-docs.count() // rows_per_range))
     df = docs.select(
-        *[c for c in docs.columns if c != text],
+        F.struct(*[c for c in docs.columns if c not in (text, *made)]).alias("__doc"),
+        F.col(key).alias("key"),
         (F.octet_length(whole) + 8).cast("long").alias("size"),
         F.crc32(whole).alias("text_crc32"),
         F.lit("key").alias("law"),
@@ -69,8 +71,9 @@ def assign(
         F.lit(1).cast("long").alias("__one"),
     )
     df = df.select("*", F.col("__to.now").alias("shard"), F.col("__to.grown").alias("grown_shard")).drop("__to")
-    order = [F.asc_nulls_first(key), F.col("size"), F.col("text_crc32")]
-    return running_before(df, ["shard"], "__range", order, "__one", "slot").drop("__one", "__range")
+    order = [F.asc_nulls_first("key"), F.col("size"), F.col("text_crc32")]
+    df = running_before(df, ["shard"], "__range", order, "__one", "slot")
+    return df.select(*fields(df, "__doc"), *made)
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = 24, key: str = "doc_id") -> None:

@@ -110,6 +110,10 @@ def style_statistics(text: Column) -> Column:
 
 
 def with_statistics(docs: DataFrame, kind, text: str = "text") -> DataFrame:
-    """``docs`` without ``text`` and with the counts of ``kind`` as columns."""
-    df = docs.withColumn("__s", kind(F.col(text)))
-    return df.select(*[c for c in docs.columns if c != text], "__s.*")
+    """``docs``, as the struct __doc, and the counts of ``kind`` as the struct __s: names of columns can't clash."""
+    return docs.select(F.struct(*docs.columns).alias("__doc"), kind(F.col(text)).alias("__s"))
+
+
+def fields(df: DataFrame, struct: str, *without: str) -> list[Column]:
+    """The fields of a struct column as columns, but for ``without``."""
+    return [F.col(struct)[f.name].alias(f.name) for f in df.schema[struct].dataType.fields if f.name not in without]
