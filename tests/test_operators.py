@@ -42,6 +42,8 @@ def test_accumulate_and_path_sums(spark):
     assert below == {i: sum(range(1, i)) for i in range(1, 41)}
     with pytest.raises(ValueError):
         network.accumulate(spark.createDataFrame([(1, 2, 1), (2, 1, 1)], "id long, down long, w long"), "w", 6)
+    with pytest.raises(ValueError):
+        network.path_folds(spark.createDataFrame([(1, 2, 1), (2, 1, 1)], "id long, down long, w long"), ["w"])
 
 
 def test_zero_ends_walks_only_where_it_is_an_end(spark):
@@ -127,7 +129,7 @@ def test_aggregation_keeps_protected_units():
     tree.loc[5, "mask"], tree.loc[8, "mask"] = 3, 2
     tree["uparea"] = [30.0 * (n - i) for i in range(n)]
     tree["tree"] = 1
-    final = routing.aggregate_tree(tree)[-1][1]
+    final = pd.Series(routing.aggregate_tree(tree)[-1][1])
     assert final.notna().all() and final.loc[6] == 6 and final.loc[9] == 9
     assert (final == 6).sum() == 1  # a lake stays alone
     sums = tree.set_index("id").unit.groupby(final).sum()

@@ -1,4 +1,4 @@
-"""Queries over all links, which have no SQL, against plain Python."""
+"""Queries over all links against plain Python."""
 
 import math
 
@@ -29,7 +29,7 @@ def test_traces_start_at_every_link(spark, streams):
             want.add((k, at, hops))
             if at % 5 == 0:
                 break
-    assert {tuple(r) for r in registry.QUERIES["T3_trace_downstream_all"](spark, SF).collect()} == want
+    assert {tuple(r) for r in registry.QUERIES["T3_trace_downstream"](spark, SF).collect()} == want
 
 
 def test_longest_paths_cover_all_links(spark, streams):
@@ -39,7 +39,7 @@ def test_longest_paths_cover_all_links(spark, streams):
         if lake.get(s.USLINKNO1) != lake[k]:
             path = walk(streams, k, lambda n, k=k: lake[n] == lake[k])
             best.setdefault(lake[k], []).append(sum(streams[i].Length for i in path))
-    got = registry.QUERIES["T5_longest_path_all"](spark, SF).collect()
+    got = registry.QUERIES["T5_longest_path"](spark, SF).collect()
     assert {r.lake_id for r in got} == set(best)
     assert all(math.isclose(r.Length, max(best[r.lake_id]), abs_tol=1e-5) for r in got)
 
@@ -56,4 +56,4 @@ def test_points_of_every_stream_connect(spark, streams):
                 near.append((math.hypot(px - end[0], py - end[1]), i))
         if near:
             want[k] = min(near)[1]
-    assert {r.pt: r.LINKNO for r in registry.QUERIES["J7_connect_nodes_all"](spark, SF).collect()} == want
+    assert {r.pt: r.LINKNO for r in registry.QUERIES["J7_connect_nodes"](spark, SF).collect()} == want

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import partial
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -90,6 +91,92 @@ def contains(ring: Column, p: Column) -> Column:
     return inside & (line_distance(p, ring) > 0)
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of ``value``, which is evaluated once."""
+    return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
+
+
+def _clip_half(ring: Column, *, side: tuple[float, float, float]) -> Column:
+    """The part of a closed ring with a x + b y <= c, closed again; empty if there is none."""
+    a, b, c = side
+    off = lambda p: p["x"] * a + p["y"] * b - c
+
+    def step(s: Column) -> Column:
+        p, q = s["a"], s["b"]
+        t = off(p) / F.nullif(off(p) - off(q), F.lit(0.0))
+        cross = point(p["x"] + t * (q["x"] - p["x"]), p["y"] + t * (q["y"] - p["y"]))
+        own = F.when(off(p) <= 0, F.array(point(p["x"], p["y"]))).otherwise(F.array().cast("array<struct<x:double,y:double>>"))
+        return F.when(off(p) * off(q) < 0, F.concat(own, F.array(cross))).otherwise(own)
+
+    open_ = F.flatten(F.transform(_pairs(ring), step))
+    return _let(open_, lambda r: F.when(F.size(r) > 0, F.concat(r, F.slice(r, F.lit(1), F.lit(1)))).otherwise(r))
+
+
+def clip_box(ring: Column, minx: float, miny: float, maxx: float, maxy: float) -> Column:
+    """The part of a closed ring within a box; where it falls into several, they hang together by edges of the box."""
+    sides = [(-1.0, 0.0, -minx), (1.0, 0.0, maxx), (0.0, -1.0, -miny), (0.0, 1.0, maxy)]
+    for side in sides:
+        ring = _let(ring, partial(_clip_half, side=side))
+    return ring
+
+
+def _cuts(s: Column, ring: Column) -> Column:
+    """Ascending parameters, 0 and 1 included, at which a segment meets the edges of a ring."""
+    p, q = s["a"], s["b"]
+    dx, dy = q["x"] - p["x"], q["y"] - p["y"]
+
+    def at(e: Column) -> Column:
+        ex, ey = e["b"]["x"] - e["a"]["x"], e["b"]["y"] - e["a"]["y"]
+        wx, wy = e["a"]["x"] - p["x"], e["a"]["y"] - p["y"]
+        cross = F.nullif(dx * ey - dy * ex, F.lit(0.0))
+        t, u = (wx * ey - wy * ex) / cross, (wx * dy - wy * dx) / cross
+        return F.when(t.between(0, 1) & u.between(0, 1), t)
+
+    found = F.array_compact(F.transform(_pairs(ring), at))
+    return F.sort_array(F.concat(F.array(F.lit(0.0), F.lit(1.0)), found))
+
+
+def length_inside(line: Column, ring: Column) -> Column:
+    """Length of the part of a line within a closed ring: each segment is cut where it meets the ring."""
+
+    def inside(s: Column) -> Column:
+        p, q = s["a"], s["b"]
+
+        def part(cuts: Column) -> Column:
+            def one(t: Column, i: Column) -> Column:
+                to = F.get(cuts, i + 1)
+                mid = (t + to) / 2
+                there = contains(ring, point(p["x"] + mid * (q["x"] - p["x"]), p["y"] + mid * (q["y"] - p["y"])))
+                return F.when((to > t) & there, (to - t) * distance(p, q)).otherwise(0.0)
+
+            return _sum(F.transform(F.slice(cuts, F.lit(1), F.size(cuts) - 1), one))
+
+        return _let(_cuts(s, ring), part)
+
+    return _sum(F.transform(_pairs(line), inside))
+
+
+def line_meets(line: Column, ring: Column) -> Column:
+    """A line with a point within or on a closed ring."""
+    touch = F.exists(_pairs(line), lambda s: F.size(_cuts(s, ring)) > 2)
+    return touch | contains(ring, first_vertex(line))
+
+
+def to_wkt(kind: str, vertices: Column) -> Column:
+    """WKT of a LINESTRING or a POLYGON of one ring."""
+    text = F.array_join(F.transform(vertices, lambda v: F.concat_ws(" ", v["x"].cast("string"), v["y"].cast("string"))), ", ")
+    return F.concat(F.lit(f"{kind} {'((' if kind == 'POLYGON' else '('}"), text, F.lit("))" if kind == "POLYGON" else ")"))
+
+
+def from_wkt(text: Column) -> Column:
+    """Vertices of the first ring or line of a WKT."""
+    inner = F.regexp_extract(text, r"\(+([^()]*)\)", 1)
+    return F.transform(
+        F.split(F.trim(inner), r"\s*,\s*"),
+        lambda v: F.struct(F.get(F.split(v, r"\s+"), F.lit(0)).cast("double").alias("x"), F.get(F.split(v, r"\s+"), F.lit(1)).cast("double").alias("y")),
+    )
+
+
 def midpoint(line: Column) -> Column:
     """The point at half the length."""
     half = length(line) / 2

@@ -1,6 +1,8 @@
 """Operators over a functional graph of links (id, down): closures, accumulation, filters, contraction, validation.
 
-Walks use pointer doubling: the rounds grow with the logarithm of the longest path, and each is one join by key.
+Walks use pointer doubling: the rounds grow with the logarithm of the longest path, each is one join by key, and rows never
+multiply. Whether a link lies upstream of another is a comparison of intervals (``intervals``); the table of all pairs of
+links and ancestors (``closure``) is only for its own export, and for chains known to be short.
 """
 
 from __future__ import annotations
@@ -55,54 +57,113 @@ def accumulate(nodes: DataFrame, weight: str, most_rounds: int = 40) -> DataFram
     raise ValueError("the network has a cycle")
 
 
-def path_sums(nodes: DataFrame, weight: str, most_rounds: int = 40) -> DataFrame:
-    """(id, below): the sum of the weights of the nodes strictly downstream. ``nodes``: (id, down null at ends, weight)."""
-    first = nodes.select(F.col("id").alias("down"), F.col(weight).alias("below"))
+def path_folds(nodes: DataFrame, sums: Iterable[str] = (), mins: Iterable[str] = ()) -> DataFrame:
+    """For each node of ``nodes`` (id, down null at ends, ...) the walk down from it, itself included: end (its last node),
+    hops, and the folds of the columns ``sums`` and ``mins`` over it. A ``down`` that is no id ends the walk."""
+    sums, mins = [*sums], [*mins]
+    known = nodes.select(F.col("id").alias("down"), F.lit(True).alias("there"))
+    ahead = F.when(F.coalesce("there", F.lit(False)), F.col("down")).alias("ahead")
     state = settled(
-        nodes.select("id", "down").join(first, "down", "left").select("id", F.col("down").alias("ahead"), F.coalesce("below", F.lit(0)).alias("below"))
+        nodes.join(known, "down", "left").select("id", ahead, F.col("id").alias("end"), F.lit(0).cast("long").alias("hops"), *sums, *mins)
     )
-    for _ in range(most_rounds):
+    for _ in range(state.count().bit_length() + 2):
         if state.where("ahead is not null").isEmpty():
-            return state.select("id", "below")
-        jump = state.select(F.col("id").alias("ahead"), F.col("ahead").alias("next"), F.col("below").alias("more"))
+            return state.drop("ahead")
+        # ``end`` and the folds reach up to, but not including, ``ahead``
+        next_ = state.select(F.col("id").alias("ahead"), F.struct(F.col("ahead").alias("to"), "end", "hops", *sums, *mins).alias("n"))
+        both = state.join(next_, "ahead", "left")
+        n = F.col("n")
         state = settled(
-            state.join(jump, "ahead", "left").select(
-                "id", F.col("next").alias("ahead"), (F.col("below") + F.coalesce("more", F.lit(0))).alias("below")
+            both.select(
+                "id",
+                n["to"].alias("ahead"),
+                F.coalesce(n["end"], F.col("end")).alias("end"),
+                (F.col("hops") + F.coalesce(n["hops"] + 1, F.lit(0))).alias("hops"),
+                *[(F.col(c) + F.coalesce(n[c], F.lit(0))).alias(c) for c in sums],
+                *[F.least(F.col(c), n[c]).alias(c) for c in mins],
             )
         )
     raise ValueError("the network has a cycle")
 
 
-def drop_duplicate_exits(exits: DataFrame, reach: DataFrame, tiebreak: str) -> DataFrame:
+def path_sums(nodes: DataFrame, weight: str) -> DataFrame:
+    """(id, below): the sum of the weights of the nodes strictly downstream. ``nodes``: (id, down null at ends, weight)."""
+    total = path_folds(nodes.select("id", "down", F.col(weight).alias("below"), F.col(weight).alias("own")).select("id", "down", "below"), ["below"])
+    return total.join(nodes.select("id", F.col(weight).alias("own")), "id").select("id", (F.col("below") - F.col("own")).alias("below"))
+
+
+def as_nodes(edges: DataFrame, *more: DataFrame) -> DataFrame:
+    """(id, down null at ends) of all ids of ``edges`` (id, down), and those of tables ``more`` of one column."""
+    ids = edges.select("id").union(edges.select("down"))
+    for m in more:
+        ids = ids.union(m)
+    return ids.distinct().join(edges.select("id", "down"), "id", "left")
+
+
+def intervals(nodes: DataFrame) -> DataFrame:
+    """(id, tree, low, high) of a forest of ``nodes`` (id, down null at ends): x drains through y, or is y, if, and only if,
+    they are of one tree and low of y <= low of x < high of y. Numbers are places in a walk of each tree that takes a node
+    before its inflows."""
+    nodes = settled(nodes.select("id", "down").withColumn("one", F.lit(1).cast("long")))
+    sizes = accumulate(nodes, "one").withColumnRenamed("total", "size")
+    tree = settled(nodes.join(sizes, "id"))
+    before = Window.partitionBy("down").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
+    steps = tree.where("down is not null").withColumn("step", 1 + F.coalesce(F.sum("size").over(before), F.lit(0)))
+    roots = tree.where("down is null").select("id", "down", "size", F.lit(0).cast("long").alias("step"))
+    low = path_folds(steps.select("id", "down", "size", "step").union(roots), ["step"])
+    # each tree has numbers of its own: the root's id beside them
+    return low.join(sizes, "id").select("id", F.col("end").alias("tree"), F.col("step").alias("low"), (F.col("step") + F.col("size")).alias("high"))
+
+
+def has_other_below(rows: DataFrame, group: str, spans: DataFrame) -> DataFrame:
+    """``rows`` (group, link_no) once each, with below: whether another of the group lies downstream of it, and above: whether
+    another lies upstream. One window by place: intervals are nested or apart."""
+    links = rows.select(group, "link_no").distinct().join(spans.withColumnRenamed("id", "link_no"), "link_no")
+    order = Window.partitionBy(group, "tree").orderBy("low")
+    below = F.coalesce(F.max("high").over(order.rowsBetween(Window.unboundedPreceding, -1)) > F.col("low"), F.lit(False))
+    above = F.coalesce(F.lead("low").over(order) < F.col("high"), F.lit(False))
+    return links.select(group, "link_no", below.alias("below"), above.alias("above"))
+
+
+def drop_duplicate_exits(exits: DataFrame, spans: DataFrame, tiebreak: str) -> DataFrame:
     """``exits`` (lake_id, link_no, seq, tiebreak) without those upstream of another exit of their lake, or on the link of
-    one with a greater tiebreak; exits without a link (-1) neither drop nor are dropped."""
-    a, b = exits.where("link_no <> -1").alias("a"), exits.where("link_no <> -1").alias("b")
-    same_lake = F.col("a.lake_id") == F.col("b.lake_id")
-    lesser = a.join(
-        b, same_lake & (F.col("a.link_no") == F.col("b.link_no")) & (F.col(f"b.{tiebreak}") > F.col(f"a.{tiebreak}"))
-    ).select("a.lake_id", "a.seq")
-    above = (
-        a.join(reach, F.col("a.link_no") == F.col("id"))
-        .join(b, same_lake & (F.col("anc") == F.col("b.link_no")))
-        .select("a.lake_id", "a.seq")
-    )
-    return exits.join(lesser.union(above).distinct(), ["lake_id", "seq"], "left_anti").select(*exits.columns)
+    one with a greater tiebreak; exits without a link (-1) neither drop nor are dropped. ``spans`` from ``intervals``."""
+    on = exits.where("link_no <> -1")
+    most = on.groupBy("lake_id", "link_no").agg(F.max(tiebreak).alias("__most"))
+    upper = has_other_below(on, "lake_id", spans).where("below").select("lake_id", "link_no", F.lit(True).alias("__upper"))
+    df = exits.join(most, ["lake_id", "link_no"], "left").join(upper, ["lake_id", "link_no"], "left")
+    stays = (F.col("link_no") == -1) | ((F.col(tiebreak) >= F.col("__most")) & F.col("__upper").isNull())
+    return df.where(stays).select(*exits.columns)
 
 
-def trace_downstream(starts: DataFrame, reach: DataFrame, stops: DataFrame) -> DataFrame:
-    """(start, id, hops) of the walk from each ``start`` through its first ``stop``, both included."""
-    walk = starts.select(F.col("start"), F.col("start").alias("id"), F.lit(0).cast("long").alias("hops")).union(
-        starts.join(reach, F.col("start") == F.col("id")).select("start", F.col("anc").alias("id"), "hops")
-    )
-    walk = walk.groupBy("start", "id").agg(F.min("hops").alias("hops"))
-    end = walk.join(stops.select(F.col("stop").alias("id")).distinct(), "id").groupBy("start").agg(F.min("hops").alias("end"))
-    return walk.join(end, "start", "left").where("end is null or hops <= end").select("start", "id", "hops")
+def trace_downstream(starts: DataFrame, edges: DataFrame, stops: DataFrame) -> DataFrame:
+    """(start, id, hops) of the walk from each ``start`` through its first ``stop``, both included.
 
+    The rows are those of the result: each start gets its hops, and each hop its link by the tables of 2^k links ahead.
+    """
+    open_ = settled(edges.join(stops.select(F.col("stop").alias("id")).distinct(), "id", "left_anti"))
+    hops = path_folds(as_nodes(open_, starts.select("start"))).select(F.col("id").alias("start"), F.col("hops").alias("steps"))
+    return walk_steps(starts.select("start").distinct().join(hops, "start"), open_)
+
+
+def walk_steps(starts: DataFrame, edges: DataFrame) -> DataFrame:
+    """(start, id, hops) of the first ``steps`` steps of the walk from each of ``starts`` (start, steps) along ``edges``."""
+    starts = settled(starts)
+    longest = starts.agg(F.max("steps")).first()[0] or 0
+    walk = starts.select("start", F.col("start").alias("id"), F.explode(F.sequence(F.lit(0).cast("long"), "steps")).alias("hops"))
+    jump = settled(edges.select("id", "down"))
+    for k in range(int(longest).bit_length()):
+        far = F.col("hops").bitwiseAND(1 << k) != 0
+        walk = settled(walk.join(jump, "id", "left").select("start", F.when(far, F.col("down")).otherwise(F.col("id")).alias("id"), "hops"))
+        jump = settled(jump.join(jump.select(F.col("id").alias("down"), F.col("down").alias("next")), "down").select("id", F.col("next").alias("down")))
+    return walk
 
-def upstream_of(reach: DataFrame, target: int) -> DataFrame:
-    """(id): the link and all links that drain through it."""
-    own = reach.sparkSession.range(1).select(F.lit(target).cast("long").alias("id"))
-    return reach.where(F.col("anc") == target).select("id").union(own).distinct()
+
+def upstream_of(spans: DataFrame, target: int) -> DataFrame:
+    """(id): the link and all links that drain through it; the link alone if it isn't known. ``spans`` from ``intervals``."""
+    own = spans.where(F.col("id") == target).select(F.col("tree").alias("t"), F.col("low").alias("from"), F.col("high").alias("to"))
+    some = spans.join(F.broadcast(own), (F.col("tree") == F.col("t")) & F.col("low").between(F.col("from"), F.col("to") - 1))  # one row
+    return some.select("id").union(spans.sparkSession.range(1).select(F.lit(target).cast("long").alias("id"))).distinct()
 
 
 def dangling(links: DataFrame, known: DataFrame, id: str = "LINKNO", down: str = "DSLINKNO") -> DataFrame:
@@ -125,28 +186,27 @@ def bypass_phantoms(streams: DataFrame, basins: DataFrame) -> DataFrame:
     """
     real = basins.select(F.col("DN").alias("LINKNO")).distinct().withColumn("real", F.lit(True))
     marked = settled(streams.join(real, "LINKNO", "left").withColumn("real", F.coalesce("real", F.lit(False))))
-    phantom = marked.where("not real")
-    # walks through phantoms only: an edge leaves a real link towards a phantom, or a phantom towards a phantom
-    kinds = phantom.select(F.col("LINKNO").alias("down"))
-    steps = edges(marked).join(kinds, "down", "left_semi").select("id", "down")
-    chain = closure(steps)
-    parts = chain.join(phantom, F.col("anc") == F.col("LINKNO"))
-    gained = parts.groupBy("id").agg(
-        F.sum("Length").alias("more_length"),
-        F.sum("strmDrop").alias("more_drop"),
-        F.min("DSContArea").alias("least_area"),
-        F.max_by(F.struct("DOUTEND", "DSLINKNO"), F.struct("hops", "anc")).alias("last"),
-        F.count(F.lit(1)).alias("n_absorbed"),
+    phantom = marked.where("not real").withColumn("count", F.lit(1).cast("long"))
+    # walks through phantoms only, from the first after a real link to the last
+    folds = path_folds(
+        phantom.select(F.col("LINKNO").alias("id"), F.col("DSLINKNO").alias("down"), "Length", "strmDrop", "DSContArea", "count"),
+        ["Length", "strmDrop", "count"],
+        ["DSContArea"],
+    )
+    last = phantom.select(F.col("LINKNO").alias("end"), F.col("DSLINKNO").alias("last_down"), F.col("DOUTEND").alias("last_out"))
+    gained = folds.join(last, "end").select(
+        F.col("id").alias("DSLINKNO"),
+        F.struct("Length", "strmDrop", "DSContArea", "count", "last_down", "last_out").alias("g"),
     )
-    df = marked.where("real").join(gained.withColumnRenamed("id", "LINKNO"), "LINKNO", "left")
+    df, g = marked.where("real").join(gained, "DSLINKNO", "left"), F.col("g")
     return df.select(
         "LINKNO",
-        F.coalesce(F.col("last.DSLINKNO"), F.col("DSLINKNO")).alias("DSLINKNO"),
-        (F.col("Length") + F.coalesce("more_length", F.lit(0.0))).alias("Length"),
-        (F.col("strmDrop") + F.coalesce("more_drop", F.lit(0.0))).alias("strmDrop"),
-        F.least("DSContArea", "least_area").alias("DSContArea"),
-        F.coalesce(F.col("last.DOUTEND"), F.col("DOUTEND")).alias("DOUTEND"),
-        F.coalesce("n_absorbed", F.lit(0).cast("long")).alias("n_absorbed"),
+        F.coalesce(g["last_down"], F.col("DSLINKNO")).alias("DSLINKNO"),
+        (F.col("Length") + F.coalesce(g["Length"], F.lit(0.0))).alias("Length"),
+        (F.col("strmDrop") + F.coalesce(g["strmDrop"], F.lit(0.0))).alias("strmDrop"),
+        F.least("DSContArea", g["DSContArea"]).alias("DSContArea"),
+        F.coalesce(g["last_out"], F.col("DOUTEND")).alias("DOUTEND"),
+        F.coalesce(g["count"], F.lit(0).cast("long")).alias("n_absorbed"),
     )
 
 
@@ -170,18 +230,12 @@ def path_metrics(internal: DataFrame, links: DataFrame) -> DataFrame:
     inside = settled(
         internal.join(links, "LINKNO").select("lake_id", "LINKNO", "DSLINKNO", "USLINKNO1", "Length", "strmDrop", "StraightL", "DOUTEND")
     )
-    named = F.concat_ws(":", "lake_id", "LINKNO")
-    ids = inside.select("lake_id", F.col("LINKNO").alias("DSLINKNO"))
-    steps = inside.join(ids, ["lake_id", "DSLINKNO"]).select(named.alias("id"), F.concat_ws(":", "lake_id", "DSLINKNO").alias("down"))
-    reach = closure(steps)
+    named = lambda c: F.struct("lake_id", F.col(c).alias("link"))
+    measures = ["Length", "strmDrop", "StraightL"]
+    folds = path_folds(inside.select(named("LINKNO").alias("id"), named("DSLINKNO").alias("down"), *measures, "DOUTEND"), measures, ["DOUTEND"])
     ups = inside.select("lake_id", F.col("LINKNO").alias("USLINKNO1"))
-    starts = inside.join(ups, ["lake_id", "USLINKNO1"], "left_anti").select("lake_id", F.col("LINKNO").alias("start"), named.alias("key"))
-    walk = starts.select("lake_id", "start", F.col("key").alias("at")).union(
-        starts.join(reach, F.col("key") == F.col("id")).select("lake_id", "start", F.col("anc").alias("at"))
-    )
-    each = walk.join(inside.withColumn("at", named).drop("lake_id"), "at").groupBy("lake_id", "start").agg(
-        F.sum("Length").alias("Length"), F.sum("strmDrop").alias("strmDrop"), F.sum("StraightL").alias("StraightL"), F.min("DOUTEND").alias("DOUTEND")
-    )
+    starts = inside.join(ups, ["lake_id", "USLINKNO1"], "left_anti").select(named("LINKNO").alias("id"))
+    each = folds.join(starts, "id").select("id.lake_id", F.col("id.link").alias("start"), *measures, "DOUTEND")
     first = Window.partitionBy("lake_id").orderBy(F.desc("Length"), "start")
     best = each.withColumn("rn", F.row_number().over(first)).where("rn = 1").drop("rn")
     end = F.col("DOUTEND") + F.col("Length")
@@ -192,41 +246,68 @@ def remap_to_survivors(targets: DataFrame, moved: DataFrame, survivors: DataFram
     """(id, down) with each ``down`` followed through ``moved`` (id, agg) until it survives; cycles, unknown ids and a unit
     that would drain into itself become the outlet."""
     alive = survivors.select(F.col("id").alias("t")).distinct()
-    hops = moved.join(alive, F.col("id") == F.col("t"), "left_anti").where("id <> agg")
-    reach = closure(hops.select("id", F.col("agg").alias("down")))
-    ends = reach.join(alive, F.col("anc") == F.col("t")).groupBy("id").agg(F.min_by("anc", "hops").alias("end"))
+    hops = moved.join(alive, F.col("id") == F.col("t"), "left_anti").where("id <> agg").select("id", F.col("agg").alias("at"))
+    at = settled(hops)
+    for _ in range(at.count().bit_length() + 1):  # jumps twice as far a round; only cycles go on to the last
+        jump = at.select(F.col("id").alias("at"), F.col("at").alias("to"))
+        gone = settled(at.join(jump, "at", "left").select("id", F.coalesce("to", "at").alias("at"), F.col("to").isNotNull().alias("went")))
+        at = gone.select("id", "at")
+        if gone.where("went").isEmpty():
+            break
+    ends = at.join(alive, F.col("at") == F.col("t")).select(F.col("id").alias("via"), F.col("at").alias("end"))
     df = targets.select(F.col("id").alias("unit"), "down")
-    df = df.join(alive, F.col("down") == F.col("t"), "left").join(ends.withColumnRenamed("id", "via"), F.col("down") == F.col("via"), "left")
+    df = df.join(alive, F.col("down") == F.col("t"), "left").join(ends, F.col("down") == F.col("via"), "left")
     found = F.coalesce("t", "end", F.lit(outlet).cast("long"))
     return df.select(F.col("unit").alias("id"), F.when(found == F.col("unit"), F.lit(outlet)).otherwise(found).alias("down"))
 
 
 def main_stems(rivers: DataFrame, seeds: DataFrame) -> DataFrame:
-    """(LINKNO) on the way from each seed (id) upstream, always by the inflow of the largest area, least id on ties."""
+    """(LINKNO) on the way from each seed (id) upstream, always by the inflow of the largest area, least id on ties.
+
+    Links whose link downstream takes them for its largest inflow hang together in chains: a link is on the way from a seed
+    if it is in the seed's chain, as many hops from its lower end or more.
+    """
     w = Window.partitionBy("DSLINKNO").orderBy(F.desc("area"), "LINKNO")
-    best = rivers.where("DSLINKNO > 0").withColumn("rn", F.row_number().over(w)).where("rn = 1")
-    up = closure(best.select(F.col("DSLINKNO").alias("id"), F.col("LINKNO").alias("down")))
-    found = seeds.select("id").union(seeds.join(up, "id").select(F.col("anc").alias("id")))
-    return found.distinct().select(F.col("id").alias("LINKNO"))
+    best = rivers.where("DSLINKNO > 0").withColumn("rn", F.row_number().over(w)).where("rn = 1").select("LINKNO", F.col("DSLINKNO").alias("down"))
+    ids = rivers.select("LINKNO").union(best.select("down")).distinct()
+    chains = settled(path_folds(ids.join(best, "LINKNO", "left").withColumnRenamed("LINKNO", "id")))
+    lowest = seeds.select("id").distinct().join(chains, "id").groupBy("end").agg(F.min("hops").alias("from"))
+    on = chains.join(lowest, "end").where(F.col("hops") >= F.col("from")).select("id")
+    return on.union(seeds.select("id")).distinct().select(F.col("id").alias("LINKNO"))
 
 
-def strahler(nodes: DataFrame, most_rounds: int = 200) -> DataFrame:
+def strahler(nodes: DataFrame) -> DataFrame:
     """(id, ord) of ``nodes`` (id, down null at ends): 1 at heads; the greatest inflow's, one more if two share it.
 
-    One round a level of the tree: nodes whose inflows are all known come next.
+    A node is of order k + 1 or more if it, or one upstream of it, has two inflows of order k or more. So a round an order,
+    of which there are as many as the count of nodes has binary digits, not one a level; each keeps the nodes that go on.
     """
-    tree = settled(nodes.select("id", "down"))
-    inflows = tree.where("down is not null").groupBy(F.col("down").alias("id")).agg(F.count(F.lit(1)).alias("n"))
-    heads = tree.join(inflows, "id", "left_anti")
-    known = settled(heads.select("id", "down", F.lit(1).alias("ord")))
-    total = tree.count()
-    for _ in range(most_rounds):
-        if known.count() == total:
-            return known.select("id", "ord")
-        tops = known.where("down is not null").groupBy(F.col("down").alias("id")).agg(
-            F.count(F.lit(1)).alias("k"), F.max("ord").alias("top"), F.sort_array(F.collect_list("ord"), asc=False).alias("all")
-        )
-        ready = tops.join(inflows, "id").where("k = n").join(known, "id", "left_anti").join(tree, "id")
-        tie = F.coalesce(F.get("all", F.lit(1)) == F.col("top"), F.lit(False))
-        known = settled(known.union(ready.select("id", "down", (F.col("top") + tie.cast("int")).alias("ord"))))
-    raise ValueError("the network has a cycle")
+    alive = settled(nodes.select("id", "down"))
+    known, k = None, 1
+    while True:
+        done = alive.select("id", F.lit(k).alias("ord"))
+        known = done if known is None else known.union(done)
+        forks = alive.where("down is not null").groupBy(F.col("down").alias("id")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        flagged = alive.join(forks, "id", "left").select("id", "down", F.when(F.col("n").isNotNull(), 1).otherwise(0).cast("long").alias("fork"))
+        above = accumulate(flagged, "fork").where("total > 0").select("id")
+        alive, k = settled(alive.join(above, "id")), k + 1
+        if alive.isEmpty():
+            return known.groupBy("id").agg(F.max("ord").alias("ord"))
+
+
+def internal_links(starts: DataFrame, edges: DataFrame, stops: DataFrame) -> DataFrame:
+    """(lake_id, LINKNO) on the walks down from each of ``starts`` (lake_id, LINKNO) through the first of its lake's ``stops``
+    (lake_id, LINKNO), both included; to the end of the network if there is none."""
+    nodes = settled(as_nodes(edges, starts.select("LINKNO"), stops.select("LINKNO")))
+    near = settled(intervals(nodes).join(path_folds(nodes).select("id", "hops"), "id"))
+    at = lambda df, p: df.join(near.select(F.col("id").alias("LINKNO"), F.struct("tree", "low", "high", "hops").alias(p)), "LINKNO")
+    lower = at(stops.select("lake_id", "LINKNO").distinct(), "b").select("lake_id", "b")
+    tops = at(starts.select("lake_id", "LINKNO").distinct(), "a")
+    below = tops.join(lower.withColumnRenamed("lake_id", "l"), (F.col("l") == F.col("lake_id")) & (F.col("a.tree") == F.col("b.tree")) & F.col("a.low").between(F.col("b.low"), F.col("b.high") - 1), "left")
+    first = below.groupBy("lake_id", "LINKNO", "a").agg(F.max("b.hops").alias("stop"))
+    steps = first.select("lake_id", "LINKNO", (F.col("a.hops") - F.coalesce("stop", F.lit(0))).alias("steps"))
+    longest = steps.groupBy(F.col("LINKNO").alias("start")).agg(F.max("steps").alias("steps"))
+    walks = walk_steps(longest, edges)
+    return walks.join(steps.select("LINKNO", "lake_id", F.col("steps").alias("most")), F.col("start") == F.col("LINKNO")).where("hops <= most").select("lake_id", F.col("id").alias("LINKNO")).distinct()
+
+

@@ -8,9 +8,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import d8
 from . import network
+from .store import settled
 
 
 def window(cells: DataFrame, xoff: int, yoff: int, xsize: int, ysize: int) -> DataFrame:
@@ -124,20 +126,22 @@ def best_per_link(candidates: DataFrame, order: str, least: bool) -> DataFrame:
     return best.select("lake_id", "link_no", F.col("b.r.row").alias("row"), F.col("b.r.col").alias("col"), F.col("b.v").alias(order))
 
 
-def most_upstream(candidates: DataFrame, reach: DataFrame) -> DataFrame:
-    """Candidates (lake_id, link_no, ...) without those that another of their lake lies upstream of."""
-    links = candidates.select("lake_id", "link_no").distinct()
-    lower = links.join(reach, F.col("link_no") == F.col("id")).select("lake_id", F.col("anc").alias("link_no"))
-    return candidates.join(lower.distinct(), ["lake_id", "link_no"], "left_anti")
+def most_upstream(candidates: DataFrame, spans: DataFrame) -> DataFrame:
+    """Candidates (lake_id, link_no, ...) without those that another of their lake lies upstream of; ``spans`` of the links
+    from ``network.intervals``."""
+    lower = network.has_other_below(candidates, "lake_id", spans).where("above").select("lake_id", "link_no")
+    return candidates.join(lower, ["lake_id", "link_no"], "left_anti")
 
 
-def most_downstream(candidates: DataFrame, reach: DataFrame) -> DataFrame:
+def most_downstream(candidates: DataFrame, spans: DataFrame) -> DataFrame:
     """Candidates (lake_id, link_no, ...) without those that another of their lake lies downstream of."""
-    links = candidates.select("lake_id", "link_no").distinct()
-    pairs = links.join(reach, F.col("link_no") == F.col("id"))
-    below = links.select("lake_id", F.col("link_no").alias("anc"))
-    upper = pairs.join(below, ["lake_id", "anc"], "left_semi").select("lake_id", "link_no")
-    return candidates.join(upper.distinct(), ["lake_id", "link_no"], "left_anti")
+    upper = network.has_other_below(candidates, "lake_id", spans).where("below").select("lake_id", "link_no")
+    return candidates.join(upper, ["lake_id", "link_no"], "left_anti")
+
+
+def resolved_inflows(candidates: DataFrame, spans: DataFrame, order: str) -> DataFrame:
+    """Of the most upstream links of each lake, the cell of the least ``order``: (lake_id, link_no, row, col, order)."""
+    return best_per_link(most_upstream(candidates, spans), order, True)
 
 
 def separate(inflow: DataFrame, outflow: DataFrame, mask: DataFrame, cells: DataFrame) -> DataFrame:
@@ -187,6 +191,15 @@ def common_value(mask: DataFrame, cells: DataFrame, band: str) -> DataFrame:
     return best.select("lake_id", (-F.col("b.neg")).alias("value"), F.col("b.n").alias("n"))
 
 
+def local_centroid(mask: DataFrame, shore: DataFrame, cells: int = 10) -> DataFrame:
+    """(lake_id, row, col): the mean of the lake's cells nearest to its cell of ``shore`` (lake_id, srow, scol), that one left
+    out; ties by row and column."""
+    df = mask.join(shore, "lake_id").where("row <> srow or col <> scol")
+    far = F.pow(F.col("row") - F.col("srow"), 2) + F.pow(F.col("col") - F.col("scol"), 2)
+    near = df.withColumn("__k", F.row_number().over(Window.partitionBy("lake_id").orderBy(far, "row", "col"))).where(F.col("__k") <= cells)
+    return near.groupBy("lake_id").agg(F.avg("row").alias("row"), F.avg("col").alias("col"))
+
+
 def steepest(heights: DataFrame) -> DataFrame:
     """(row, col, fdr): the direction of the steepest positive drop by distance, the least code on ties, 0 for pits."""
     near = heights.select(F.col("row").alias("nrow"), F.col("col").alias("ncol"), F.col("z").alias("nz"))
@@ -221,7 +234,73 @@ def snap(points: DataFrame, cells: DataFrame, most: int = 25) -> DataFrame:
         at = here.where("src <> 1 and fdr between 1 and 8").select("pt", F.col("trow").alias("row"), F.col("tcol").alias("col"), (F.col("steps") + 1).alias("steps"))
         if at.isEmpty():
             break
-        from .store import settled
-
         at = settled(at)
     return points.join(found, "pt", "left")
+
+
+def window_cells(windows: DataFrame, cells: DataFrame) -> DataFrame:
+    """The cells of each window (lake_id, w: a struct of xoff, yoff, xsize, ysize), by an equi-join on row and column."""
+    w = F.col("w")
+    at = windows.select("lake_id", "w", F.explode(F.sequence(w["yoff"], w["yoff"] + w["ysize"] - 1)).alias("row"))
+    at = at.select("lake_id", "row", F.explode(F.sequence(w["xoff"], w["xoff"] + w["xsize"] - 1)).alias("col"))
+    return at.select("lake_id", F.col("row").cast("int").alias("row"), F.col("col").cast("int").alias("col")).join(cells, ["row", "col"])
+
+
+def stream_network(cells: DataFrame, cols: int, splits: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Links of the streams, and the grid (row, col, WSNO) of the link that each cell drains to (-1 if none).
+
+    ``cells``: (row, col, fdr, z, ad8, stream) with stream true on stream cells. A link is a run of stream cells from a head,
+    a junction or the cell after one of ``splits`` (row, col: pour points, the last cells of their links) to the cell before
+    the next; its number is that of its last cell, row * cols + col. Length includes the step to the link downstream.
+    """
+    key = lambda r, c: F.col(r).cast("long") * cols + F.col(c)
+    inside = F.col("tcol").between(0, cols - 1) & (F.col("trow") >= 0) & F.col("fdr").between(1, 8)
+    on = flow_targets(cells).select("row", "col", "z", "ad8", "stream", "fdr", key("row", "col").alias("id"), F.when(inside, key("trow", "tcol")).alias("to"))
+    on = settled(on)
+    streams = on.where("stream")
+    known = streams.select(F.col("id").alias("to"), F.col("row").alias("trow"), F.col("col").alias("tcol"), F.col("z").alias("tz"))
+    streams = settled(streams.join(known, "to", "left").withColumn("to", F.when(F.col("trow").isNotNull(), F.col("to"))))
+    ups = streams.where("to is not null").groupBy(F.col("to").alias("id")).agg(F.count(F.lit(1)).alias("ups"))
+    cut = splits.select(key("row", "col").alias("id"), F.lit(True).alias("cut")) if splits is not None else ups.select("id", F.lit(True).alias("cut")).where("false")
+    marked = streams.join(ups, "id", "left").join(cut.distinct(), "id", "left")
+    marked = settled(marked.withColumn("ups", F.coalesce("ups", F.lit(0))).withColumn("cut", F.coalesce("cut", F.lit(False))))
+    single = marked.where("ups = 1").select(F.col("id").alias("to"), F.lit(True).alias("single"))
+    far = F.when(F.col("to").isNull(), 0.0).when(F.col("fdr") % 2 == 0, F.sqrt(F.lit(2.0))).otherwise(1.0)
+    steps = marked.join(single, "to", "left").select(
+        "id", F.when(F.coalesce("single", F.lit(False)) & ~F.col("cut"), F.col("to")).alias("down"), far.alias("Length"), F.lit(1).cast("long").alias("n_cells")
+    )
+    runs = settled(network.path_folds(steps, ["Length", "n_cells"]))
+    after = marked.where("cut and to is not null").select(F.col("to").alias("id"))
+    heads = marked.where("ups <> 1").select("id").union(after).distinct()
+    first = marked.select("id", F.col("row").alias("row0"), F.col("col").alias("col0"), F.col("z").alias("z0"), F.col("ad8").alias("USContArea"))
+    last = marked.select(F.col("id").alias("end"), "row", "col", "z", "ad8", "to", "trow", "tcol", "tz")
+    links = settled(runs.join(heads, "id").join(first, "id").join(last, "end"))
+    below = links.select(F.col("id").alias("to"), F.col("end").alias("below"))
+    links = settled(links.join(below, "to", "left"))
+    nodes = links.select(F.col("end").alias("id"), F.col("below").alias("down"), "Length")
+    order = network.strahler(nodes.select("id", "down")).withColumnRenamed("id", "end")
+    out = network.path_sums(nodes, "Length").select(F.col("id").alias("end"), F.col("below").alias("DOUTEND"))
+    inflows = nodes.where("down is not null").groupBy(F.col("down").alias("end")).agg(F.sort_array(F.collect_list("id")).alias("us"))
+    straight = F.hypot(F.col("row0") - F.coalesce("trow", "row"), F.col("col0") - F.coalesce("tcol", "col"))
+    drop = F.col("z0") - F.coalesce("tz", "z")
+    none = F.lit(-1).cast("long")
+    table = links.join(order, "end").join(out, "end").join(inflows, "end", "left").select(
+        F.col("end").alias("LINKNO"),
+        F.coalesce("below", none).alias("DSLINKNO"),
+        F.coalesce(F.get("us", F.lit(0)), none).alias("USLINKNO1"),
+        F.coalesce(F.get("us", F.lit(1)), none).alias("USLINKNO2"),
+        F.col("ord").alias("strmOrder"),
+        "Length",
+        "n_cells",
+        F.col("ad8").alias("DSContArea"),
+        "USContArea",
+        drop.alias("strmDrop"),
+        F.when(F.col("Length") > 0, drop / F.nullif("Length", F.lit(0.0))).otherwise(0.0).alias("Slope"),
+        straight.alias("StraightL"),
+        "DOUTEND",
+        F.col("end").alias("WSNO"),
+    )
+    walks = network.path_folds(on.select("id", F.when(~F.col("stream"), F.col("to")).alias("down")))
+    ends = runs.select(F.col("id").alias("end"), F.col("end").alias("WSNO"))
+    grid = walks.join(ends, "end", "left").join(on.select("id", "row", "col"), "id").select("row", "col", F.coalesce("WSNO", none).alias("WSNO"))
+    return table, grid

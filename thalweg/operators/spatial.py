@@ -56,6 +56,44 @@ def lines_near_points(points: DataFrame, lines: DataFrame, key: str, reach: floa
     return pairs.drop("bx", "by").dropDuplicates([key, "LINKNO"])
 
 
+def nearest_line(lines: DataFrame, p: Column) -> DataFrame:
+    """The row of ``lines`` (LINKNO, line) nearest to a point, the least LINKNO on ties, with its distance d."""
+    df = lines.withColumn("d", G.line_distance(p, F.col("line")))
+    return df.orderBy("d", "LINKNO").limit(1)
+
+
+def lines_in_polygons(lines: DataFrame, polygons: DataFrame, cell: float) -> DataFrame:
+    """Pairs of ``lines`` (line, ...) and ``polygons`` (ring, ...) that meet, with overlap (the length within), mid_inside and
+    tips_inside. A pair is tested in one bucket only, the first that both boxes have."""
+    left = with_buckets(lines.withColumn("__lb", G.bounds(F.col("line"))), F.col("__lb"), cell)
+    right = with_buckets(polygons.withColumn("__rb", G.bounds(F.col("ring"))), F.col("__rb"), cell)
+    first = lambda c: F.floor(F.greatest(F.col(f"__lb.{c}"), F.col(f"__rb.{c}")) / cell)
+    pairs = left.join(right, ["bx", "by"]).where((F.col("bx") == first("minx")) & (F.col("by") == first("miny")))
+    line, ring = F.col("line"), F.col("ring")
+    pairs = pairs.where(G.boxes_meet(F.col("__lb"), F.col("__rb")) & G.line_meets(line, ring)).drop("bx", "by", "__lb", "__rb")
+    return pairs.select(
+        "*",
+        G.length_inside(line, ring).alias("overlap"),
+        G.contains(ring, G.midpoint(line)).alias("mid_inside"),
+        (G.contains(ring, G.first_vertex(line)) & G.contains(ring, G.last_vertex(line))).alias("tips_inside"),
+    )
+
+
+def through_basins(lakes: DataFrame, streams: DataFrame, cell: float) -> DataFrame:
+    """(lake_id, basins) of all ``lakes`` (lake_id, ring): the ascending positive WSNO of the streams (WSNO, line) that meet
+    each, empty where none does."""
+    met = lines_in_polygons(streams.where("WSNO > 0").select("WSNO", "line"), lakes.select("lake_id", "ring"), cell)
+    sets = met.groupBy("lake_id").agg(F.array_sort(F.collect_set("WSNO")).alias("basins"))
+    return lakes.select("lake_id").join(sets, "lake_id", "left").withColumn("basins", F.coalesce("basins", F.array().cast("array<bigint>")))
+
+
+def swallowed_starts(met: DataFrame, links: DataFrame, least: float = 180.0) -> DataFrame:
+    """(lake_id, LINKNO) of the headwater links, those that are nobody's DSLINKNO, that a lake swallows: their midpoint or
+    both ends lie within it, or more than ``least`` of their length. ``met`` from ``lines_in_polygons``."""
+    some = met.where(F.col("mid_inside") | F.col("tips_inside") | (F.col("overlap") > least)).select("lake_id", "LINKNO")
+    return some.join(links.select(F.col("DSLINKNO").alias("LINKNO")).distinct(), "LINKNO", "left_anti").select("lake_id", "LINKNO").distinct()
+
+
 def connect_nodes(points: DataFrame, streams: DataFrame, reach: float, cell: float) -> DataFrame:
     """(pt, LINKNO, d): of the links within reach of a point, for an inflow that whose upstream end is nearest, for an
     outflow that whose downstream end is; points (pt, point_type, p), streams (LINKNO, line from its downstream end)."""

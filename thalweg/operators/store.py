@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """``df`` computed once into ``spark.checkpoint.dir``; a temporary folder only where that is unset."""
+    """``df`` computed once into ``spark.checkpoint.dir``; where that is unset, into a temporary folder in local mode only."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="thalweg-"))
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if named is None and not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="thalweg-"))
     return df.checkpoint()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,7 +48,7 @@ CTES = {
   FROM supplier""",
     "data_range": """
   SELECT DISTINCT CAST(user_id AS VARCHAR(20)) AS STATION_NUMBER, CASE WHEN event_type = 'purchase' THEN 'Q' ELSE 'H' END AS DATA_TYPE
-  FROM events WHERE event_id % 37 = 0""",
+  FROM events""",
     "overrides": """
   SELECT CAST(r_regionkey * 6 AS VARCHAR(20)) AS lake_id, l.cx + l.hw AS x, l.cy AS y
   FROM region JOIN lakes l ON l.lake_id = r_regionkey * 6""",
@@ -74,11 +76,24 @@ ORACLE_CTES = CTES | {
   SELECT m.lake_id, m.r, m.c FROM mask m JOIN offsets o ON true LEFT JOIN mask n
     ON n.lake_id = m.lake_id AND n.r = m.r + o.dr AND n.c = m.c + o.dc
   GROUP BY ALL HAVING count(n.r) < 8""",
+    "wide": f"""
+  SELECT lake_id, (cx - hw) * 1e5 / {W} AS xl, (cx + hw) * 1e5 / {W} AS xh, (cy - hw) * 15e3 / {W} AS yl, (cy + hw) * 15e3 / {W} AS yh FROM lakes""",
+    "met": """
+  SELECT *, greatest(t1 - t0, 0e0) * sqrt((x1 - x0) * (x1 - x0) + (y1 - y0) * (y1 - y0)) AS overlap,
+    (x0 + x1) / 2 > xl AND (x0 + x1) / 2 < xh AND (y0 + y1) / 2 > yl AND (y0 + y1) / 2 < yh AS mid_inside,
+    x0 > xl AND x0 < xh AND y0 > yl AND y0 < yh AND x1 > xl AND x1 < xh AND y1 > yl AND y1 < yh AS tips_inside
+  FROM (SELECT l.lake_id, s.LINKNO, s.WSNO, s.x0, s.x1, s.y0, s.y1, l.xl, l.xh, l.yl, l.yh,
+    greatest(0e0, (yl - y0) / (y1 - y0), CASE WHEN x1 > x0 THEN (xl - x0) / (x1 - x0) WHEN x1 < x0 THEN (xh - x0) / (x1 - x0) WHEN x0 BETWEEN xl AND xh THEN 0e0 ELSE 2e0 END) AS t0,
+    least(1e0, (yh - y0) / (y1 - y0), CASE WHEN x1 > x0 THEN (xh - x0) / (x1 - x0) WHEN x1 < x0 THEN (xl - x0) / (x1 - x0) ELSE 1e0 END) AS t1
+    FROM streams s, wide l) WHERE t0 <= t1""",
     "reach": """
   SELECT LINKNO AS id, CAST(floor(LINKNO / power(2e0, h)) AS BIGINT) AS anc, CAST(h AS BIGINT) AS hops
   FROM streams, (SELECT unnest(range(1, 40)) AS h) WHERE floor(LINKNO / power(2e0, h)) >= 1""",
 }
 
+#: What DuckDB is to compute once.
+ONCE = ("mask", "drops", "d8", "shore")
+
 
 def sql(query: str) -> str:
     """The query for DuckDB, with the expressions that it names."""
@@ -86,8 +101,6 @@ def sql(query: str) -> str:
 
 
 def _with(ctes: dict[str, str], query: str) -> str:
-    import re
-
     names = list(ctes)
     used: set[str] = set()
     todo = [query]
@@ -97,7 +110,8 @@ def _with(ctes: dict[str, str], query: str) -> str:
             if name not in used and re.search(rf"\b{name}\b", text):
                 used.add(name)
                 todo.append(ctes[name])
-    parts = ", ".join(f"{n} AS ({ctes[n]})" for n in names if n in used)
+    kind = lambda n: "AS MATERIALIZED" if n in ONCE else "AS"
+    parts = ", ".join(f"{n} {kind(n)} ({ctes[n]})" for n in names if n in used)
     lead = query.lstrip()
     if lead.upper().startswith("WITH "):
         return f"WITH {parts + ', ' if parts else ''}{lead[5:]}"
@@ -133,3 +147,9 @@ class Tables:
     def lines(self) -> DataFrame:
         v = lambda i: F.struct(F.col(f"x{i}").alias("x"), F.col(f"y{i}").alias("y"))
         return self.streams.withColumn("line", F.array(v(0), v(1)))
+
+    def wide_rings(self) -> DataFrame:
+        """The lakes stretched over the extent of the streams."""
+        n = self.width()
+        ring = F.transform("ring", lambda p: F.struct((p["x"] * 1e5 / n).alias("x"), (p["y"] * 1.5e4 / n).alias("y")))
+        return self.lake_rings().select("lake_id", ring.alias("ring"))

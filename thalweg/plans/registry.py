@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from ..functions import d8, rules
 from ..functions import geometry as G
-from ..operators import network, raster, spatial
+from ..operators import dissolve, network, raster, routing, spatial
 from .fixtures import Tables, sql
 
 FLAGSHIP = "J2_gauges_in_lakes"
@@ -88,6 +88,32 @@ def _(t):
     return t.lakes.where((F.col("Lake_area") > 5.0) | ~F.col("Lake_type").eqNullSafe(1)).select("lake_id", "Lake_type")
 
 
+@query("P3_subset_rename", "SELECT LINKNO AS link_id, Length AS length_m, DSLINKNO AS next_down FROM streams")
+def _(t):
+    return t.streams.select("LINKNO", "Length", "DSLINKNO").withColumnsRenamed({"LINKNO": "link_id", "Length": "length_m", "DSLINKNO": "next_down"})
+
+
+@query("P4_required_columns", "SELECT LINKNO, DSLINKNO FROM streams")
+def _(t):
+    rules.require(t.streams, ["LINKNO", "DSLINKNO", "Length"], "streams")
+    return t.streams.select("LINKNO", "DSLINKNO")
+
+
+@query("P15_default_columns", "SELECT DN, is_lake, CAST(-1 AS INT) AS lake_id, '' AS gauge FROM basins")
+def _(t):
+    return rules.with_defaults(t.basins.select("DN", "is_lake"), {"is_lake": 0, "lake_id": -1, "gauge": ""})
+
+
+@query("P17_arithmetic", f"SELECT LINKNO, {SIX('sqrt(Length)')} AS root, {SIX('abs(Slope - 1e-2)')} AS off, CAST(round_even(Length / 25, 0) AS BIGINT) AS cells FROM streams")
+def _(t):
+    return t.streams.select("LINKNO", six(F.sqrt("Length")).alias("root"), six(F.abs(F.col("Slope") - 0.01)).alias("off"), F.rint(F.col("Length") / 25).cast("long").alias("cells"))
+
+
+@query("R19_estimated_cells", "SELECT LINKNO, CAST(greatest(1, round_even(unit_area / 9e2, 0)) AS BIGINT) AS n FROM streams")
+def _(t):
+    return t.streams.select("LINKNO", dissolve.estimated_cells(F.col("unit_area"), 30.0).alias("n"))
+
+
 @query("P5_area_length_units", f"SELECT LINKNO, {SIX('unit_area * 1e-6')} AS area_km2, {SIX('Length * 1e-3')} AS length_km FROM streams")
 def _(t):
     return t.streams.select("LINKNO", six(rules.number(F.col("unit_area")) * 1e-6).alias("area_km2"), six(rules.number(F.col("Length")) * 1e-3).alias("length_km"))
@@ -182,6 +208,34 @@ def _(t):
     return b.agg(six(F.min("b.minx")).alias("minx"), six(F.max("b.maxy")).alias("maxy"))
 
 
+@query("G8_clipped_lakes", f"""
+SELECT lake_id, {SIX('greatest(least(cx + hw, 5e1) - greatest(cx - hw, 1e1), 0e0) * greatest(least(cy + hw, 5e1) - greatest(cy - hw, 1e1), 0e0)')} AS area FROM lakes""")
+def _(t):
+    """J11 too: the part of each lake within a boundary."""
+    clipped = t.lake_rings().select("lake_id", G.clip_box(F.col("ring"), 10.0, 10.0, 50.0, 50.0).alias("ring"))
+    return clipped.select("lake_id", six(F.when(F.size("ring") > 3, G.ring_area(F.col("ring"))).otherwise(0.0)).alias("area"))
+
+
+@query("G12_joined_lines", "SELECT s.LINKNO, 1 AS parts, CAST(3 AS INT) AS n FROM streams s JOIN streams d ON d.LINKNO = s.DSLINKNO")
+def _(t):
+    """Each stream and the one downstream, from its upper end to its lower end."""
+    down = t.lines().select(F.col("LINKNO").alias("DSLINKNO"), F.reverse("line").alias("next"))
+    both = t.lines().select("LINKNO", "DSLINKNO", F.reverse("line").alias("line")).join(down, "DSLINKNO")
+    parts = G.joined(F.col("line"), F.col("next"))
+    return both.select("LINKNO", F.size(parts).alias("parts"), F.size(F.get(parts, F.lit(0))).alias("n"))
+
+
+@query("G13_least_step", f"SELECT LINKNO, {SIX('sqrt((x1 - x0) * (x1 - x0) + (y1 - y0) * (y1 - y0))')} AS step FROM streams")
+def _(t):
+    return t.lines().select("LINKNO", six(G.least_step(F.col("line"))).alias("step"))
+
+
+@query("G15_wkt", f"SELECT LINKNO, 2 AS n, {SIX('x0')} AS x, {SIX('y1')} AS y FROM streams")
+def _(t):
+    back = t.lines().select("LINKNO", G.from_wkt(G.to_wkt("LINESTRING", F.col("line"))).alias("v"))
+    return back.select("LINKNO", F.size("v").alias("n"), six(F.get("v", F.lit(0))["x"]).alias("x"), six(F.get("v", F.lit(1))["y"]).alias("y"))
+
+
 @query("G17_cell_centres", f"SELECT r, c, {SIX('1e3 + (c + 5e-1) * 25e-1')} AS x, {SIX('5e3 - (r + 5e-1) * 25e-1')} AS y FROM grid")
 def _(t):
     p = G.cell_xy([1000.0, 2.5, 0.0, 5000.0, 0.0, -2.5], F.col("r"), F.col("c"), 0.5)
@@ -210,7 +264,7 @@ def _(t):
 
 
 _POINTS = """SELECT LINKNO AS pt, CASE WHEN LINKNO % 2 = 0 THEN 'inflow' ELSE 'outflow' END AS point_type,
-  x1 + 1e0 AS px, y1 - 2e0 AS py FROM streams WHERE LINKNO % 40 = 0 OR LINKNO % 41 = 0"""
+  x1 + 1e0 AS px, y1 - 2e0 AS py FROM streams"""
 
 
 @query("J7_connect_nodes", f"""
@@ -226,20 +280,60 @@ def _(t):
     return spatial.connect_nodes(pts, t.lines().select("LINKNO", "line"), 5.0, 1000.0).select("pt", "LINKNO", six(F.col("d")).alias("d"))
 
 
-@query("J7_connect_nodes_all")
+@query("J9_nearest_stream", """
+SELECT LINKNO FROM (SELECT *, greatest(0e0, least(1e0, ((3e4 - x0) * (x1 - x0) + (25e2 - y0) * (y1 - y0)) / ((x1 - x0) * (x1 - x0) + (y1 - y0) * (y1 - y0)))) AS f FROM streams)
+ORDER BY sqrt(power(3e4 - (x0 + f * (x1 - x0)), 2) + power(25e2 - (y0 + f * (y1 - y0)), 2)), LINKNO LIMIT 1""")
 def _(t):
-    """J7 for points of every stream."""
-    t.streams.createOrReplaceTempView("streams")
-    every = t.spark.sql(_POINTS.partition(" WHERE ")[0])
-    pts = every.select("pt", "point_type", F.struct(F.col("px").alias("x"), F.col("py").alias("y")).alias("p"))
-    return spatial.connect_nodes(pts, t.lines().select("LINKNO", "line"), 5.0, 1000.0).select("pt", "LINKNO", six(F.col("d")).alias("d"))
+    """The link whose line is nearest to a point, the least on ties."""
+    p = F.struct(F.lit(30000.0).alias("x"), F.lit(2500.0).alias("y"))
+    return spatial.nearest_line(t.lines().select("LINKNO", "line"), p).select("LINKNO")
 
 
-@query("J9_nearest_stream", "SELECT LINKNO FROM streams ORDER BY sqrt(power(3e4 - x1, 2) + power(25e2 - y1, 2)), LINKNO LIMIT 1")
+@query("J5_streams_through_lakes", "SELECT l.lake_id, coalesce(string_agg(DISTINCT CAST(m.WSNO AS VARCHAR), ','  ORDER BY CAST(m.WSNO AS VARCHAR)), '') AS basins FROM wide l LEFT JOIN met m ON m.lake_id = l.lake_id GROUP BY l.lake_id")
 def _(t):
-    p = F.struct(F.lit(30000.0).alias("x"), F.lit(2500.0).alias("y"))
-    df = t.lines().select("LINKNO", G.distance(p, G.last_vertex(F.col("line"))).alias("d"))
-    return df.orderBy("d", "LINKNO").limit(1).select("LINKNO")
+    found = spatial.through_basins(t.wide_rings(), t.lines().select("WSNO", "line"), 5000.0)
+    names = F.array_sort(F.transform("basins", lambda b: b.cast("string")))
+    return found.select("lake_id", F.array_join(names, ",").alias("basins"))
+
+
+@query("G8_streams_in_lakes", f"SELECT lake_id, LINKNO, {SIX('overlap')} AS overlap, mid_inside, tips_inside FROM met")
+def _(t):
+    met = spatial.lines_in_polygons(t.lines().select("LINKNO", "line"), t.wide_rings(), 5000.0)
+    return met.select("lake_id", "LINKNO", six(F.col("overlap")).alias("overlap"), "mid_inside", "tips_inside")
+
+
+@query("J13_parents_of_units", """
+WITH unit AS (SELECT CASE WHEN LINKNO % 2 = 1 THEN LINKNO - 1 ELSE LINKNO END AS agg, min(CASE WHEN LINKNO % 2 = 0 THEN DSLINKNO END) AS aggdown, sum(sz) AS sz FROM streams GROUP BY 1)
+SELECT s.agg, s.aggdown, p.aggdown AS parent_down FROM unit s LEFT JOIN unit p ON p.agg = s.aggdown WHERE s.sz < 50""")
+def _(t):
+    """Small units and where the unit downstream of them flows: a self left join on the aggregate."""
+    agg = F.when(F.col("LINKNO") % 2 == 1, F.col("LINKNO") - 1).otherwise(F.col("LINKNO"))
+    even = F.when(F.col("LINKNO") % 2 == 0, F.col("DSLINKNO"))
+    unit = t.streams.groupBy(agg.alias("agg")).agg(F.min(even).alias("aggdown"), F.sum("sz").alias("sz"))
+    parent = unit.select(F.col("agg").alias("aggdown"), F.col("aggdown").alias("parent_down"))
+    return unit.where("sz < 50").join(parent, "aggdown", "left").select("agg", "aggdown", "parent_down")
+
+
+@query("J14_basins_with_gauges", """
+SELECT b.DN, coalesce(g.names, '') AS names FROM basins b LEFT JOIN (SELECT sid % 50 + 1 AS DN, string_agg(STATION_NUMBER, ', ' ORDER BY sid) AS names FROM stations GROUP BY 1) g ON g.DN = b.DN""")
+def _(t):
+    listed = F.transform(F.sort_array(F.collect_list(F.struct("sid", "STATION_NUMBER"))), lambda s: s["STATION_NUMBER"])
+    g = t.stations.groupBy((F.col("sid") % 50 + 1).alias("DN")).agg(F.array_join(listed, ", ").alias("names"))
+    return t.basins.select("DN").join(g, "DN", "left").withColumn("names", F.coalesce("names", F.lit("")))
+
+
+@query("J16_pour_point_attributes", """
+SELECT u.agg AS DN, b.is_lake, b.STATION_NU, u.n FROM (SELECT lvl, min(LINKNO) AS agg, count(*) AS n FROM streams GROUP BY lvl) u LEFT JOIN basins b ON b.DN = u.agg""")
+def _(t):
+    unit = t.streams.groupBy("lvl").agg(F.min("LINKNO").alias("DN"), F.count(F.lit(1)).alias("n"))
+    return unit.join(t.basins.select("DN", "is_lake", "STATION_NU"), "DN", "left").select("DN", "is_lake", "STATION_NU", "n")
+
+
+@query("W6_sorted_links", "SELECT LINKNO, row_number() OVER (ORDER BY Length DESC, LINKNO) AS place FROM streams ORDER BY Length DESC LIMIT 20")
+def _(t):
+    """The 20 longest links in order: a sort with a limit keeps 20 rows a task."""
+    top = t.streams.orderBy(F.desc("Length"), "LINKNO").limit(20)
+    return top.select("LINKNO", F.row_number().over(Window.orderBy(F.desc("Length"), "LINKNO")).cast("long").alias("place"))
 
 
 @query("W2_ranked_exits", "SELECT lake_id, link_no, seq FROM (SELECT *, row_number() OVER (PARTITION BY lake_id ORDER BY gauge_dist, doutend, local_accum DESC, dscontarea DESC, seq) AS k FROM exits) WHERE k = 1")
@@ -270,9 +364,37 @@ def _(t):
 # ---- aggregations -----------------------------------------------------------------------------------------------
 
 
-@query("A2_dissolve_first", "SELECT lvl, min_by(LINKNO, LINKNO) AS first_link, count(*) AS n FROM streams GROUP BY lvl")
+@query("A2_dissolve_first", """
+SELECT lvl, arg_min(v, LINKNO) FILTER (v IS NOT NULL) AS v, max(Length) AS Length, CAST(sum(sz) AS BIGINT) AS sz
+FROM (SELECT *, CASE WHEN LINKNO % 3 <> 0 THEN LINKNO * 2 END AS v FROM streams) GROUP BY lvl""")
 def _(t):
-    return t.streams.groupBy("lvl").agg(F.min_by("LINKNO", "LINKNO").alias("first_link"), F.count(F.lit(1)).alias("n"))
+    """Attributes by rule: the first known value by id, the greatest, the sum."""
+    some = t.streams.withColumn("v", F.when(F.col("LINKNO") % 3 != 0, F.col("LINKNO") * 2))
+    return dissolve.dissolve(some, "lvl", {"v": "first", "Length": "max", "sz": "sum"}, "LINKNO")
+
+
+def _basin_cells(t):
+    return t.grid.where("w > 0").select(F.col("w").alias("DN"), F.col("r").cast("int").alias("row"), F.col("c").cast("int").alias("col"))
+
+
+@query("A1_dissolved_lakes", """
+WITH u AS (SELECT DISTINCT r, c FROM mask) SELECT (SELECT count(*) FROM u) + 0e0 AS area,
+(SELECT 4 * count(*) FROM u) - 2e0 * ((SELECT count(*) FROM u JOIN u v ON v.r = u.r + 1 AND v.c = u.c) + (SELECT count(*) FROM u JOIN u v ON v.r = u.r AND v.c = u.c + 1)) AS perimeter""")
+def _(t):
+    """One geometry of all lakes, by its rings: area less holes, and length."""
+    cells = _mask(t).withColumnRenamed("lake_id", "unit")
+    rings = dissolve.union_outlines(cells, cells.select("unit", F.lit(0).cast("long").alias("label")).distinct())
+    return rings.agg(F.sum(F.col("sense") * G.ring_area(F.col("vertices"))).alias("area"), F.sum(F.size("vertices") - 1).cast("double").alias("perimeter"))
+
+
+@query("A3_dissolved_basins", """
+WITH u AS (SELECT DISTINCT w % 7 AS label, r, c FROM grid WHERE w > 0) SELECT u.label, count(*) + 0e0 AS area, 4e0 * count(*) - 2 * (count(a.r) + count(b.r)) AS perimeter
+FROM u LEFT JOIN u a ON a.label = u.label AND a.r = u.r + 1 AND a.c = u.c LEFT JOIN u b ON b.label = u.label AND b.r = u.r AND b.c = u.c + 1 GROUP BY u.label""")
+def _(t):
+    """Basins merged by group: area and perimeter of the union."""
+    cells = _basin_cells(t).withColumnRenamed("DN", "unit")
+    groups = cells.select("unit", (F.col("unit") % 7).alias("label")).distinct()
+    return dissolve.cell_area(dissolve.merged_cells(cells, groups))
 
 
 @query("A3_dissolve_max", "SELECT DSLINKNO AS unit, max(Length) AS Length, max(strmOrder) AS strmOrder FROM streams GROUP BY DSLINKNO")
@@ -313,6 +435,10 @@ def _reach(t):
     return network.closure(network.edges(t.streams))
 
 
+def _spans(t):
+    return network.intervals(network.as_nodes(network.edges(t.streams), t.streams.select("LINKNO")))
+
+
 @query("T1_closure", "SELECT id, anc, hops FROM reach")
 def _(t):
     return _reach(t)
@@ -323,25 +449,34 @@ SELECT a.lake_id, a.link_no, a.seq FROM exits a WHERE a.link_no = -1 OR NOT EXIS
   SELECT 1 FROM exits b WHERE b.lake_id = a.lake_id AND b.link_no <> -1 AND b.link_no = a.link_no AND b.local_accum > a.local_accum)
   AND NOT EXISTS (SELECT 1 FROM exits b JOIN reach q ON q.anc = b.link_no WHERE b.lake_id = a.lake_id AND q.id = a.link_no)""")
 def _(t):
-    return network.drop_duplicate_exits(t.exits, _reach(t), "local_accum").select("lake_id", "link_no", "seq")
+    return network.drop_duplicate_exits(t.exits, _spans(t), "local_accum").select("lake_id", "link_no", "seq")
 
 
 @query("T3_trace_downstream", """
-WITH starts AS (SELECT LINKNO AS start FROM streams WHERE LINKNO % 37 = 0), walk AS (
-  SELECT start, start AS id, CAST(0 AS BIGINT) AS hops FROM starts UNION ALL SELECT start, anc, hops FROM starts JOIN reach ON id = start)
+WITH walk AS (
+  SELECT LINKNO AS start, LINKNO AS id, CAST(0 AS BIGINT) AS hops FROM streams UNION ALL SELECT id, anc, hops FROM reach)
 SELECT w.start, w.id, w.hops FROM walk w LEFT JOIN (SELECT start, min(hops) AS e FROM walk WHERE id % 5 = 0 GROUP BY start) s ON s.start = w.start
 WHERE e IS NULL OR w.hops <= e""")
 def _(t):
-    starts = t.streams.where("LINKNO % 37 = 0").select(F.col("LINKNO").alias("start"))
+    """From every link down to the first stop."""
     stops = t.streams.where("LINKNO % 5 = 0").select(F.col("LINKNO").alias("stop"))
-    return network.trace_downstream(starts, _reach(t), stops)
+    return network.trace_downstream(t.streams.select(F.col("LINKNO").alias("start")), network.edges(t.streams), stops)
 
 
-@query("T3_trace_downstream_all")
+@query("T4_internal_links", """
+WITH starts AS (SELECT LINKNO % 25 AS lake_id, LINKNO FROM streams WHERE lvl = 6
+  UNION SELECT lake_id, LINKNO FROM met WHERE (mid_inside OR tips_inside OR overlap > 180) AND LINKNO NOT IN (SELECT DSLINKNO FROM streams)),
+walk AS (SELECT s.lake_id, s.LINKNO AS start, r.anc AS id, r.hops FROM starts s JOIN reach r ON r.id = s.LINKNO
+  UNION ALL SELECT lake_id, LINKNO, LINKNO, 0 FROM starts),
+ends AS (SELECT lake_id, start, min(hops) AS e FROM walk WHERE id % 3 = 0 AND id % 25 = lake_id GROUP BY lake_id, start)
+SELECT DISTINCT w.lake_id, w.id AS LINKNO FROM walk w LEFT JOIN ends e ON e.lake_id = w.lake_id AND e.start = w.start WHERE e IS NULL OR w.hops <= e.e""")
 def _(t):
-    """T3 from every link."""
-    stops = t.streams.where("LINKNO % 5 = 0").select(F.col("LINKNO").alias("stop"))
-    return network.trace_downstream(t.streams.select(F.col("LINKNO").alias("start")), _reach(t), stops)
+    """Links that lakes swallow: down from their inflow links, and from headwaters that lie in them, to the first outflow link."""
+    met = spatial.lines_in_polygons(t.lines().select("LINKNO", "line"), t.wide_rings(), 5000.0)
+    inflow = t.streams.where("lvl = 6").select((F.col("LINKNO") % 25).alias("lake_id"), "LINKNO")
+    stops = t.streams.where("LINKNO % 3 = 0").select((F.col("LINKNO") % 25).alias("lake_id"), "LINKNO")
+    starts = inflow.union(spatial.swallowed_starts(met, t.streams)).distinct()
+    return network.internal_links(starts, network.edges(t.streams), stops)
 
 
 @query("T6_contraction", """
@@ -358,23 +493,18 @@ def _(t):
     return network.contract(links, swallowed)
 
 
-@query("T5_longest_path", f"""
-WITH inside AS (SELECT LINKNO % 4 AS lake_id, LINKNO, DSLINKNO, USLINKNO1, Length, strmDrop, StraightL, DOUTEND FROM streams WHERE LINKNO % 3 <> 0 AND lvl < 6),
-tops AS (SELECT a.lake_id, a.LINKNO AS start FROM inside a WHERE NOT EXISTS (SELECT 1 FROM inside b WHERE b.lake_id = a.lake_id AND b.LINKNO = a.USLINKNO1)),
-walk AS (SELECT * FROM (WITH RECURSIVE w(lake_id, start, cur) AS (SELECT lake_id, start, start FROM tops UNION ALL
-  SELECT w.lake_id, w.start, j.LINKNO FROM w JOIN inside i ON i.lake_id = w.lake_id AND i.LINKNO = w.cur JOIN inside j ON j.lake_id = w.lake_id AND j.LINKNO = i.DSLINKNO) SELECT * FROM w)),
-each AS (SELECT w.lake_id, w.start, sum(Length) AS Length, sum(strmDrop) AS strmDrop, min(DOUTEND) AS DOUTEND FROM walk w JOIN inside i ON i.lake_id = w.lake_id AND i.LINKNO = w.cur GROUP BY w.lake_id, w.start)
-SELECT lake_id, start, {SIX('Length')} AS Length, {SIX('strmDrop')} AS strmDrop, {SIX('DOUTEND + Length')} AS DOUTSTART FROM
-(SELECT *, row_number() OVER (PARTITION BY lake_id ORDER BY Length DESC, start) AS k FROM each) WHERE k = 1""")
-def _(t):
-    inside = t.streams.where("LINKNO % 3 <> 0 and lvl < 6").select((F.col("LINKNO") % 4).alias("lake_id"), "LINKNO")
-    best = network.path_metrics(inside, t.streams)
-    return best.select("lake_id", "start", six(F.col("Length")).alias("Length"), six(F.col("strmDrop")).alias("strmDrop"), six(F.col("DOUTSTART")).alias("DOUTSTART"))
+_SUBTREES = "SELECT LINKNO, CASE WHEN lvl >= 4 THEN CAST(floor(LINKNO / power(2e0, lvl - 4)) AS BIGINT) ELSE 0 END AS lake_id FROM streams"
 
 
-@query("T5_longest_path_all")
+@query("T5_longest_path", f"""
+WITH lake AS ({_SUBTREES}), inside AS (SELECT l.lake_id, s.* FROM streams s JOIN lake l ON l.LINKNO = s.LINKNO),
+tops AS (SELECT a.lake_id, a.LINKNO AS start FROM inside a LEFT JOIN inside b ON b.lake_id = a.lake_id AND b.LINKNO = a.USLINKNO1 WHERE b.LINKNO IS NULL),
+walk AS (SELECT lake_id, start, start AS cur FROM tops UNION ALL SELECT t.lake_id, t.start, r.anc FROM tops t JOIN reach r ON r.id = t.start JOIN lake l ON l.LINKNO = r.anc AND l.lake_id = t.lake_id),
+each AS (SELECT w.lake_id, w.start, sum(Length) AS Length, sum(strmDrop) AS strmDrop, min(DOUTEND) AS DOUTEND FROM walk w JOIN inside i ON i.LINKNO = w.cur GROUP BY w.lake_id, w.start)
+SELECT lake_id, start, {SIX('Length')} AS Length, {SIX('strmDrop')} AS strmDrop, {SIX('DOUTEND + Length')} AS DOUTSTART FROM
+(SELECT *, row_number() OVER (PARTITION BY lake_id ORDER BY round_even(Length * 1e6, 0) DESC, start) AS k FROM each) WHERE k = 1""")
 def _(t):
-    """T5 over all links: lakes are the whole subtrees below the fourth level, and the links above them one more."""
+    """Over all links: lakes are the whole subtrees below the fourth level, and the links above them one more."""
     top = F.when(F.col("lvl") >= 4, F.floor(F.col("LINKNO") / F.pow(F.lit(2.0), F.col("lvl") - 4)).cast("long")).otherwise(F.lit(0).cast("long"))
     best = network.path_metrics(t.streams.select(top.alias("lake_id"), "LINKNO"), t.streams)
     return best.select("lake_id", "start", six(F.col("Length")).alias("Length"), six(F.col("strmDrop")).alias("strmDrop"), six(F.col("DOUTSTART")).alias("DOUTSTART"))
@@ -391,9 +521,18 @@ def _(t):
     return network.bypass_phantoms(t.streams, t.basins).withColumn("Length", six(F.col("Length")))
 
 
-@query("T9_upstream_of_point", "SELECT id FROM reach WHERE anc = 5 UNION SELECT 5")
+@query("T9_upstream_of_point", """
+WITH near AS (SELECT LINKNO FROM (SELECT *, greatest(0e0, least(1e0, ((3e4 - x0) * (x1 - x0) + (25e2 - y0) * (y1 - y0)) / ((x1 - x0) * (x1 - x0) + (y1 - y0) * (y1 - y0)))) AS f FROM streams)
+ORDER BY sqrt(power(3e4 - (x0 + f * (x1 - x0)), 2) + power(25e2 - (y0 + f * (y1 - y0)), 2)), LINKNO LIMIT 1),
+up AS (SELECT r.id FROM reach r JOIN near n ON n.LINKNO = r.anc UNION SELECT LINKNO FROM near)
+SELECT s.LINKNO, s.Length, b.DN IS NULL AS no_basin FROM streams s JOIN up u ON u.id = s.LINKNO LEFT JOIN basins b ON b.DN = s.LINKNO""")
 def _(t):
-    return network.upstream_of(_reach(t), 5)
+    """The streams upstream of the link nearest to a point, and whether their basin is missing."""
+    p = F.struct(F.lit(30000.0).alias("x"), F.lit(2500.0).alias("y"))
+    target = spatial.nearest_line(t.lines().select("LINKNO", "line"), p).first()["LINKNO"]
+    up = network.upstream_of(_spans(t), target).withColumnRenamed("id", "LINKNO")
+    some = t.streams.join(up, "LINKNO", "left_semi").join(t.basins.select(F.col("DN").alias("LINKNO"), F.lit(True).alias("there")), "LINKNO", "left")
+    return some.select("LINKNO", "Length", F.col("there").isNull().alias("no_basin"))
 
 
 @query("T11_survivors", """
@@ -430,7 +569,9 @@ def _(t):
     return network.path_sums(nodes, "sz")
 
 
-@query("E4_stream_order")
+@query("E4_stream_order", """
+SELECT LINKNO AS id, CAST(sum(CASE WHEN (LINKNO + 1) * power(2e0, h) - 1 <= n THEN 1 ELSE 0 END) AS INT) AS ord
+FROM streams, (SELECT max(LINKNO) AS n FROM streams), (SELECT unnest(range(0, 40)) AS h) GROUP BY LINKNO""")
 def _(t):
     nodes = t.streams.select(F.col("LINKNO").alias("id"), F.when(F.col("DSLINKNO") > 0, F.col("DSLINKNO")).alias("down"))
     return network.strahler(nodes)
@@ -511,12 +652,21 @@ def _(t):
 
 @query("R7_most_upstream", "SELECT lake_id, link_no, seq FROM exits e WHERE NOT EXISTS (SELECT 1 FROM exits b JOIN reach q ON q.id = b.link_no WHERE b.lake_id = e.lake_id AND q.anc = e.link_no)")
 def _(t):
-    return raster.most_upstream(t.exits, _reach(t)).select("lake_id", "link_no", "seq")
+    return raster.most_upstream(t.exits, _spans(t)).select("lake_id", "link_no", "seq")
+
+
+@query("R7_resolved_inflows", """
+WITH kept AS (SELECT * FROM exits e WHERE NOT EXISTS (SELECT 1 FROM exits b JOIN reach q ON q.id = b.link_no WHERE b.lake_id = e.lake_id AND q.anc = e.link_no))
+SELECT lake_id, link_no, min(local_accum) AS fac, arg_min(seq, (local_accum, seq)) AS seq FROM kept GROUP BY lake_id, link_no""")
+def _(t):
+    """Of each most upstream link the cell with the least accumulation."""
+    df = t.exits.withColumns({"row": F.col("seq"), "col": F.lit(0), "fac": F.col("local_accum")})
+    return raster.resolved_inflows(df, _spans(t), "fac").select("lake_id", "link_no", "fac", F.col("row").alias("seq"))
 
 
 @query("R8_most_downstream", "SELECT lake_id, link_no, seq FROM exits e WHERE NOT EXISTS (SELECT 1 FROM exits b JOIN reach q ON q.anc = b.link_no WHERE b.lake_id = e.lake_id AND q.id = e.link_no)")
 def _(t):
-    return raster.most_downstream(t.exits, _reach(t)).select("lake_id", "link_no", "seq")
+    return raster.most_downstream(t.exits, _spans(t)).select("lake_id", "link_no", "seq")
 
 
 _CONFLICTS = """SELECT r, c, arg_min(m.lake_id, (-n, m.lake_id)) AS winner FROM mask m JOIN (SELECT lake_id, count(*) AS n FROM mask GROUP BY lake_id) k ON k.lake_id = m.lake_id GROUP BY r, c HAVING count(*) > 1"""
@@ -547,13 +697,15 @@ def _(t):
 
 
 @query("A13_local_centroid", f"""
-SELECT lake_id, {SIX('avg(r)')} AS r, {SIX('avg(c)')} AS c FROM (SELECT m.*, row_number() OVER (PARTITION BY m.lake_id ORDER BY power(m.r - l.cy, 2) + power(m.c - l.cx, 2), m.r, m.c) AS k
-FROM mask m JOIN lakes l ON l.lake_id = m.lake_id) WHERE k <= 10 GROUP BY lake_id""")
+WITH first AS (SELECT lake_id, min((r, c)) AS s FROM shore GROUP BY lake_id)
+SELECT lake_id, {SIX('avg(r)')} AS r, {SIX('avg(c)')} AS c FROM (SELECT m.*, row_number() OVER (PARTITION BY m.lake_id ORDER BY power(m.r - s[1], 2) + power(m.c - s[2], 2), m.r, m.c) AS k
+FROM mask m JOIN first f ON f.lake_id = m.lake_id WHERE m.r <> s[1] OR m.c <> s[2]) WHERE k <= 10 GROUP BY lake_id""")
 def _(t):
-    df = _mask(t).join(t.lakes.select("lake_id", "cx", "cy"), "lake_id")
-    far = F.pow(F.col("row") - F.col("cy"), 2) + F.pow(F.col("col") - F.col("cx"), 2)
-    near = df.withColumn("k", F.row_number().over(Window.partitionBy("lake_id").orderBy(far, "row", "col"))).where("k <= 10")
-    return near.groupBy("lake_id").agg(six(F.avg("row")).alias("r"), six(F.avg("col")).alias("c"))
+    """The middle of the ten lake cells nearest to the lake's first shore cell, that cell left out."""
+    mask = _mask(t)
+    first = raster.shoreline(mask).groupBy("lake_id").agg(F.min(F.struct("row", "col")).alias("s"))
+    middle = raster.local_centroid(mask, first.select("lake_id", F.col("s.row").alias("srow"), F.col("s.col").alias("scol")))
+    return middle.select("lake_id", six(F.col("row")).alias("r"), six(F.col("col")).alias("c"))
 
 
 @query("E2_flow_directions", "SELECT fdr, count(*) AS n, CAST(sum(r * 31 + c) AS BIGINT) AS s FROM d8 GROUP BY fdr")
@@ -632,74 +784,153 @@ def _(t):
     return raster.edits(before, after).select(F.col("row").cast("long").alias("r"), F.col("col").cast("long").alias("c"), "new_fdr")
 
 
-@query("T7_reservoir_basins", """
-SELECT DN, CAST(-1 AS BIGINT) AS lake_id, 0 AS is_lake, 0e0 AS frac_lake FROM basins WHERE DN % 9 <> 0
-UNION ALL SELECT DISTINCT CAST(floor(DN / 2) AS BIGINT) + 10000000, CAST(floor(DN / 2) AS BIGINT), 1, 5e-1 FROM basins WHERE DN % 9 = 0""")
-def _(t):
-    gone = t.basins.where("DN % 9 = 0")
-    plain = t.basins.join(gone, "DN", "left_anti").select("DN", F.lit(-1).cast("long").alias("lake_id"), F.lit(0).alias("is_lake"), F.lit(0.0).alias("frac_lake"))
-    winner = F.floor(F.col("DN") / 2)
-    lakes = gone.select((winner + 10000000).alias("DN"), winner.alias("lake_id"), F.lit(1).alias("is_lake"), F.lit(0.5).alias("frac_lake")).distinct()
-    return plain.unionByName(lakes)
+_SWALLOWED = "SELECT LINKNO % 25 AS lake_id, LINKNO FROM streams WHERE LINKNO <= 91"
+
 
+@query("T7_reservoir_basins", f"""
+WITH internal AS ({_SWALLOWED}), winner AS (SELECT lake_id, min(LINKNO) AS LINKNO FROM internal GROUP BY lake_id),
+taken AS (SELECT DISTINCT i.lake_id, b.DN FROM internal i JOIN basins b ON b.DN = i.LINKNO),
+unit AS (SELECT DISTINCT t.lake_id, g.r, g.c FROM taken t JOIN grid g ON g.w = t.DN),
+area AS (SELECT u.lake_id, count(*) AS n, count(m.r) AS wet FROM unit u LEFT JOIN mask m ON m.lake_id = u.lake_id AND m.r = u.r AND m.c = u.c GROUP BY u.lake_id)
+SELECT b.DN, CAST(-1 AS BIGINT) AS lake_id, 0 AS is_lake, 0e0 AS lake_area, 0e0 AS frac_lake, CAST(coalesce(g.n, 0) AS BIGINT) AS n_cells
+FROM basins b LEFT JOIN (SELECT w, count(*) AS n FROM grid WHERE w > 0 GROUP BY w) g ON g.w = b.DN WHERE b.DN NOT IN (SELECT DN FROM taken)
+UNION ALL SELECT w.LINKNO, w.lake_id, 1, {SIX('coalesce(l.Lake_area, 0e0) * 1e6')}, {SIX('coalesce(a.wet / (a.n + 0e0), 0e0)')}, CAST(coalesce(a.n, 0) AS BIGINT)
+FROM (SELECT DISTINCT lake_id FROM taken) t JOIN winner w ON w.lake_id = t.lake_id LEFT JOIN lakes l ON l.lake_id = w.lake_id LEFT JOIN area a ON a.lake_id = w.lake_id""")
+def _(t):
+    internal = t.streams.where("LINKNO <= 91").select((F.col("LINKNO") % 25).alias("lake_id"), "LINKNO")
+    winners = internal.groupBy("lake_id").agg(F.min("LINKNO").alias("LINKNO"))
+    df = dissolve.reservoir_basins(t.basins, _basin_cells(t), internal, winners, _mask(t), t.lakes)
+    return df.withColumns({"lake_area": six(F.col("lake_area")), "frac_lake": six(F.col("frac_lake"))})
 
-def _route(t):
-    from ..operators import routing
 
-    mask = _mask(t)
-    own = mask.join(_won(mask), ["row", "col"], "left").where("winner is null or winner = lake_id").drop("winner")
-    flows = raster.steepest(t.cells())
-    target = raster.shoreline(own).groupBy("lake_id").agg(F.max(F.struct("row", "col")).alias("b"))
-    target = target.select("lake_id", F.col("b.row").alias("trow"), F.col("b.col").alias("tcol"))
-    return routing.route_lakes(own, flows, target)
+def _windows(t):
+    """All cells of the windows of the lakes that lie within the raster, with the lake's own."""
+    n = t.width()
+    w = raster.window_of_bounds(G.bounds(F.col("ring")), [0.0, 1.0, 0.0, 0.0, 0.0, 1.0], n, n)
+    cells = _flows(t).select("row", "col", "fdr", "w")
+    at = raster.window_cells(t.lake_rings().select("lake_id", w.alias("win")).where("win is not null").withColumnRenamed("win", "w"), cells.withColumnRenamed("w", "basin"))
+    inside = _mask(t).withColumn("inside", F.lit(True))
+    return at.join(inside, ["lake_id", "row", "col"], "left").select("lake_id", "row", "col", "fdr", F.col("basin").alias("w"), F.coalesce("inside", F.lit(False)).alias("inside"))
 
 
 @query("R11_centre_line_routing")
 def _(t):
     """Edits of the flow directions of all lakes, each along its centre line to an outlet on its shore."""
-    return _named(_route(t), "new_fdr")
+    windows = _windows(t)
+    shore = raster.shoreline(windows.where("inside").select("lake_id", "row", "col"))
+    target = shore.groupBy("lake_id").agg(F.max(F.struct("row", "col")).alias("b"))
+    return _named(routing.route_lakes(windows, target.select("lake_id", F.col("b.row").alias("trow"), F.col("b.col").alias("tcol"))), "new_fdr")
 
 
-@query("T10_basin_aggregation")
-def _(t):
-    """Groups of small units, by drainage tree: the 16 subtrees at the fourth level."""
-    from ..operators import routing
+def _lake_exits(t):
+    """Exit cells with what ranks them; the basin of a cell is its link."""
+    mask = _mask(t)
+    on = raster.exits(raster.shoreline(mask), mask, _flows(t))
+    link = F.when(F.col("w") > 0, F.col("w")).otherwise(F.lit(-1).cast("long")).alias("link_no")
+    far = F.when((F.col("row") + F.col("col")) % 5 == 0, (F.col("row") % 7).cast("double")).otherwise(F.lit(float("inf"))).alias("gauge_dist")
+    seq = (F.col("row").cast("long") * 100000 + F.col("col")).alias("seq")
+    return on.select("lake_id", "row", "col", link, far, (F.col("w") * 7 % 10).cast("double").alias("doutend"), F.col("fac").alias("local_accum"), (F.col("w") * 31 % 50).alias("dscontarea"), seq)
+
 
+def _outlet_plans(t, exits):
+    mask = _mask(t)
+    through = mask.join(t.cells().where("src = 1 and w > 0"), ["row", "col"]).select("lake_id", "w").distinct()
+    at = t.overrides.select(F.col("lake_id").cast("long").alias("lake_id"), F.col("y").alias("row"), F.col("x").alias("col"))
+    return routing.plan_outlets(t.lakes, exits, raster.shoreline(mask), at, t.cells(), through)
+
+
+@query("R15_planned_outlets", """
+WITH ex AS (SELECT s.lake_id, s.r, s.c, CASE WHEN g.w > 0 THEN g.w ELSE -1 END AS link_no, CASE WHEN (s.r + s.c) % 5 = 0 THEN s.r % 7 + 0e0 ELSE 1e300 END AS gd,
+  (g.w * 7) % 10 AS dout, g.fac, (g.w * 31) % 50 AS area, s.r * 100000 + s.c AS seq FROM shore s JOIN d8 g ON g.r = s.r AND g.c = s.c
+  LEFT JOIN mask m ON m.lake_id = s.lake_id AND m.r = g.tr AND m.c = g.tc WHERE g.src = 1 AND m.r IS NULL),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lake_id ORDER BY gd, dout, fac DESC, area DESC, seq) AS k FROM ex) WHERE k = 1),
+o AS (SELECT CAST(lake_id AS BIGINT) AS lake_id, y, x FROM overrides),
+near AS (SELECT * FROM (SELECT e.*, row_number() OVER (PARTITION BY e.lake_id ORDER BY sqrt(power(e.r - o.y, 2) + power(e.c - o.x, 2)), e.seq) AS k FROM ex e JOIN o ON o.lake_id = e.lake_id
+  WHERE sqrt(power(e.r - o.y, 2) + power(e.c - o.x, 2)) <= 3) WHERE k = 1),
+close AS (SELECT * FROM (SELECT s.*, row_number() OVER (PARTITION BY s.lake_id ORDER BY sqrt(power(s.r - o.y, 2) + power(s.c - o.x, 2)), s.r, s.c) AS k FROM shore s JOIN o ON o.lake_id = s.lake_id) WHERE k = 1),
+through AS (SELECT DISTINCT m.lake_id, g.w FROM mask m JOIN grid g ON g.r = m.r AND g.c = m.c WHERE g.src = 1 AND g.w > 0),
+apart AS (SELECT o.lake_id FROM o JOIN grid g ON g.r = round_even(o.y, 0) AND g.c = round_even(o.x, 0) LEFT JOIN through t ON t.lake_id = o.lake_id AND t.w = g.w WHERE g.w > 0 AND t.w IS NULL)
+SELECT lake_id, try_, CASE WHEN try_ = 'override_snapped' THEN nr WHEN try_ LIKE 'override%' THEN sr END AS trow, CASE WHEN try_ = 'override_snapped' THEN nc WHEN try_ LIKE 'override%' THEN sc END AS tcol, arow, acol, alink
+FROM (SELECT l.lake_id, CASE WHEN o.lake_id IS NULL THEN 'algorithmic_stream' WHEN n.r IS NOT NULL THEN 'override_snapped' WHEN s.r IS NULL THEN 'skipped_no_boundary' WHEN a.lake_id IS NOT NULL THEN 'override_direct_ds' ELSE 'override_carved' END AS try_,
+  n.r AS nr, n.c AS nc, s.r AS sr, s.c AS sc, b.r AS arow, b.c AS acol, b.link_no AS alink
+  FROM lakes l LEFT JOIN o ON o.lake_id = l.lake_id LEFT JOIN near n ON n.lake_id = l.lake_id LEFT JOIN close s ON s.lake_id = l.lake_id LEFT JOIN apart a ON a.lake_id = l.lake_id LEFT JOIN best b ON b.lake_id = l.lake_id)""")
+def _(t):
+    """What is tried first as the outlet of each lake, at which cell, and the best exit to fall back on."""
+    long = lambda c: F.col(c).cast("long").alias(c)
+    return _outlet_plans(t, _lake_exits(t)).select("lake_id", "try_", long("trow"), long("tcol"), long("arow"), long("acol"), "alink")
+
+
+@query("R18_edited_lakes")
+def _(t):
+    """The outlet of each lake in its window and the edits of its flow: exits without those upstream of others, overrides
+    snapped, broken out or carved, else the best exit, then the centre line."""
+    exits = network.drop_duplicate_exits(_lake_exits(t), _spans(t), "local_accum")
+    done = routing.edit_lakes(_windows(t), _outlet_plans(t, exits))
+    return done.select("lake_id", "sel_type", F.col("trow").cast("long").alias("r"), F.col("tcol").cast("long").alias("c"), "link_no", F.size("edits").alias("n_edits"))
+
+
+def _units(t):
     area = network.accumulate(t.streams.select(F.col("LINKNO").alias("id"), F.when(F.col("DSLINKNO") > 0, F.col("DSLINKNO")).alias("down"), F.col("sz").cast("double").alias("unit")), "unit")
-    top = F.floor(F.col("LINKNO") / F.pow(F.lit(2.0), F.col("lvl") - 4)).cast("long")
-    units = t.streams.where("lvl >= 4").withColumn("tree", top).withColumn("end", F.col("LINKNO") == top)
-    mask = rules.role_mask(F.col("end"), F.col("LINKNO") % 23 == 0, F.col("LINKNO") % 50 == 0)
-    units = units.join(area.withColumnsRenamed({"id": "LINKNO", "total": "uparea"}), "LINKNO")
-    down = F.when(F.col("end"), F.lit(-9999)).otherwise(F.col("DSLINKNO")).alias("down")
-    return routing.aggregate_units(units.select("tree", F.col("LINKNO").alias("id"), down, F.col("sz").cast("double").alias("unit"), "uparea", mask.alias("mask")))
+    end = F.col("DSLINKNO") <= 0
+    units = t.streams.join(area.withColumnsRenamed({"id": "LINKNO", "total": "uparea"}), "LINKNO")
+    mask = rules.role_mask(end, F.col("LINKNO") % 23 == 0, F.col("LINKNO") % 50 == 0).alias("mask")
+    return units.select(F.lit(1).cast("long").alias("tree"), F.col("LINKNO").alias("id"), F.when(end, F.lit(-9999)).otherwise(F.col("DSLINKNO")).alias("down"), F.col("sz").cast("double").alias("unit"), "uparea", mask)
+
+
+@query("T10_basin_aggregation")
+def _(t):
+    """Groups of small units over the whole network, each with the attributes of its pour point and the group downstream."""
+    units = _units(t)
+    return routing.aggregated(units, routing.aggregate_units(units))
 
 
 @query("E1_filled_pits")
 def _(t):
     """Depressions filled over the whole grid, from tiles of 64 x 64 cells."""
-    from ..operators import routing
-
     tiled = t.cells().select((F.floor(F.col("row") / 64) * 1000 + F.floor(F.col("col") / 64)).cast("long").alias("tile"), "row", "col", "z")
     return routing.fill_pits(tiled)
 
 
-@query("E8_outlines")
+@query("E8_outlines", """
+SELECT m.lake_id AS label, count(*) + 0e0 AS area, 4e0 * count(*) - 2 * (count(a.r) + count(b.r)) AS perimeter FROM mask m
+LEFT JOIN mask a ON a.lake_id = m.lake_id AND a.r = m.r + 1 AND a.c = m.c LEFT JOIN mask b ON b.lake_id = m.lake_id AND b.r = m.r AND b.c = m.c + 1 GROUP BY m.lake_id""")
 def _(t):
-    """Rings around the lakes' cells."""
-    from ..operators import routing
-
+    """Rings around the lakes' cells, by the area that they enclose, holes left out, and their length."""
     rings = routing.outlines(_mask(t).withColumnRenamed("lake_id", "label"))
-    return rings.select("label", "ring", "sense", six(G.ring_area(F.col("vertices"))).alias("area"), F.size("vertices").alias("n"))
+    return rings.groupBy("label").agg(F.sum(F.col("sense") * G.ring_area(F.col("vertices"))).alias("area"), F.sum(F.size("vertices") - 1).cast("double").alias("perimeter"))
+
+
+_STREAMS = f"""acc AS ({_ACCUM}), s0 AS (SELECT d.r, d.c, d.tr, d.tc, d.z, a.ad8 FROM d8 d JOIN acc a ON a.r = d.r AND a.c = d.c WHERE a.ad8 >= 5),
+s AS MATERIALIZED (SELECT x.r, x.c, x.z, x.ad8, y.r AS tr, y.c AS tc, y.z AS tz, x.r * wide + x.c AS id, sqrt(power(y.r - x.r, 2) + power(y.c - x.c, 2)) AS far
+  FROM s0 x LEFT JOIN s0 y ON y.r = x.tr AND y.c = x.tc AND (x.r <> y.r OR x.c <> y.c), (SELECT max(wide) AS wide FROM grid)),
+ups AS MATERIALIZED (SELECT n.r, n.c, count(u.r) AS ups FROM s n LEFT JOIN s u ON u.tr = n.r AND u.tc = n.c GROUP BY n.r, n.c),
+runs AS MATERIALIZED (SELECT * FROM (WITH RECURSIVE w(r0, c0, r, c, n) AS (SELECT r, c, r, c, 1 FROM ups WHERE ups <> 1 UNION ALL
+  SELECT w.r0, w.c0, s.tr, s.tc, w.n + 1 FROM w JOIN s ON s.r = w.r AND s.c = w.c JOIN ups u ON u.r = s.tr AND u.c = s.tc AND u.ups = 1) SELECT * FROM w)),
+ends AS (SELECT r0, c0, max(n) AS n_cells, arg_max(s.id, n) AS id, sum(coalesce(far, 0)) AS len, arg_max(s.ad8, n) AS ad8, arg_max((s.tr, s.tc), n) AS nxt, arg_max(coalesce(s.tz, s.z), n) AS zend
+  FROM runs w JOIN s ON s.r = w.r AND s.c = w.c GROUP BY r0, c0)"""
 
 
 @query("E6_stream_links", f"""
-WITH acc AS ({_ACCUM}), s AS (SELECT d.r, d.c, d.tr, d.tc FROM d8 d JOIN acc a ON a.r = d.r AND a.c = d.c WHERE a.ad8 >= 5),
-k AS (SELECT n.r, n.c, count(u.r) AS ups FROM s n LEFT JOIN s u ON u.tr = n.r AND u.tc = n.c AND (u.r <> n.r OR u.c <> n.c) GROUP BY n.r, n.c)
-SELECT ups, count(*) AS n FROM k GROUP BY ups""")
+WITH {_STREAMS} SELECT e.id AS LINKNO, coalesce(d.id, -1) AS DSLINKNO, CAST(e.n_cells AS BIGINT) AS n_cells, {SIX('e.len')} AS Length, CAST(e.ad8 AS BIGINT) AS DSContArea, {SIX('s.z - e.zend')} AS strmDrop
+FROM ends e JOIN s ON s.r = e.r0 AND s.c = e.c0 LEFT JOIN ends d ON d.r0 = e.nxt[1] AND d.c0 = e.nxt[2]""")
 def _(t):
+    """The links of the streams of five cells and more, split at junctions."""
+    links = _network(t)[0]
+    return links.select("LINKNO", "DSLINKNO", "n_cells", six(F.col("Length")).alias("Length"), "DSContArea", six(F.col("strmDrop")).alias("strmDrop"))
+
+
+@query("E6_watersheds", f"""
+WITH {_STREAMS}, owner AS (SELECT w.r, w.c, e.id FROM runs w JOIN ends e ON e.r0 = w.r0 AND e.c0 = w.c0),
+down AS (SELECT * FROM (WITH RECURSIVE w(r, c, ar, ac) AS (SELECT r, c, r, c FROM d8 UNION ALL
+  SELECT w.r, w.c, d.tr, d.tc FROM w JOIN d8 d ON d.r = w.ar AND d.c = w.ac LEFT JOIN s ON s.r = w.ar AND s.c = w.ac JOIN d8 x ON x.r = d.tr AND x.c = d.tc WHERE d.fdr > 0 AND s.r IS NULL) SELECT * FROM w))
+SELECT coalesce(o.id, -1) AS WSNO, count(*) AS n FROM (SELECT d.r, d.c, max(o.id) AS id FROM down d LEFT JOIN owner o ON o.r = d.ar AND o.c = d.ac GROUP BY d.r, d.c) o GROUP BY 1""")
+def _(t):
+    """How many cells drain to each link."""
+    return _network(t)[1].groupBy("WSNO").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _network(t):
     flows = raster.steepest(t.cells())
-    many = raster.contributing(flows, t.width()).where("ad8 >= 5").select("row", "col")
-    on = raster.flow_targets(flows.join(many, ["row", "col"]))
-    ups = on.where("trow <> row or tcol <> col").groupBy(F.col("trow").alias("row"), F.col("tcol").alias("col")).agg(F.count(F.lit(1)).alias("ups"))
-    df = on.join(ups, ["row", "col"], "left").select(F.coalesce("ups", F.lit(0).cast("long")).alias("ups"))
-    return df.groupBy("ups").agg(F.count(F.lit(1)).alias("n"))
+    many = raster.contributing(flows, t.width())
+    cells = flows.join(many, ["row", "col"]).join(t.cells().select("row", "col", "z"), ["row", "col"])
+    return raster.stream_network(cells.withColumn("stream", F.col("ad8") >= 5), t.width())
