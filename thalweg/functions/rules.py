@@ -26,6 +26,15 @@ def clamp_slope(c: Column, least: float) -> Column:
     return F.when(value >= 1.0, F.lit(least)).otherwise(F.greatest(value, F.lit(least)))
 
 
+def clamp_length(c: Column, least: float) -> Column:
+    return F.greatest(number(c), F.lit(least))
+
+
+def unit_interval(c: Column) -> Column:
+    """A share, held from 0 to 1."""
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), number(c)))
+
+
 def lake_id(name: Column, fallback: Column | None = None) -> Column:
     """The number in ``Lake_<number>``; else the fallback, else -1."""
     found = F.regexp_extract(F.coalesce(name, F.lit("")), r"Lake_(\d+)", 1).try_cast("bigint")

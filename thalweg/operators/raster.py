@@ -209,8 +209,12 @@ def steepest(heights: DataFrame) -> DataFrame:
     return heights.join(best, ["row", "col"], "left").select("row", "col", F.coalesce(-F.col("b.neg"), F.lit(0)).alias("fdr"))
 
 
-def contributing(cells: DataFrame, cols: int) -> DataFrame:
-    """(row, col, ad8): how many cells drain through each, itself included. ``cells`` (row, col, fdr), ids below 2^62."""
+def contributing(cells: DataFrame, cols: int, check_edges: bool = False) -> DataFrame:
+    """(row, col, ad8): how many cells drain through each, itself included. ``cells`` (row, col, fdr), ids below 2^62.
+
+    With ``check_edges`` it is null for cells that an edge cell, one without all eight neighbours, drains through: what lies
+    beyond may drain there too.
+    """
     key = lambda r, c: F.col(r).cast("long") * cols + F.col(c)
     df = flow_targets(cells).withColumn("id", key("row", "col")).withColumn("to", key("trow", "tcol"))
     known = df.select(F.col("id").alias("to"), F.lit(True).alias("there"))
@@ -219,6 +223,13 @@ def contributing(cells: DataFrame, cols: int) -> DataFrame:
         "id", F.when(F.col("there") & ~off, F.col("to")).alias("down"), F.lit(1).cast("long").alias("one")
     )
     total = network.accumulate(nodes, "one")
+    if check_edges:
+        there = cells.select(F.col("row").alias("nrow"), F.col("col").alias("ncol"))
+        whole = d8.neighbours(cells.select("row", "col")).join(there, ["nrow", "ncol"]).groupBy("row", "col").agg(F.count(F.lit(1)).alias("n"))
+        edge = whole.where("n = 8").select(key("row", "col").alias("id"), F.lit(0).cast("long").alias("edge"))
+        flagged = nodes.join(edge, "id", "left").select("id", "down", F.coalesce("edge", F.lit(1).cast("long")).alias("edge"))
+        clean = network.accumulate(flagged, "edge").where("total = 0").select("id", F.lit(True).alias("clean"))
+        total = total.join(clean, "id", "left").select("id", F.when(F.col("clean"), F.col("total")).alias("total"))
     return total.select(F.floor(F.col("id") / cols).cast("int").alias("row"), (F.col("id") % cols).cast("int").alias("col"), F.col("total").alias("ad8"))
 
 

@@ -138,6 +138,11 @@ def _(t):
     return t.streams.select("LINKNO", six(rules.clamp_slope(F.col("Slope") * 60, 0.01)).alias("slope"))
 
 
+@query("P8_clamped_length_and_share", f"SELECT LINKNO, {SIX('greatest(Length - 1e3, 1e2)')} AS len, {SIX('greatest(0e0, least(1e0, Slope * 60 - 5e-1))')} AS share FROM streams")
+def _(t):
+    return t.streams.select("LINKNO", six(rules.clamp_length(F.col("Length") - 1000.0, 100.0)).alias("len"), six(rules.unit_interval(F.col("Slope") * 60 - 0.5)).alias("share"))
+
+
 @query("P9_value_map", "SELECT s.LINKNO, coalesce(m.DN + 1000000, s.DSLINKNO) AS mapped FROM streams s LEFT JOIN (SELECT DN FROM basins WHERE is_lake = 1) m ON m.DN = s.DSLINKNO")
 def _(t):
     m = t.basins.where("is_lake = 1").select(F.col("DN").alias("DSLINKNO"), (F.col("DN") + 1000000).alias("to"))
@@ -723,6 +728,16 @@ def _(t):
     return df.select(F.col("row").cast("long").alias("r"), F.col("col").cast("long").alias("c"), "ad8")
 
 
+@query("E3_cells_clear_of_edges", f"""
+SELECT r, c, CASE WHEN bad = 0 THEN ad8 END AS ad8 FROM (SELECT tr AS r, tc AS c, count(*) AS ad8, sum(edge) AS bad FROM (
+  SELECT w.*, CASE WHEN w.r IN (0, lastr) OR w.c IN (0, lastc) THEN 1 ELSE 0 END AS edge FROM ({_ACCUM.replace(' SELECT tr AS r, tc AS c, count(*) AS ad8 FROM w GROUP BY tr, tc', ' SELECT * FROM w')}) w,
+  (SELECT max(r) AS lastr, max(c) AS lastc FROM grid)) GROUP BY tr, tc)""")
+def _(t):
+    """Contributing cells, null where cells beyond the edge may drain too."""
+    df = raster.contributing(raster.steepest(t.cells()), t.width(), check_edges=True)
+    return df.select(F.col("row").cast("long").alias("r"), F.col("col").cast("long").alias("c"), "ad8")
+
+
 @query("E5_stream_threshold", f"SELECT CASE WHEN ad8 >= 5 THEN 1 ELSE 0 END AS src, count(*) AS n FROM ({_ACCUM}) GROUP BY 1")
 def _(t):
     df = raster.contributing(raster.steepest(t.cells()), t.width())
