@@ -1,18 +1,23 @@
-"""Cutting the lineage of iterative operators through the checkpoint folder that all executors share."""
+"""Cutting the lineage of iterative operators by tables in the folder that all executors share."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """``df`` computed once into ``spark.checkpoint.dir``; where that is unset, into a temporary folder in local mode only."""
-    sc = df.sparkSession.sparkContext
+    """``df`` as a table under ``spark.checkpoint.dir``, computed once; where that is unset, in local mode only, under a
+    temporary folder."""
+    spark = df.sparkSession
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        named = spark.conf.get("spark.checkpoint.dir", None)
         if named is None and not (sc.master == "local" or sc.master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="thalweg-"))
-    return df.checkpoint()
+    path = f"{sc.getCheckpointDir()}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.store import settled
 from .files import file_system
 
 #: Fixed values of the format: bytes and struct codes of field types, sample formats, and the tags used here.
@@ -194,7 +195,7 @@ def write_raster(
     number = F.floor(F.col("row") / tile) * across + F.floor(F.col("col") / tile)
     inside = F.col("row").between(0, rows - 1) & F.col("col").between(0, cols - 1) & F.col(name).isNotNull()
     tiles = cells.where(inside).select(number.cast("long").alias("tile"), "row", "col", F.col(name).cast("double").alias("value"))
-    tiles = tiles.groupBy("tile").applyInPandas(encode, "tile long, data binary").sort("tile").checkpoint()
+    tiles = settled(tiles.groupBy("tile").applyInPandas(encode, "tile long, data binary"))
     sizes = {r["tile"]: r["n"] for r in tiles.select("tile", F.octet_length("data").alias("n")).collect()}  # a number a tile
     empty = zlib.compress(np.full((tile, tile), nodata, f"<{dtype}").tobytes(), 6)
     counts = [sizes.get(i, len(empty)) for i in range(across * -(-rows // tile))]
