@@ -437,13 +437,13 @@ def spark_hash(*values):
 
 def brute_fingerprint(text, lexicon, band):
     every = {spark_hash(w) for w in re.split(r"[\x00-\x2F:-@\[-`{-\x7F]+", text.lower()) if w}
-    room, parts = 61 - (band.levels * band.parts).bit_length(), {}
+    room, parts = 61 - band.parts.bit_length(), {}
     for t in every & lexicon:
         lot = spark_hash(t, struct.pack("<i", 1))
         for j in range(band.levels):
             if lot % band.spread**j == 0:
-                part = band.parts * j + ((lot & (1 << 64) - 1) >> (64 - (band.parts - 1).bit_length()))
-                parts.setdefault(part, []).append((part << room) + ((t & (1 << 64) - 1) >> (65 - room)))
+                part = (lot & (1 << 64) - 1) >> (64 - (band.parts - 1).bit_length())
+                parts.setdefault(band.parts * j + part, []).append((part << room) + ((t & (1 << 64) - 1) >> (65 - room)))
     hex_ = lambda h: f"{h % (1 << 32):08x}"
     row = [hex_(spark_hash(*sorted(parts[i]))) if i in parts else "" for i in range(band.levels * band.parts)]
     return row + ["" if parts else hex_(spark_hash(*sorted(every)) if every else spark_hash(text))]

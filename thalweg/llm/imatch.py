@@ -88,8 +88,8 @@ def fingerprint(text: Column, table: tuple[list[int], int], band: Lexicon) -> Co
     entries, reach = table
     slots = len(entries) - 64
     bits = (band.parts - 1).bit_length()
-    room = 61 - (band.levels * band.parts).bit_length()  # bits of a term beside its part
-    marks = [i << room for i in range(band.levels * band.parts + 1)]
+    room = 61 - band.parts.bit_length()  # bits of a term beside its part
+    marks = [i << room for i in range(band.parts + 1)]
 
     def digits(x: Column) -> Column:
         return F.lower(F.lpad(F.hex(F.pmod(x, F.lit(1 << 32))), 8, "0"))
@@ -105,15 +105,17 @@ def fingerprint(text: Column, table: tuple[list[int], int], band: Lexicon) -> Co
 
         return F.filter(all_, known)
 
-    def codes(kept: Column) -> Column:
-        lot = lambda t: F.xxhash64(t, F.lit(1))
-        part = lambda t: F.shiftrightunsigned(lot(t), 64 - bits)
-
-        def level(j: int) -> Column:
-            some = kept if j == 0 else F.filter(kept, lambda t: F.pmod(lot(t), F.lit(band.spread**j)) == 0)
-            return F.transform(some, lambda t: F.shiftleft(part(t) + band.parts * j, room) + F.shiftrightunsigned(t, 65 - room))
+    lot = lambda t: F.xxhash64(t, F.lit(1))
 
-        return F.sort_array(F.concat(*[level(j) for j in range(band.levels)], _longs(marks)))
+    def level(kept: Column, j: int) -> Column:
+        """The hashes of the parts of a level; ``kept`` are the terms of the level before."""
+        part = lambda t: F.shiftrightunsigned(lot(t), 64 - bits)
+        codes = F.transform(kept, lambda t: F.shiftleft(part(t), room) + F.shiftrightunsigned(t, 65 - room))
+        own = let(F.sort_array(F.concat(codes, _longs(marks))), hashes)
+        if j == band.levels - 1:
+            return own
+        some = F.filter(kept, lambda t: F.pmod(lot(t), F.lit(band.spread ** (j + 1))) == 0)
+        return F.concat(own, let(some, lambda s: level(s, j + 1)))
 
     def hashes(sorted_: Column) -> Column:
         where = [F.array_position(sorted_, F.lit(m)).cast("int") for m in marks]
@@ -128,7 +130,7 @@ def fingerprint(text: Column, table: tuple[list[int], int], band: Lexicon) -> Co
     def whole(all_: Column, kept: Column) -> Column:
         own = F.when(F.size(all_) > 0, F.xxhash64(F.sort_array(all_))).otherwise(F.xxhash64(text))
         rest = F.when(F.size(kept) > 0, F.lit(NONE)).otherwise(digits(own))
-        return F.concat(let(codes(kept), hashes), F.array(rest))
+        return F.concat(level(kept, 0), F.array(rest))
 
     return let(terms(text), lambda all_: let(let(_longs(entries), lambda w: held(w, all_)), lambda kept: whole(all_, kept)))
 
