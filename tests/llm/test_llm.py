@@ -64,7 +64,7 @@ def brute_counts(t):
 def test_base_counts(request, table):
     df = request.getfixturevalue(table)
     got = text_stats.with_statistics(df.select("text", F.col("text").alias("t")), text_stats.base_statistics)
-    for r in got.collect():
+    for r in got.select("__s.*", "__doc.t").collect():
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == brute_counts(r.t)
 
 
@@ -287,7 +287,7 @@ def test_mix_meets_its_targets(awkward, empty, documents):
         assert len(rows) == df.count()
         by = {}
         for r in rows:
-            assert 0 <= r.taken <= 3 * r.size and r.taken == sum(t.words for t in r.takes)
+            assert 0 <= r.taken <= 3 * r.size and r.taken == sum(t.words for t in r.takes) and {t.words for t in r.takes} <= {r.size}
             assert (r.position is None) == (r.taken == 0) and (r.position is None or 0 <= r.position <= 1)
             by.setdefault(r.source, []).append(r)
         total = sum(r.size for r in rows)
@@ -305,20 +305,19 @@ def test_mix_meets_its_targets(awkward, empty, documents):
                 left -= targets[s]
             free -= over
         for s, group in by.items():
-            assert group[0].target == pytest.approx(targets[s]) and abs(sum(r.taken for r in group) - targets[s]) <= 1
+            assert group[0].target == pytest.approx(targets[s]) and 2 * abs(sum(r.taken for r in group) - targets[s]) <= max(r.size for r in group) + 1
     assert mixing.mix(mixing.sized(empty)).count() == 0
 
 
-def test_training_order_cuts_and_sorts(documents):
+def test_training_order_sorts_whole_documents(documents):
     takes = {}
     for r in mixing.mix(mixing.sized(documents)).collect():
         for t in r.takes:
-            takes[(t.position, r.source, r.doc_id, t.epoch)] = (r.doc_id, t.words)
+            takes[(t.position, r.source, r.doc_id, t.epoch)] = r.doc_id
     rows = mixing.training_order(documents).collect()
-    assert [(r.doc_id, len(WORD.findall(r.text))) for r in rows] == [takes[k] for k in sorted(takes)]
+    assert [r.doc_id for r in rows] == [takes[k] for k in sorted(takes)]
     texts = {r.doc_id: r.text for r in documents.collect()}
-    assert sum(texts[r.doc_id] != r.text for r in rows) <= len({r.source for r in rows})
-    assert all(texts[r.doc_id].startswith(r.text) for r in rows)
+    assert all(texts[r.doc_id] == r.text for r in rows)
 
 
 def check_packing(rows, texts):
@@ -486,6 +485,13 @@ def test_texts_without_band_terms_are_like_their_equals_only(spark):
     assert like == equal
 
 
+#: (page_id, url, html): equal payloads, nulls, empties, repeated rows and ids, a line break in a URL, a long payload.
+PAGES = [
+    (1, "http://a/", "<p>x</p>"), (2, None, "<p>x</p>"), (9, "http://c/", "<p>x</p>"), (3, "u", None), (4, "u", ""),
+    (5, "u\r\nv", "é" * 5000), (None, "u", "<p>x</p>"), (1, "http://a/", "<p>x</p>"), (6, "u", "é" * 5000),
+]
+
+
 def test_archives_round_trip(spark, tmp_path):
     pages = spark.createDataFrame([(*p, "clash") for p in PAGES], "page_id long, url string, html string, payload string")
     archives = warc.write_archives(pages, f"file://{tmp_path}/a")

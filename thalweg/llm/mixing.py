@@ -4,8 +4,9 @@ Sources rank by code point, null last, and take weights and ramps in turn. A sou
 its weight's share of all words, at most ``most`` times its own; the excess goes to the others by weight, until none is
 above. Over training time t from 0 to 1 its weight is ``target * (1 + ramp * (2 t - 1))``; the integral, the cumulative
 demand ``target * ((1 - ramp) t + ramp t^2)``, is inverted for each document: documents supply words in the order of a
-hash of their ids, again for every repetition, and train when demand reaches the middle of what they supply. The last
-one taken is cut to the words still wanted, so every source meets its target to the word.
+hash of their ids, again for every repetition, and train when demand reaches the middle of what they supply. Documents
+are taken whole or not at all: those whose middle lies within the words wanted, so that a source misses its target by at
+most half a document, the nearer of its last two choices.
 
 The order within a source is cut into ranges of the hash whose sums are ranged first, so a hot source is no hot task.
 
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import SPACE, need, running_before, written
+from .common import need, running_before, written
 from .text_stats import fields, words_of
 
 
@@ -113,7 +114,7 @@ def _placed(docs: DataFrame, curriculum: Curriculum) -> DataFrame:
 
     def take(epoch: Column) -> Column:
         start = F.col("source_size") * epoch + F.col("__start")
-        words = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), want - start))
+        words = F.when(2 * start + F.col("size") <= 2 * want, F.col("size")).otherwise(F.lit(0).cast("long"))
         share = (start + words / F.lit(2.0)) / F.greatest(want, F.lit(1).cast("long"))
         at = demand_time(F.least(share, F.lit(1.0)), F.col("ramp"))
         return F.struct(epoch.alias("epoch"), words.alias("words"), at.alias("position"))
@@ -123,16 +124,12 @@ def _placed(docs: DataFrame, curriculum: Curriculum) -> DataFrame:
 
 
 def training_order(docs: DataFrame, curriculum: Curriculum = Curriculum(), text: str = "text") -> DataFrame:
-    """``docs`` (doc_id, source, text and any others), a row for each take, range-sorted by position: unchanged, but that
-    the text of which only some words are taken, one a source at most, is cut after the last of them."""
+    """``docs`` (doc_id, source, text and any others), an unchanged row for each take, range-sorted by position."""
     need(docs, "doc_id", "source", text)
     whole = docs.select(F.struct(*docs.columns).alias("__whole"), "doc_id", "source", F.col(text).alias("text"))
-    rows = _placed(sized(whole, "text").drop("text"), curriculum).select("__doc.__whole", "__doc.size", F.explode("takes").alias("take"))
-    parts = F.split(F.col("__whole")[text], f"(?<=[^{SPACE}])(?=[{SPACE}])")  # each ends with a word
-    cut = F.concat_ws("", F.slice(parts, F.lit(1), F.col("take.words").cast("int")))
-    taken = F.when(F.col("take.words") < F.col("size"), cut).otherwise(F.col("__whole")[text])
+    rows = _placed(sized(whole, "text").drop("text"), curriculum).select("__doc.__whole", F.explode("takes").alias("take"))
     ordered = rows.orderBy("take.position", "__whole.source", "__whole.doc_id", "take.epoch")
-    return ordered.select(*[taken.alias(c) if c == text else F.col("__whole")[c].alias(c) for c in docs.columns])
+    return ordered.select(*fields(ordered, "__whole"))
 
 
 #: The same in DuckDB's SQL.
@@ -166,8 +163,9 @@ WITH sized AS (
       s.doc_id, s.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
   FROM sized s JOIN planned p ON s.source IS NOT DISTINCT FROM p.source
 ), takes AS (
-  SELECT *, greatest(0, least(size, want - start)) AS w0, greatest(0, least(size, want - start - source_size)) AS w1,
-    greatest(0, least(size, want - start - 2 * source_size)) AS w2
+  SELECT *, CASE WHEN 2 * start + size <= 2 * want THEN size ELSE 0 END AS w0,
+    CASE WHEN 2 * (start + source_size) + size <= 2 * want THEN size ELSE 0 END AS w1,
+    CASE WHEN 2 * (start + 2 * source_size) + size <= 2 * want THEN size ELSE 0 END AS w2
   FROM placed
 ), shares AS (
   SELECT *, least(1e0, (start + w0 / 2e0) / greatest(want, 1)) AS share FROM takes

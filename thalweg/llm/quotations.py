@@ -148,54 +148,11 @@ def conversations(messages: DataFrame) -> DataFrame:
     )
 
 
-def quoting(messages: DataFrame) -> DataFrame:
-    """``messages`` in which four in five messages, by a hash of conversation and place, also quote: the message before,
-    that one and within it the one before it, only the latter, or the opening of their own conversation with that of the
-    conversation numbered one less within it. For tables of plain turns, so that there are quotations to link."""
-    df = placed(messages.select("conv_id", "turn", "role", "text"))
-    at = F.concat_ws(":", F.coalesce(F.col("conv_id").cast("string"), F.lit("")), F.col("place"))
-    kind = F.conv(F.substring(F.md5(at.cast("binary")), 1, 8), 16, 10).cast("long") % 5
-    df = written(df.withColumn("kind", kind))
-    back = lambda n, name: df.select("__c", (F.col("place") + n).alias("place"), F.col("text").alias(name))
-    opening = df.where("place = 0").select("__c", "conv_id", F.col("text").alias("opening"))
-    other = opening.where("conv_id is not null").select((F.col("conv_id") + 1).alias("conv_id"), F.col("opening").alias("other"))
-    df = df.join(back(1, "one"), ["__c", "place"], "left").join(back(2, "two"), ["__c", "place"], "left")
-    df = df.join(opening.drop("conv_id"), "__c", "left").join(other, "conv_id", "left")
-
-    def quote(name: str, level: int) -> Column:
-        marks = ">" * level + " "
-        return F.concat(F.lit(marks), F.replace(F.col(name), F.lit("\n"), F.lit("\n" + marks)), F.lit("\n"))
-
-    kinds = [(1, [("one", 1)]), (2, [("two", 2), ("one", 1)]), (3, [("two", 1)]), (4, [("other", 2), ("opening", 1)])]
-    text = F.col("text")
-    for kind, quotes in kinds:
-        quoted = F.concat(*[quote(*q) for q in quotes], F.coalesce("text", F.lit("")))
-        text = F.when((F.col("kind") == kind) & (F.col("place") > 0) & quoted.isNotNull(), quoted).otherwise(text)
-    return df.select("conv_id", "turn", "role", text.alias("text"))
-
-
-#: The same, of the table with quotations, in DuckDB's SQL.
+#: The same in DuckDB's SQL.
 QUOTATIONS_SQL = r"""
-WITH plain AS (
-  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST) - 1 AS place FROM conversations
-), kinds AS (
-  SELECT p.*, o.text AS one, t.text AS two, f.text AS opening, x.text AS other FROM plain p
-  LEFT JOIN plain o ON o.conv_id IS NOT DISTINCT FROM p.conv_id AND o.place = p.place - 1
-  LEFT JOIN plain t ON t.conv_id IS NOT DISTINCT FROM p.conv_id AND t.place = p.place - 2
-  LEFT JOIN plain f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.place = 0
-  LEFT JOIN plain x ON x.conv_id = p.conv_id - 1 AND x.place = 0
-), hashed AS (
-  SELECT *, CAST('0x' || substr(md5(coalesce(CAST(conv_id AS VARCHAR), '') || ':' || place), 1, 8) AS BIGINT) % 5 AS kind FROM kinds
-), conversing AS (
-  SELECT conv_id, turn, role, coalesce(CASE WHEN place > 0 THEN CASE kind
-    WHEN 1 THEN '> ' || replace(one, chr(10), chr(10) || '> ') || chr(10) || coalesce(text, '')
-    WHEN 2 THEN '>> ' || replace(two, chr(10), chr(10) || '>> ') || chr(10) || '> ' || replace(one, chr(10), chr(10) || '> ') || chr(10) || coalesce(text, '')
-    WHEN 3 THEN '> ' || replace(two, chr(10), chr(10) || '> ') || chr(10) || coalesce(text, '')
-    WHEN 4 THEN '>> ' || replace(other, chr(10), chr(10) || '>> ') || chr(10) || '> ' || replace(opening, chr(10), chr(10) || '> ') || chr(10) || coalesce(text, '')
-    END END, text) AS text FROM hashed
-), m AS (
+WITH m AS (
   SELECT row_number() OVER () AS id, *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST) - 1 AS place
-  FROM conversing
+  FROM conversations
 ), cut AS (
   SELECT id, unnest(string_split_regex(coalesce(text, ''), '\r?\n')) AS line,
     generate_subscripts(string_split_regex(coalesce(text, ''), '\r?\n'), 1) AS i FROM m
