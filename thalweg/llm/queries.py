@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import imatch, jaccard_join, mixing, packing, quality_classifier, quality_rules, quotations, sharding, toxicity, warc
+from . import (
+    imatch, jaccard_join, mixing, packing, quality_classifier, quality_rules, quotations, runs, sharding, toxicity, warc,
+)
 from .common import crc_mod, table, written
 
 QUERIES: dict = {}
@@ -110,3 +114,34 @@ def op9_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE_SQL["op9_quotation_linking"] = quotations.QUOTATIONS_SQL
+
+
+def looped(words: list[bytes], key: int | None) -> list[bytes]:
+    """One document in ten, by its key, with its words from some place on replaced by repetitions of a few of them."""
+    h = zlib.crc32(str(key).encode())
+    if key is None or h % 10 or not words:
+        return words
+    n, g = len(words), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+@query
+def op13_lyndon_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    df = runs.detect_runs(docs, edit=looped)
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    rank = lambda r: F.struct(-r["length"], r["start"], r["period"])
+    longest = F.array_min(F.transform("runs", rank))
+    length, start, period = -longest["col1"], longest["start"], longest["period"]
+    return df.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        start.alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(F.concat_ws("", F.transform("runs", lambda r: F.concat(line(r), F.lit("\n")))), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
