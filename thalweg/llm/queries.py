@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    imatch, jaccard_join, mixing, packing, quality_classifier, quality_rules, quotations, runs, sharding, toxicity, warc,
+    imatch, jaccard_join, mixing, packing, quality_classifier, quality_rules, quotations, runs, secrets, sharding, toxicity,
+    warc,
 )
 from .common import crc_mod, table, written
 
@@ -145,3 +146,18 @@ def op13_lyndon_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws("", F.transform("runs", lambda r: F.concat(line(r), F.lit("\n")))), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query
+def op12_zstd_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda x: x["kind"] != secrets.NOVEL)
+    listed = lambda found: F.array_join(F.transform(found, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+    of_kind = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
+    return df.select(
+        "doc_id",
+        *[of_kind(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed("spans").alias("spans"),
+        of_kind(secrets.NOVEL).alias("n_novel"),
+    )
