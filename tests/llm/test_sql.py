@@ -18,7 +18,7 @@ def _plain(v):
 @pytest.mark.parametrize("name", list(queries.ORACLE_SQL))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in "documents pages conversations labels".split():
+    for t in "documents pages conversations labels benchmark".split():
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     got = queries.QUERIES[name](spark, SF)
     columns = got.columns

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    imatch, jaccard_join, mixing, packing, quality_classifier, quality_rules, quotations, runs, secrets, sharding, toxicity,
-    warc,
+    imatch, jaccard_join, mixing, packing, quality_classifier, quality_rules, quotations, ranked_search, runs, secrets,
+    sharding, toxicity, warc,
 )
 from .common import crc_mod, table, written
 
@@ -161,3 +161,12 @@ def op12_zstd_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         listed("spans").alias("spans"),
         of_kind(secrets.NOVEL).alias("n_novel"),
     )
+
+
+@query
+def op11_wand_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ranked_search.search(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+ORACLE_SQL["op11_wand_search"] = ranked_search.SEARCH_SQL
