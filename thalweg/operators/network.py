@@ -8,12 +8,13 @@ links and ancestors (``closure``) is only for its own export, and for chains kno
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .store import settled
+from .store import release, settled
 
 ENDS = (-1, 0)
 
@@ -40,47 +41,60 @@ def closure(edges: DataFrame) -> DataFrame:
 def accumulate(nodes: DataFrame, weight: str, most_rounds: int = 40) -> DataFrame:
     """(id, total): each node's weight and that of all nodes upstream. ``nodes``: (id, down null at ends, weight).
 
-    After round i a node holds the sum over paths shorter than 2^i, and points 2^i links ahead: rows never multiply.
+    After round i a node holds the sum over paths shorter than 2^i, and points 2^i links ahead: rows never multiply. Only
+    nodes that still point at one take part; what the others gain is kept apart and summed at the end.
     """
-    state = settled(nodes.select("id", F.col("down").alias("ahead"), F.col(weight).alias("total")))
+    first = settled(nodes.select("id", F.col("down").alias("ahead"), F.col(weight).alias("total")))
+    tables = [first]
     for _ in range(most_rounds):
-        live = state.where("ahead is not null")
+        live = tables[-1].where("ahead is not null")
         if live.isEmpty():
-            return state.select("id", "total")
+            parts = reduce(DataFrame.union, [t.where("ahead is null").select("id", "total") for t in tables])
+            total = settled(parts.groupBy("id").agg(F.sum("total").cast(first.schema["total"].dataType).alias("total")))
+            release(*tables)
+            return total
         gain = live.groupBy(F.col("ahead").alias("id")).agg(F.sum("total").alias("gain"))
-        jump = state.select(F.col("id").alias("ahead"), F.col("ahead").alias("next"))
-        state = settled(
-            state.join(gain, "id", "left").join(jump, "ahead", "left").select(
-                "id", F.col("next").alias("ahead"), (F.col("total") + F.coalesce("gain", F.lit(0))).alias("total")
-            )
-        )
+        jump = live.select(F.col("id").alias("ahead"), F.col("ahead").alias("next"))
+        onward = live.join(gain, "id", "left").join(jump, "ahead", "left")
+        onward = onward.select("id", F.col("next").alias("ahead"), (F.col("total") + F.coalesce("gain", F.lit(0))).alias("total"))
+        ended = gain.join(live.select("id"), "id", "left_anti")
+        tables.append(settled(onward.union(ended.select("id", F.lit(None).cast(first.schema["ahead"].dataType).alias("ahead"), F.col("gain").alias("total")))))
     raise ValueError("the network has a cycle")
 
 
 def path_folds(nodes: DataFrame, sums: Iterable[str] = (), mins: Iterable[str] = ()) -> DataFrame:
     """For each node of ``nodes`` (id, down null at ends, ...) the walk down from it, itself included: end (its last node),
-    hops, and the folds of the columns ``sums`` and ``mins`` over it. A ``down`` that is no id ends the walk."""
+    hops, and the folds of the columns ``sums`` and ``mins`` over it. A ``down`` that is no id ends the walk.
+
+    Nodes whose walk is known are written once; each round only takes up those that aren't there yet.
+    """
     sums, mins = [*sums], [*mins]
     known = nodes.select(F.col("id").alias("down"), F.lit(True).alias("there"))
     ahead = F.when(F.coalesce("there", F.lit(False)), F.col("down")).alias("ahead")
-    state = settled(
-        nodes.join(known, "down", "left").select("id", ahead, F.col("id").alias("end"), F.lit(0).cast("long").alias("hops"), *sums, *mins)
-    )
-    for _ in range(state.count().bit_length() + 2):
-        if state.where("ahead is not null").isEmpty():
-            return state.drop("ahead")
+    rest = [F.col("id").alias("end"), F.lit(0).cast("long").alias("hops"), *sums, *mins]
+    inner = nodes.where("down is not null").join(known, "down", "left").select("id", ahead, *rest)
+    outer = nodes.where("down is null").select("id", F.col("down").alias("ahead"), *rest)
+    tables = [settled(inner.union(outer))]
+    for _ in range(tables[0].count().bit_length() + 2):
+        live = tables[-1].where("ahead is not null")
+        if live.isEmpty():
+            result = settled(reduce(DataFrame.union, [t.where("ahead is null") for t in tables]).drop("ahead"))
+            release(*tables)
+            return result
         # ``end`` and the folds reach up to, but not including, ``ahead``
+        state = reduce(DataFrame.union, [*[t.where("ahead is null") for t in tables], live])
         next_ = state.select(F.col("id").alias("ahead"), F.struct(F.col("ahead").alias("to"), "end", "hops", *sums, *mins).alias("n"))
-        both = state.join(next_, "ahead", "left")
         n = F.col("n")
-        state = settled(
-            both.select(
-                "id",
-                n["to"].alias("ahead"),
-                F.coalesce(n["end"], F.col("end")).alias("end"),
-                (F.col("hops") + F.coalesce(n["hops"] + 1, F.lit(0))).alias("hops"),
-                *[(F.col(c) + F.coalesce(n[c], F.lit(0))).alias(c) for c in sums],
-                *[F.least(F.col(c), n[c]).alias(c) for c in mins],
+        tables.append(
+            settled(
+                live.join(next_, "ahead").select(
+                    "id",
+                    n["to"].alias("ahead"),
+                    n["end"].alias("end"),
+                    (F.col("hops") + n["hops"] + 1).alias("hops"),
+                    *[(F.col(c) + n[c]).alias(c) for c in sums],
+                    *[F.least(F.col(c), n[c]).alias(c) for c in mins],
+                )
             )
         )
     raise ValueError("the network has a cycle")

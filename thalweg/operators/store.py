@@ -20,4 +20,13 @@ def settled(df: DataFrame) -> DataFrame:
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="thalweg-"))
     path = f"{sc.getCheckpointDir()}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Deletes tables that ``settled`` has made; nothing that is still to be read may rest on them."""
+    for table in tables:
+        spark, path = table.sparkSession, table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
