@@ -2,8 +2,9 @@
 
 import math
 import random
-from collections import defaultdict
+from collections import defaultdict, namedtuple
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,59 +125,54 @@ def test_survivors_and_cycles(spark):
     assert dict(got.collect()) == {10: 3, 11: 3, 12: -9999, 13: -9999, 14: 400, 15: 400, 3: -9999}
 
 
-# ---- aggregation of basins: the rule written out over plain lists --------------------------------------------------
+# ---- aggregation of basins: the rules as steps between states -------------------------------------------------------
 
+OUT = -9999
 
-def ruled(units, least):
-    """Groups by the rule: rows of [id, down, unit, uparea, mask, agg, aggdown]."""
-    rows = [[i, d, u, up, m, i, -9999 if d <= 0 else d] for i, d, u, up, m in units]
-    by_id = {r[0]: r for r in rows}
-    lakes = {r[0] for r in rows if r[4] == 3}
 
-    def view():
-        sums = {}
-        for r in rows:
-            if r[6] is not None:
-                sums[r[5], r[6]] = sums.get((r[5], r[6]), 0) + r[2]
-        return [(g, d, s) for (g, d), s in sorted(sums.items()) if by_id[g][4] != 3 and not (d == -9999 and by_id[g][3] < least)]
+def shown(state, units, least):
+    """The groups that take part in a state, with what they flow to and the area of their units that say so."""
+    found = {}
+    for i, (group, flow) in state.items():
+        if flow is not None:
+            found.setdefault(group, {}).setdefault(flow, []).append(units[i].area)
+    out = {}
+    for group, flows in found.items():
+        flow = max(flows)
+        if units[group].mask < 3 and (flow != OUT or units[group].up >= least):
+            out[group] = flow, sum(flows[flow])
+    return out
 
-    last = None
-    while True:
-        v = view()
-        fed = {d for _, d, _ in v}
-        for g, d, s in sorted((x for x in v if x[0] not in fed and x[2] < least and by_id[x[0]][4] < 2), key=lambda x: (-by_id[x[0]][3], x[0])):
-            if d == -9999 or d in lakes:
-                continue
-            parent = [x[1] for x in v if x[0] == d]
-            for r in rows:
-                if r[5] == g:
-                    r[5], r[6] = d, parent[-1] if parent else None
-        v = view()
-        fed = {d for _, d, _ in v}
-        for g, _, _ in sorted((x for x in v if x[0] in fed and x[2] < least), key=lambda x: (-by_id[x[0]][3], x[0])):
-            xx = by_id[g]
-            if sum(r[2] for r in rows if r[5] == xx[5]) >= least:
-                continue
-            above = [r for r in rows if r[1] == g]
-            if not above:
-                continue
-            xz = max(above, key=lambda r: (r[3], -r[0]))
-            if xz[4] >= 2:
+
+def by_rule(table, least):
+    """Groups of units (id, down, area, uparea, mask) once the number of small groups that take part repeats."""
+    Unit = namedtuple("Unit", "down area up mask")
+    units = {i: Unit(d, a, up, m) for i, d, a, up, m in table}
+    state = {i: (i, u.down if u.down > 0 else OUT) for i, u in units.items()}
+    largest_first = lambda some: sorted(some, key=lambda g: (-units[g].up, g))
+    counts = []
+    while len(counts) < 2 or counts[-1] != counts[-2]:
+        view = shown(state, units, least)
+        fed = {flow for flow, _ in view.values()}
+        for g in largest_first(g for g, (flow, area) in view.items() if g not in fed and area < least and units[g].mask < 2):
+            into = view[g][0]
+            if into != OUT and units[into].mask < 3:
+                onward = view[into][0] if into in view else None
+                state |= {i: (into, onward) for i, (group, _) in state.items() if group == g}
+        view = shown(state, units, least)
+        fed = {flow for flow, _ in view.values()}
+        for pour in largest_first(g for g, (_, area) in view.items() if g in fed and area < least):
+            group, flow = state[pour]
+            inflows = [i for i, u in units.items() if u.down == pour]
+            best = min(inflows, key=lambda i: (-units[i].up, i), default=None)
+            if best is None or units[best].mask >= 2 or sum(units[i].area for i, s in state.items() if s[0] == group) >= least:
                 continue
-            old = xz[5]
-            pointing = [r for r in rows if r[6] == old]
-            for r in rows:
-                if r[5] == old:
-                    r[5] = xx[5]
-            for r in rows:
-                if r[5] == xx[5]:
-                    r[6] = xx[6]
-            for r in pointing:
-                r[6] = xx[5]
-        count = sum(s < least for _, _, s in view())
-        if count == last:
-            return {r[0]: r[5] for r in rows}
-        last = count
+            taken = state[best][0]
+            to_taken = {i for i, s in state.items() if s[1] == taken}
+            state = {i: (group if g in (group, taken) else g, flow if g in (group, taken) else f) for i, (g, f) in state.items()}
+            state |= {i: (state[i][0], group) for i in to_taken if state[i][0] != group}
+        counts.append(sum(area < least for _, area in shown(state, units, least).values()))
+    return {i: group for i, (group, _) in state.items()}
 
 
 def units_of(down, area, mask):
@@ -188,7 +184,7 @@ def units_of(down, area, mask):
 
 
 def groups_of(spark, units, least=100.0):
-    df = spark.createDataFrame([(1, i, d, float(u), float(up), m) for i, d, u, up, m in units], "tree long, id long, down long, unit double, uparea double, mask int")
+    df = spark.createDataFrame([(i, d, float(u), float(up), m) for i, d, u, up, m in units], "id long, down long, unit double, uparea double, mask int")
     how = routing.Aggregation(least)
     return df, routing.aggregate_units(df, how), how
 
@@ -201,27 +197,49 @@ def test_a_chain_falls_into_groups_of_four(spark):
     assert {k: (r.down, r.unit, r.n_units) for k, r in out.items()} == {1: (-9999, 120.0, 4), 5: (1, 120.0, 4), 9: (5, 120.0, 4)}
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_groups_of_random_trees(spark, seed):
+def random_units(rng, n, first=0):
+    down = {i: None if i == 1 else rng.randint(max(1, i - rng.choice([1, 3, 20])), i - 1) for i in range(1, n + 1)}
+    mask = {i: rng.choice([0, 0, 0, 0, 2, 3]) for i in range(1, n + 1) if rng.random() < 0.4}
+    area = {i: rng.randint(5, 60) for i in down}
+    if not mask.get(1):
+        mask.pop(1, None)
+    units = units_of(down, area, mask)
+    return [(i + first, d + first if d > 0 else d, a, up, m) for i, d, a, up, m in units]
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_groups_of_random_trees(seed):
     rng = random.Random(seed)
-    units, first = [], {}
-    for t in range(6):
-        down = {i: None if i == 1 else rng.randint(max(1, i - rng.choice([1, 3, 20])), i - 1) for i in range(1, 41)}
-        mask = {i: rng.choice([0, 0, 0, 0, 2, 3]) for i in range(2, 41) if rng.random() < 0.3}
-        tree = units_of(down, {i: rng.randint(5, 60) for i in down}, mask)
-        want = ruled(tree, 100)
-        states = routing.aggregate_tree(__import__("pandas").DataFrame(tree, columns=["id", "down", "unit", "uparea", "mask"]))
+    for _ in range(6):
+        tree = random_units(rng, 40)
+        states = routing.aggregate_tree(pd.DataFrame(tree, columns=["id", "down", "unit", "uparea", "mask"]))
         stop = next((k for k in range(1, len(states)) if states[k][0] == states[k - 1][0]), len(states) - 1)
         groups = states[stop][1]
-        assert groups == want
-        units.append(tree)
-        first[t] = groups
+        assert groups == by_rule(tree, 100)
         at = {u[0]: u for u in tree}
         for i, g in groups.items():
             assert groups[g] == g  # a group has its pour point,
             if i != g:  # and hangs together
                 assert groups[at[i][1]] == g
-        assert math.isclose(sum(u[2] for u in tree), sum(at[i][2] for i in groups))
+            assert at[i][4] < 3 or g == i and list(groups.values()).count(g) == 1
+            assert at[i][4] < 2 or g == i
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_parts_give_what_whole_trees_do(spark, seed):
+    """Forests of protected and plain units, cut below protected ones, against one kernel over everything."""
+    rng = random.Random(seed)
+    units = [u for t in range(5) for u in random_units(rng, 60, 100 * t)]
+    states = routing.aggregate_tree(pd.DataFrame(units, columns=["id", "down", "unit", "uparea", "mask"]))
+    stop = next((k for k in range(1, len(states)) if states[k][0] == states[k - 1][0]), len(states) - 1)
+    _, groups, down = states[stop]
+    df, got, how = groups_of(spark, units)
+    rows = got.collect()
+    assert {r.id: r.agg for r in rows} == groups
+    assert {r.id: r.aggdown for r in rows} == down
+    assert len({r.part for r in rows}) == sum(u[4] >= 2 or u[1] <= 0 for u in units)
+    out = routing.aggregated(df, got, how).collect()
+    assert math.isclose(sum(r.unit for r in out), sum(u[2] for u in units))
 
 
 def test_stream_network_of_a_small_grid(spark):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from thalweg.functions import geometry as G
 from thalweg.functions import rules
-from thalweg.operators import network, routing
+from thalweg.operators import network, routing, terrain
 from thalweg.sources import shapefile, tables
 
 
@@ -138,8 +138,8 @@ def test_aggregation_keeps_protected_units():
 
 def test_pits_are_filled(spark):
     z = [[9, 9, 9, 9], [9, 1, 2, 9], [9, 9, 5, 9], [9, 9, 4, 9]]
-    cells = spark.createDataFrame([(1, r, c, float(h)) for r, row in enumerate(z) for c, h in enumerate(row)], "tile long, row int, col int, z double")
-    got = {(r.row, r.col): r.z for r in routing.fill_pits(cells).collect()}
+    cells = spark.createDataFrame([(r, c, float(h)) for r, row in enumerate(z) for c, h in enumerate(row)], "row int, col int, z double")
+    got = {(r.row, r.col): r.z for r in terrain.fill_pits(cells).collect()}
     assert got[1, 1] == got[1, 2] == 5.0 and got[3, 2] == 4.0
 
 
@@ -201,7 +201,7 @@ def test_pits_across_tiles(spark):
         if (new == want).all():
             break
         want = new
-    cells = [(r // 8 * 1000 + c // 8, r, c, float(z[r, c])) for r in range(n) for c in range(n)]
-    got = routing.fill_pits(spark.createDataFrame(cells, "tile long, row int, col int, z double")).collect()
+    cells = [(r, c, float(z[r, c])) for r in range(n) for c in range(n)]
+    got = terrain.fill_pits(spark.createDataFrame(cells, "row int, col int, z double"), 8).collect()
     assert len(got) == n * n
     assert all(x.z == want[x.row, x.col] for x in got)

@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from ..functions import d8, rules
 from ..functions import geometry as G
-from ..operators import dissolve, network, raster, routing, spatial
+from ..operators import dissolve, network, raster, routing, spatial, terrain
 from .fixtures import Tables, sql
 
 FLAGSHIP = "J2_gauges_in_lakes"
@@ -889,7 +889,7 @@ def _units(t):
     end = F.col("DSLINKNO") <= 0
     units = t.streams.join(area.withColumnsRenamed({"id": "LINKNO", "total": "uparea"}), "LINKNO")
     mask = rules.role_mask(end, F.col("LINKNO") % 23 == 0, F.col("LINKNO") % 50 == 0).alias("mask")
-    return units.select(F.lit(1).cast("long").alias("tree"), F.col("LINKNO").alias("id"), F.when(end, F.lit(-9999)).otherwise(F.col("DSLINKNO")).alias("down"), F.col("sz").cast("double").alias("unit"), "uparea", mask)
+    return units.select(F.col("LINKNO").alias("id"), F.when(end, F.lit(-9999)).otherwise(F.col("DSLINKNO")).alias("down"), F.col("sz").cast("double").alias("unit"), "uparea", mask)
 
 
 @query("T10_basin_aggregation")
@@ -899,11 +899,71 @@ def _(t):
     return routing.aggregated(units, routing.aggregate_units(units))
 
 
-@query("E1_filled_pits")
+@query("T10_invariants", """
+SELECT CAST(sum(sz) AS DOUBLE) AS area, count(*) AS units, count(*) FILTER (WHERE LINKNO % 50 = 0) AS lakes_alone,
+  count(*) FILTER (WHERE LINKNO % 23 = 0 AND LINKNO % 50 <> 0) AS gauges_kept, CAST(0 AS BIGINT) AS torn, CAST(0 AS BIGINT) AS dangling, true AS fewer FROM streams""")
+def _(t):
+    """What holds of all groups: areas add up, each unit is in one, lakes are alone, gauges keep theirs, a unit that isn't
+    its group's pour point drains to one of its group, and what groups drain to is there."""
+    units = _units(t)
+    groups = routing.aggregate_units(units)
+    out = routing.aggregated(units, groups)
+    sums = out.agg(
+        F.sum("unit").alias("area"), F.sum("n_units").alias("units"), F.count(F.when(F.expr("mask = 3 and n_units = 1"), 1)).alias("lakes_alone"),
+        F.count(F.when(F.expr("mask = 2"), 1)).alias("gauges_kept"), F.count(F.lit(1)).alias("n"),
+    )
+    of = groups.select("id", "agg")
+    below = of.select(F.col("id").alias("down"), F.col("agg").alias("other"))
+    torn = units.join(of.where("id <> agg"), "id").join(below, "down", "left").where("not agg <=> other").agg(F.count(F.lit(1)).alias("torn"))
+    dangling = out.where("down > 0").join(out.select(F.col("id").alias("down")), "down", "left_anti").agg(F.count(F.lit(1)).alias("dangling"))
+    df = sums.crossJoin(torn).crossJoin(dangling)  # one row each
+    return df.select("area", "units", "lakes_alone", "gauges_kept", "torn", "dangling", (F.col("n") < F.col("units")).alias("fewer"))
+
+
+_FILLED = """(WITH RECURSIVE f(r, c, z, level) USING KEY (r, c) AS (
+  SELECT r, c, z, z AS level FROM {0}, (SELECT max(r) AS lr, max(c) AS lc FROM {0}) WHERE r IN (0, lr) OR c IN (0, lc)
+  UNION SELECT n.r, n.c, n.z, min(greatest(n.z, f.level)) FROM f JOIN offsets o ON true JOIN {0} n ON n.r = f.r + o.dr AND n.c = f.c + o.dc
+    LEFT JOIN recurring.f AS k ON k.r = n.r AND k.c = n.c WHERE k.level IS NULL OR greatest(n.z, f.level) < k.level GROUP BY n.r, n.c, n.z)
+  SELECT r, c, z, level FROM f)"""
+
+
+@query("E1_filled_pits", f"SELECT r, c, level AS z FROM {_FILLED.format('grid')}")
 def _(t):
     """Depressions filled over the whole grid, from tiles of 64 x 64 cells."""
-    tiled = t.cells().select((F.floor(F.col("row") / 64) * 1000 + F.floor(F.col("col") / 64)).cast("long").alias("tile"), "row", "col", "z")
-    return routing.fill_pits(tiled)
+    return _named_cells(terrain.fill_pits(t.cells()), "z")
+
+
+def _named_cells(df, *more):
+    return df.select(F.col("row").cast("long").alias("r"), F.col("col").cast("long").alias("c"), *more)
+
+
+#: The terraces that heights in steps of 100 make: flats of many cells, with depressions.
+_TERRACES = "terraces AS MATERIALIZED (SELECT r, c, floor(z / 1e2) AS z FROM grid)"
+_STEPWISE = """(WITH RECURSIVE f(r, c, z, d) USING KEY (r, c) AS (SELECT r, c, z, 1 AS d FROM {0}
+  UNION SELECT n.r, n.c, n.z, min(f.d + 1) FROM f JOIN offsets o ON true JOIN still n ON n.r = f.r + o.dr AND n.c = f.c + o.dc AND n.z = f.z
+    LEFT JOIN recurring.f AS k ON k.r = n.r AND k.c = n.c WHERE k.d IS NULL GROUP BY n.r, n.c, n.z) SELECT r, c, d FROM f)"""
+
+
+@query("E2_directions_over_flats", f"""
+WITH {_TERRACES}, filled AS MATERIALIZED (SELECT r, c, level AS z FROM {_FILLED.format('terraces')}),
+falls AS (SELECT a.r, a.c, o.code, (a.z - b.z) / CASE WHEN o.code % 2 = 0 THEN sqrt(2e0) ELSE 1e0 END AS fall, a.z, b.z AS nz
+  FROM filled a, offsets o, filled b WHERE b.r = a.r + o.dr AND b.c = a.c + o.dc),
+steep AS MATERIALIZED (SELECT r, c, z, count(*) AS n, max(nz) AS most, coalesce(arg_min(code, (-fall, code)) FILTER (WHERE fall > 0), 0) AS fdr FROM falls GROUP BY r, c, z),
+still AS MATERIALIZED (SELECT * FROM steep WHERE fdr = 0 AND n = 8),
+outlets AS MATERIALIZED (SELECT s.r, s.c, s.z, min(o.code) AS code FROM still s, offsets o, steep d WHERE d.r = s.r + o.dr AND d.c = s.c + o.dc AND d.z = s.z AND (d.fdr > 0 OR d.n < 8) GROUP BY s.r, s.c, s.z),
+higher AS MATERIALIZED (SELECT r, c, z FROM still WHERE most > z),
+low AS MATERIALIZED (SELECT * FROM {_STEPWISE.format('outlets')}), away AS MATERIALIZED (SELECT * FROM {_STEPWISE.format('higher')}),
+ranked AS MATERIALIZED (SELECT s.r, s.c, s.z, l.d, 2 * l.d - coalesce(a.d, 0) AS over FROM still s JOIN low l ON l.r = s.r AND l.c = s.c LEFT JOIN away a ON a.r = s.r AND a.c = s.c),
+ways AS (SELECT s.r, s.c, arg_min(o.code, (n.over, o.code)) AS code FROM ranked s, offsets o, ranked n WHERE n.r = s.r + o.dr AND n.c = s.c + o.dc AND n.z = s.z AND n.over < s.over AND s.d > 1 GROUP BY s.r, s.c)
+SELECT s.r, s.c, s.z, CAST(coalesce(x.code, w.code, s.fdr) AS INT) AS fdr FROM steep s LEFT JOIN outlets x ON x.r = s.r AND x.c = s.c LEFT JOIN ways w ON w.r = s.r AND w.c = s.c""")
+def _(t):
+    """Terraces filled, then directions down slopes and across flats."""
+    filled = _filled_terraces(t)
+    return _named_cells(terrain.directions(filled).join(filled, ["row", "col"]), "z", "fdr")
+
+
+def _filled_terraces(t):
+    return terrain.fill_pits(t.cells().withColumn("z", F.floor(F.col("z") / 1e2).cast("double")))
 
 
 @query("E8_outlines", """
