@@ -72,23 +72,33 @@ def line_distance(p: Column, line: Column) -> Column:
     return F.array_min(F.transform(_pairs(line), lambda s: segment_distance(p, s["a"], s["b"])))
 
 
+def crossings(ring: Column, p: Column) -> Column:
+    """How many edges of a closed ring a ray from a point to the right crosses; odd inside."""
+
+    def crossed(s: Column) -> Column:
+        a, b = s["a"], s["b"]
+        rise = F.when(b["y"] == a["y"], F.lit(1.0)).otherwise(b["y"] - a["y"])
+        return ((a["y"] > p["y"]) != (b["y"] > p["y"])) & (p["x"] < (b["x"] - a["x"]) * (p["y"] - a["y"]) / rise + a["x"])
+
+    return F.size(F.filter(_pairs(ring), crossed))
+
+
 def contains(ring: Column, p: Column) -> Column:
     """A point strictly inside a closed ring, by crossings; on the boundary it isn't."""
-    crossing = F.transform(
-        _pairs(ring),
-        lambda s: (
-            ((s["a"]["y"] > p["y"]) != (s["b"]["y"] > p["y"]))
-            & (
-                p["x"]
-                < (s["b"]["x"] - s["a"]["x"])
-                * (p["y"] - s["a"]["y"])
-                / F.when(s["b"]["y"] == s["a"]["y"], F.lit(1.0)).otherwise(s["b"]["y"] - s["a"]["y"])
-                + s["a"]["x"]
-            )
-        ).cast("int"),
-    )
-    inside = F.aggregate(crossing, F.lit(0), lambda acc, v: acc + v) % 2 == 1
-    return inside & (line_distance(p, ring) > 0)
+    return (crossings(ring, p) % 2 == 1) & (line_distance(p, ring) > 0)
+
+
+def lines_meet(a: Column, b: Column) -> Column:
+    """Whether two lines have a point in common."""
+    return F.exists(_pairs(a), lambda s: F.exists(_pairs(b), lambda e: _segments_meet(s, e)))
+
+
+def _segments_meet(s: Column, e: Column) -> Column:
+    side = lambda p, q, r: F.signum((q["x"] - p["x"]) * (r["y"] - p["y"]) - (q["y"] - p["y"]) * (r["x"] - p["x"]))
+    a, b, c, d = s["a"], s["b"], e["a"], e["b"]
+    apart = (side(a, b, c) * side(a, b, d) > 0) | (side(c, d, a) * side(c, d, b) > 0)
+    box = lambda p, q: F.struct(F.least(p["x"], q["x"]).alias("minx"), F.least(p["y"], q["y"]).alias("miny"), F.greatest(p["x"], q["x"]).alias("maxx"), F.greatest(p["y"], q["y"]).alias("maxy"))
+    return boxes_meet(box(a, b), box(c, d)) & ~apart
 
 
 def _let(value: Column, body) -> Column:

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import d8
 from . import network
+from .polygons import packed, unpacked
 from .store import settled
 
 
@@ -48,43 +49,53 @@ def sample(points: DataFrame, cells: DataFrame, band: str) -> DataFrame:
     return df.withColumn(band, F.coalesce("__v", F.lit(-1))).drop("__v")
 
 
-def burn(polygons: DataFrame, rows: int, cols: int) -> DataFrame:
-    """(lake_id, row, col) of each cell whose closed square meets the polygon; rings in cell units (x column, y row)."""
+def burn(polygons: DataFrame, rows: int, cols: int, band: int = 256) -> DataFrame:
+    """(lake_id, row, col) of each cell whose closed square meets the polygon, in cell units (x column, y row).
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for lake, ring in zip(frame.lake_id, frame.ring, strict=True):
-                v = np.array([(p["x"], p["y"]) for p in ring], float)
-                yield pd.DataFrame(_touched(v, rows, cols), columns=["row", "col"]).assign(lake_id=lake)[["lake_id", "row", "col"]]
-
-    return polygons.select("lake_id", "ring").mapInPandas(run, "lake_id long, row int, col int")
-
-
-def _touched(v: np.ndarray, rows: int, cols: int) -> np.ndarray:
-    """Cells by edges that cross them, closed, and by centres inside, one row of cells at a time."""
-    (x0, y0), (x1, y1) = np.floor(v.min(0)) - 1, np.ceil(v.max(0)) + 1
-    c = np.arange(max(0, int(x0)), min(cols, int(x1) + 1))
+    ``polygons``: (lake_id, ring) or (lake_id, rings), what lies within an odd number of rings being inside. Tall polygons
+    are dealt out by bands of rows, so a task holds a band of one and never all cells of a large lake.
+    """
+    rings = F.col("rings") if "rings" in polygons.columns else F.array("ring")
+    ys = F.transform(F.flatten(rings), lambda v: v["y"])
+    low = F.greatest(F.floor(F.array_min(ys)) - 1, F.lit(0))
+    high = F.least(F.ceil(F.array_max(ys)), F.lit(rows - 1))
+    some = polygons.select("lake_id", rings.alias("rings"), low.alias("low"), high.alias("high")).where("low <= high")
+    bands = some.select("lake_id", "rings", "low", "high", F.explode(F.sequence(F.floor(F.col("low") / band), F.floor(F.col("high") / band))).alias("band"))
+    bands = bands.select("lake_id", "rings", F.greatest("low", F.col("band") * band).alias("low"), F.least("high", (F.col("band") + 1) * band - 1).alias("high"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lakes, lows, highs = (batch.column(c) for c in ("lake_id", "low", "high"))
+            for i, each in enumerate(unpacked(batch, "polygon")):
+                edges = np.vstack([np.hstack([v[:-1], v[1:]]) for v in each if len(v) > 1])
+                cells = _touched(edges, lows[i].as_py(), highs[i].as_py(), cols)
+                own = pa.array([lakes[i].as_py()] * len(cells), pa.int64())
+                yield pa.RecordBatch.from_arrays([own, pa.array(cells[:, 0]), pa.array(cells[:, 1])], ["lake_id", "row", "col"])
+
+    flat = bands.select(F.col("lake_id").cast("long").alias("lake_id"), packed(F.col("rings")).alias("polygon"), "low", "high")
+    return flat.mapInArrow(run, "lake_id long, row int, col int")
+
+
+def _touched(edges: np.ndarray, first: int, last: int, cols: int) -> np.ndarray:
+    """Cells by edges (ax, ay, bx, by) that cross them, closed, and by centres inside, one row of cells at a time."""
+    low, high = np.minimum(edges[:, 1], edges[:, 3]), np.maximum(edges[:, 1], edges[:, 3])
     out = []
-    a, b = v[:-1], v[1:]
-    for r in range(max(0, int(y0)), min(rows, int(y1) + 1)):
-        hit = np.zeros(len(c), bool)
-        for (ax, ay), (bx, by) in zip(a, b, strict=True):
-            if max(ay, by) < r or min(ay, by) > r + 1:
-                continue
-            if ay == by:
-                lo, hi = min(ax, bx), max(ax, bx)
-            else:  # the part of the edge between the row's top and bottom
-                t = sorted(((r - ay) / (by - ay), (r + 1 - ay) / (by - ay)))
-                t0, t1 = max(0.0, t[0]), min(1.0, t[1])
-                lo, hi = sorted((ax + t0 * (bx - ax), ax + t1 * (bx - ax)))
-            hit |= (c <= hi) & (c + 1 >= lo)
+    for r in range(first, last + 1):
+        ax, ay, bx, by = edges[(low <= r + 1) & (high >= r)].T
+        # the part of each edge between the row's top and bottom
+        with np.errstate(divide="ignore", invalid="ignore"):
+            t = np.sort(np.array([(r - ay) / (by - ay), (r + 1 - ay) / (by - ay)]), axis=0)
+        t = np.where(ay == by, [[0.0], [1.0]], np.clip(t, 0.0, 1.0))
+        ends = np.sort(ax + t * (bx - ax), axis=0)
+        hits = np.zeros(cols + 1, int)
+        np.add.at(hits, np.clip(np.ceil(ends[0] - 1), 0, cols).astype(int), 1)
+        np.add.at(hits, np.clip(np.floor(ends[1]) + 1, 0, cols).astype(int), -1)
+        hit = np.cumsum(hits[:-1]) > 0
         y = r + 0.5
-        cross = np.zeros(len(c), int)
-        for (ax, ay), (bx, by) in zip(a, b, strict=True):
-            if (ay > y) != (by > y):
-                cross += c + 0.5 < (bx - ax) * (y - ay) / (by - ay) + ax
-        hit |= cross % 2 == 1
-        out += [(r, k) for k in c[hit]]
+        across = (ay > y) != (by > y)
+        at = np.sort((bx - ax)[across] * (y - ay[across]) / (by - ay)[across] + ax[across])
+        hit |= (len(at) - np.searchsorted(at, np.arange(cols) + 0.5, side="right")) % 2 == 1
+        out += [(r, k) for k in np.flatnonzero(hit)]
     return np.array(out, np.int32).reshape(-1, 2)
 
 

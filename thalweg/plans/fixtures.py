@@ -141,6 +141,26 @@ class Tables:
         v = lambda sx, sy: F.struct((F.col("cx") + sx * F.col("hw")).alias("x"), (F.col("cy") + sy * F.col("hw")).alias("y"))
         return self.lakes.withColumn("ring", F.array(v(-1, -1), v(1, -1), v(1, 1), v(-1, 1), v(-1, -1)))
 
+    def ringed_lakes(self) -> DataFrame:
+        """The lakes with an island of half their width, in which lies a pond of a quarter."""
+        v = lambda k, sx, sy: F.struct((F.col("cx") + sx * k * F.col("hw")).alias("x"), (F.col("cy") + sy * k * F.col("hw")).alias("y"))
+        square = lambda k: F.array(v(k, -1, -1), v(k, 1, -1), v(k, 1, 1), v(k, -1, 1), v(k, -1, -1))
+        return self.lakes.withColumn("rings", F.array(square(1.0), square(0.5), square(0.25)))
+
+    def boundary(self) -> DataFrame:
+        """(others): a boundary like an L, with a hole."""
+        n = float(self.width())
+        ring = lambda *at: F.array(*[F.struct(F.lit(x * n / 10).alias("x"), F.lit(y * n / 10).alias("y")) for x, y in [*at, at[0]]])
+        outer = ring((1, 1), (9, 1), (9, 4), (6, 4), (6, 9), (1, 9))
+        return self.spark.range(1).select(F.array(outer, ring((2, 5), (4, 5), (4, 7), (2, 7))).alias("others"))
+
+    def catchments(self) -> DataFrame:
+        """(DN, rings): the plane of the streams parted among all basins, a strip for each level."""
+        x = lambda k: (F.col("DN") - F.pow(F.lit(2.0), "lvl") + k) / F.pow(F.lit(2.0), "lvl") * 1e5
+        v = lambda k, up: F.struct(x(k).alias("x"), (F.col("lvl") * 1e3 + up * 500.0).alias("y"))
+        ring = F.array(v(0, -1), v(1, -1), v(1, 1), v(0, 1), v(0, -1))
+        return self.basins.join(self.streams.select(F.col("LINKNO").alias("DN"), "lvl"), "DN").select("DN", F.array(ring).alias("rings"))
+
     def gauges(self) -> DataFrame:
         return self.stations.withColumn("p", F.struct("x", "y"))
 

@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from ..functions import d8, rules
 from ..functions import geometry as G
-from ..operators import dissolve, network, raster, routing, spatial, terrain
+from ..operators import dissolve, network, polygons, raster, routing, spatial, terrain
 from .fixtures import Tables, sql
 
 FLAGSHIP = "J2_gauges_in_lakes"
@@ -247,6 +247,107 @@ def _(t):
     return t.grid.select("r", "c", six(p["x"]).alias("x"), six(p["y"]).alias("y"))
 
 
+# ---- polygons of many rings ---------------------------------------------------------------------------------------
+
+_BOUNDARY = [((1, 6), (1, 9), 1), ((6, 9), (1, 4), 1), ((2, 4), (5, 7), -1)]  # two boxes and a hole, in tenths of the width
+
+
+def _shared_area(half: str) -> str:
+    """SQL of the area that a square around (cx, cy) has in common with the boundary."""
+    side = lambda c, lo, hi: f"greatest(0e0, least({c} + {half}, {hi}e-1 * w) - greatest({c} - {half}, {lo}e-1 * w))"
+    return "(" + " + ".join(f"{sign}e0 * {side('cx', *xs)} * {side('cy', *ys)}" for xs, ys, sign in _BOUNDARY) + ")"
+
+
+FIVE = "round_even(({0}) * 1e5, 0) / 1e5".format
+
+
+def _side():
+    """The side of a square of the polygon's area; areas themselves would lie on ties of rounding."""
+    return rules.rounded(F.sqrt(F.greatest(polygons.area(F.col("rings")), F.lit(0.0))), 5).alias("side")
+
+
+_SIZED = "FROM lakes, (SELECT CAST(max(wide) AS DOUBLE) AS w FROM grid)"
+
+
+@query("J2_gauges_in_ringed_lakes", """
+SELECT l.lake_id, s.STATION_NUMBER FROM (SELECT lake_id, cx, cy, hw FROM lakes) l JOIN stations s ON greatest(abs(s.x - l.cx), abs(s.y - l.cy)) < hw
+WHERE greatest(abs(s.x - l.cx), abs(s.y - l.cy)) > hw / 2 OR greatest(abs(s.x - l.cx), abs(s.y - l.cy)) < hw / 4""")
+def _(t):
+    """Gauges within lakes that have islands, and ponds on these."""
+    found = polygons.points_in_polygons(t.gauges().select("STATION_NUMBER", "p"), t.ringed_lakes().select("lake_id", "rings"))
+    return found.select("lake_id", "STATION_NUMBER")
+
+
+_PLACED = """SELECT b.DN, s.STATION_NUMBER, s.sid FROM basins b JOIN streams k ON k.LINKNO = b.DN JOIN (SELECT *, x * 1e5 / w AS px, y * 12e3 / w AS py FROM stations, (SELECT CAST(max(wide) AS DOUBLE) AS w FROM grid)) s
+ON s.px > (b.DN - power(2e0, k.lvl)) / power(2e0, k.lvl) * 1e5 AND s.px < (b.DN - power(2e0, k.lvl) + 1) / power(2e0, k.lvl) * 1e5 AND s.py > k.lvl * 1e3 - 500 AND s.py < k.lvl * 1e3 + 500"""
+
+
+def _placed(t):
+    n = t.width()
+    at = F.struct((F.col("x") * 1e5 / n).alias("x"), (F.col("y") * 12e3 / n).alias("y"))
+    points = t.stations.select("STATION_NUMBER", "sid", at.alias("p"))
+    return polygons.points_in_polygons(points, t.catchments()).select("DN", "STATION_NUMBER", "sid")
+
+
+@query("J4_gauges_in_basins", f"SELECT DN, STATION_NUMBER FROM ({_PLACED})")
+def _(t):
+    """Each gauge and the basin that it lies in, by place."""
+    return _placed(t).select("DN", "STATION_NUMBER")
+
+
+@query("J4_basins_with_their_gauges", f"SELECT b.DN, coalesce(g.names, '') AS names FROM basins b LEFT JOIN (SELECT DN, string_agg(STATION_NUMBER, ', ' ORDER BY sid) AS names FROM ({_PLACED}) GROUP BY DN) g ON g.DN = b.DN")
+def _(t):
+    """All basins with the gauges that lie in them, in the gauges' order."""
+    listed = F.transform(F.sort_array(F.collect_list(F.struct("sid", "STATION_NUMBER"))), lambda s: s["STATION_NUMBER"])
+    g = _placed(t).groupBy("DN").agg(F.array_join(listed, ", ").alias("names"))
+    return t.basins.select("DN").join(g, "DN", "left").withColumn("names", F.coalesce("names", F.lit("")))
+
+
+@query("J11_lakes_within_boundary", f"SELECT lake_id, {FIVE('sqrt(area)')} AS side FROM (SELECT lake_id, {_shared_area('hw')} - {_shared_area('hw / 2')} + {_shared_area('hw / 4')} AS area {_SIZED}) WHERE area > 1e-9")
+def _(t):
+    """Lakes with islands cut to a boundary with a corner and a hole, by the side of a square of their area."""
+    cut = polygons.clipped(t.ringed_lakes().select("lake_id", "rings"), t.boundary())
+    return cut.select("lake_id", _side())
+
+
+@query("G8_outside_boundary", f"SELECT lake_id, {FIVE('sqrt(greatest(4 * hw * hw - area, 0e0))')} AS side FROM (SELECT lake_id, hw, {_shared_area('hw')} AS area {_SIZED})")
+def _(t):
+    """What the boundary leaves out of each lake: a difference of polygons."""
+    lakes = t.lake_rings().select("lake_id", F.array("ring").alias("rings"))
+    apart = polygons.overlay(lakes.crossJoin(t.boundary()), "difference")  # the boundary is one row
+    return apart.select("lake_id", _side())
+
+
+@query("J3_lakes_meeting_boundary", f"""
+SELECT lake_id {_SIZED} WHERE ((cx + hw >= 1e-1 * w AND cx - hw <= 6e-1 * w AND cy + hw >= 1e-1 * w AND cy - hw <= 9e-1 * w)
+  OR (cx + hw >= 6e-1 * w AND cx - hw <= 9e-1 * w AND cy + hw >= 1e-1 * w AND cy - hw <= 4e-1 * w))
+  AND NOT (cx - hw > 2e-1 * w AND cx + hw < 4e-1 * w AND cy - hw > 5e-1 * w AND cy + hw < 7e-1 * w)""")
+def _(t):
+    return polygons.meeting(t.ringed_lakes().select("lake_id", "rings"), t.boundary()).select("lake_id")
+
+
+@query("J10_overlapping_lakes", f"""
+SELECT a, b, {FIVE('sqrt(dx * dy)')} AS side FROM (SELECT x.lake_id AS a, y.lake_id AS b, least(x.cx + x.hw, y.cx + y.hw) - greatest(x.cx - x.hw, y.cx - y.hw) AS dx,
+  least(x.cy + x.hw, y.cy + y.hw) - greatest(x.cy - x.hw, y.cy - y.hw) AS dy FROM lakes x JOIN lakes y ON x.lake_id < y.lake_id) WHERE dx > 0 AND dy > 0""")
+def _(t):
+    """Pairs of lakes with the area that they have in common."""
+    lakes = t.lake_rings().select("lake_id", F.array("ring").alias("rings"))
+    pairs = polygons.box_pairs(lakes.withColumnRenamed("lake_id", "a"), lakes.select(F.col("lake_id").alias("b"), F.col("rings").alias("others")))
+    both = polygons.overlay(pairs.where("a < b")).where(F.size("rings") > 0)
+    return both.select("a", "b", _side())
+
+
+@query("R3_burned_islands", """
+SELECT l.lake_id, count(*) AS n, CAST(sum(g.r * 31 + g.c) AS BIGINT) AS s FROM lakes l JOIN grid g ON g.c <= l.cx + l.hw AND g.c + 1 >= l.cx - l.hw AND g.r <= l.cy + l.hw AND g.r + 1 >= l.cy - l.hw
+WHERE NOT (g.c > l.cx - l.hw / 2 AND g.c + 1 < l.cx + l.hw / 2 AND g.r > l.cy - l.hw / 2 AND g.r + 1 < l.cy + l.hw / 2)
+  OR (g.c <= l.cx + l.hw / 4 AND g.c + 1 >= l.cx - l.hw / 4 AND g.r <= l.cy + l.hw / 4 AND g.r + 1 >= l.cy - l.hw / 4) GROUP BY l.lake_id""")
+def _(t):
+    """Cells of lakes with islands, and ponds on these."""
+    n = t.width()
+    mask = raster.burn(t.ringed_lakes().select("lake_id", "rings"), n, n)
+    return mask.groupBy("lake_id").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("row").cast("long") * 31 + F.col("col")).alias("s"))
+
+
 # ---- joins and rankings -----------------------------------------------------------------------------------------
 
 
