@@ -219,6 +219,30 @@ def joined(a: Column, b: Column, within: float = 0.01) -> Column:
     return F.when(near, F.array(F.concat(a, F.slice(b, F.lit(2), F.size(b))))).otherwise(F.array(a, b))
 
 
+def strung(lines: Column, within: float = 0.01) -> Column:
+    """Array of parts of lines given one after the other, each joined to the part made last where an end of the one lies
+    within a distance of an end of the other; lines that run the other way are turned round, others begin a new part.
+    The vertex of the part made so far stays. Parts come latest first; lines without vertices are left out."""
+
+    def without(line: Column, first: bool) -> Column:
+        return F.slice(line, F.lit(2 if first else 1), F.size(line) - 1)
+
+    def step(parts: Column, x: Column) -> Column:
+        a = F.get(parts, F.lit(0))
+        near = lambda p, q: distance(p, q) <= within
+        one = (
+            F.when(near(last_vertex(x), first_vertex(a)), F.concat(without(x, False), a))
+            .when(near(first_vertex(x), first_vertex(a)), F.concat(without(F.reverse(x), False), a))
+            .when(near(first_vertex(x), last_vertex(a)), F.concat(a, without(x, True)))
+            .when(near(last_vertex(x), last_vertex(a)), F.concat(a, without(F.reverse(x), True)))
+        )
+        rest = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
+        return F.when(one.isNull(), F.concat(F.array(x), parts)).otherwise(F.concat(F.array(one), rest))
+
+    some = F.filter(lines, lambda x: F.size(F.coalesce(x, F.array().cast("array<struct<x:double,y:double>>"))) > 0)
+    return F.aggregate(some, F.array().cast("array<array<struct<x:double,y:double>>>"), step)
+
+
 def least_step(line: Column) -> Column:
     """The least distance of consecutive vertices that isn't 0."""
     steps = F.transform(_pairs(line), lambda s: distance(s["a"], s["b"]))

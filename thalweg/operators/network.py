@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions import geometry as G
 from .store import release, settled
 
 ENDS = (-1, 0)
@@ -192,14 +193,26 @@ def validate(links: DataFrame, known: DataFrame, id: str = "LINKNO", down: str =
         raise ValueError("dangling downstream ids: " + ", ".join(f"{r[0]} -> {r[1]}" for r in some))
 
 
-def bypass_phantoms(streams: DataFrame, basins: DataFrame) -> DataFrame:
-    """Real links after absorbing the phantom links (without a basin) that follow them.
+def bypass_phantoms(streams: DataFrame, basins: DataFrame, within: float = 0.01) -> DataFrame:
+    """Real links after absorbing the phantom links (without a basin) that follow them: all columns of ``streams`` (LINKNO,
+    DSLINKNO, Length, strmDrop, DSContArea, DOUTEND, DOUTSTART, line from its downstream end, ...), but that ``line`` becomes
+    parts (``geometry.strung``), with Slope, StraightL, DOUTMID and n_absorbed.
 
-    Phantoms of no length are routed through like the others. Length and strmDrop add up, DSContArea takes the least,
-    DOUTEND that of the last, DSLINKNO the first real link or end after them; n_absorbed counts them.
+    Length and strmDrop add up, DSContArea takes the least, DOUTEND that of the last, DSLINKNO the first real link or end
+    after them; lines are joined in order. Phantoms whose line is missing or has no length give nothing and are only
+    followed. Chains of phantoms are folded once (``path_folds``); their lines come to each real link that they follow, and
+    so are as many rows as the lines that result have pieces.
     """
     real = basins.select(F.col("DN").alias("LINKNO")).distinct().withColumn("real", F.lit(True))
-    marked = settled(streams.join(real, "LINKNO", "left").withColumn("real", F.coalesce("real", F.lit(False))))
+    long = F.coalesce(G.length(F.col("line")), F.lit(0.0)) > 0
+    kept = [c for c in streams.columns if c not in ("Slope", "StraightL", "DOUTMID", "n_absorbed", "parts")]
+    marked = streams.select(*kept).join(real, "LINKNO", "left").withColumn("real", F.coalesce("real", F.lit(False)))
+    marked = settled(marked.withColumn("empty", ~F.col("real") & ~long))
+    # what lies behind phantoms without a line
+    empty = marked.where("empty").select(F.col("LINKNO").alias("id"), F.col("DSLINKNO").alias("down"))
+    behind = path_folds(empty).select("id", "end").join(empty.select(F.col("id").alias("end"), F.col("down").alias("to")), "end")
+    behind = behind.select(F.col("id").alias("DSLINKNO"), "to")
+    marked = settled(marked.where("not empty").join(behind, "DSLINKNO", "left").withColumn("DSLINKNO", F.coalesce("to", "DSLINKNO")).drop("to", "empty"))
     phantom = marked.where("not real").withColumn("count", F.lit(1).cast("long"))
     # walks through phantoms only, from the first after a real link to the last
     folds = path_folds(
@@ -212,48 +225,86 @@ def bypass_phantoms(streams: DataFrame, basins: DataFrame) -> DataFrame:
         F.col("id").alias("DSLINKNO"),
         F.struct("Length", "strmDrop", "DSContArea", "count", "last_down", "last_out").alias("g"),
     )
-    df, g = marked.where("real").join(gained, "DSLINKNO", "left"), F.col("g")
-    return df.select(
-        "LINKNO",
-        F.coalesce(g["last_down"], F.col("DSLINKNO")).alias("DSLINKNO"),
-        (F.col("Length") + F.coalesce(g["Length"], F.lit(0.0))).alias("Length"),
-        (F.col("strmDrop") + F.coalesce(g["strmDrop"], F.lit(0.0))).alias("strmDrop"),
-        F.least("DSContArea", g["DSContArea"]).alias("DSContArea"),
-        F.coalesce(g["last_out"], F.col("DOUTEND")).alias("DOUTEND"),
-        F.coalesce(g["count"], F.lit(0).cast("long")).alias("n_absorbed"),
-    )
-
-
-def contract(links: DataFrame, swallowed: DataFrame) -> DataFrame:
-    """Links after each group of ``swallowed`` (LINKNO, winner) has become its winner: numbers take the greatest, the
-    winner's downstream link and those of all others are mapped, self-loops of a group stay for validation to report."""
-    into = swallowed.groupBy("LINKNO").agg(F.max("winner").alias("winner"))
+    firsts = marked.where("real").select("LINKNO", F.col("DSLINKNO").alias("id")).join(folds.select("id", F.col("count").alias("n")), "id")
+    starts = firsts.groupBy(F.col("id").alias("start")).agg((F.max("n") - 1).alias("steps"))
+    chain = walk_steps(starts, phantom.select(F.col("LINKNO").alias("id"), F.col("DSLINKNO").alias("down")))
+    pieces = chain.join(phantom.select(F.col("LINKNO").alias("id"), "line"), "id").groupBy("start")
+    pieces = pieces.agg(F.sort_array(F.collect_list(F.struct("hops", "line"))).alias("pieces")).withColumnRenamed("start", "DSLINKNO")
+    df, g = marked.where("real").join(gained, "DSLINKNO", "left").join(pieces, "DSLINKNO", "left"), F.col("g")
+    lines = F.concat(F.array("line"), F.transform(F.coalesce("pieces", F.array().cast(df.schema["pieces"].dataType)), lambda x: x["line"]))
+    new = {
+        "DSLINKNO": F.coalesce(g["last_down"], F.col("DSLINKNO")),
+        "Length": F.col("Length") + F.coalesce(g["Length"], F.lit(0.0)),
+        "strmDrop": F.col("strmDrop") + F.coalesce(g["strmDrop"], F.lit(0.0)),
+        "DSContArea": F.least("DSContArea", g["DSContArea"]),
+        "DOUTEND": F.coalesce(g["last_out"], F.col("DOUTEND")),
+    }
+    n = F.coalesce(g["count"], F.lit(0).cast("long")).alias("n_absorbed")
+    df = df.select(*[new[c].alias(c) if c in new else c for c in kept if c != "line"], G.strung(lines, within).alias("parts"), n)
+    ends = F.flatten("parts")
+    slope = F.when(F.col("Length") > 0, F.col("strmDrop") / F.nullif("Length", F.lit(0.0))).otherwise(0.0)
+    return df.select("*", slope.alias("Slope"), G.distance(G.first_vertex(ends), G.last_vertex(ends)).alias("StraightL"), ((F.col("DOUTSTART") + F.col("DOUTEND")) / 2).alias("DOUTMID"))
+
+
+def contract(links: DataFrame, swallowed: DataFrame, metrics: DataFrame | None = None) -> DataFrame:
+    """Links after each lake's ``swallowed`` ones (lake_id, LINKNO, winner) have become its winner.
+
+    A link that several lakes swallow goes to the one of the greatest lake_id. Numbers take the greatest of their group, but
+    for those that ``metrics`` (from ``path_metrics``, with winner) has of the winner, and the Slope that follows from them;
+    of lakes with one winner the greatest lake_id's count. The winner's downstream link and those of all others are mapped
+    once, not through one another; self-loops of a group stay for validation to report.
+    """
+    into = swallowed.groupBy("LINKNO").agg(F.max(F.struct("lake_id", "winner")).alias("s")).select("LINKNO", "s.winner")
     named = links.join(into, "LINKNO", "left").withColumn("unit", F.coalesce("winner", "LINKNO"))
     own = links.select(F.col("LINKNO").alias("unit"), F.col("DSLINKNO").alias("out"))
     numbers = [c for c in links.columns if c not in ("LINKNO", "DSLINKNO", "USLINKNO1", "USLINKNO2")]
     merged = named.groupBy("unit").agg(*[F.max(c).alias(c) for c in numbers])
     merged = merged.join(own, "unit").withColumnRenamed("out", "DSLINKNO")
+    if metrics is not None:
+        put = [c for c in PATH_METRICS if c in numbers]
+        last = metrics.groupBy(F.col("winner").alias("unit")).agg(F.max_by(F.struct("winner", *PATH_METRICS), "lake_id").alias("m"))
+        merged = merged.join(last, "unit", "left")
+        there, m = F.col("m").isNotNull(), F.col("m")
+        slope = F.when(m["Length"] > 0, m["strmDrop"] / F.nullif(m["Length"], F.lit(0.0))).otherwise(0.0)
+        new = {c: F.when(there, m[c]).otherwise(F.col(c)) for c in put}
+        if "Slope" in numbers:
+            new["Slope"] = F.when(there, slope).otherwise(F.col("Slope"))
+        merged = merged.withColumns(new).drop("m")
     mapped = into.select(F.col("LINKNO").alias("DSLINKNO"), F.col("winner").alias("to"))
     df = merged.join(mapped, "DSLINKNO", "left")
     return df.select(F.col("unit").alias("LINKNO"), F.coalesce("to", "DSLINKNO").alias("DSLINKNO"), *numbers)
 
 
-def path_metrics(internal: DataFrame, links: DataFrame) -> DataFrame:
-    """Per lake the longest path of ``internal`` links (lake_id, LINKNO) from a start, one whose USLINKNO1 isn't internal,
-    down to where it leaves: (lake_id, start, Length, strmDrop, StraightL, DOUTEND, DOUTSTART, DOUTMID)."""
-    inside = settled(
-        internal.join(links, "LINKNO").select("lake_id", "LINKNO", "DSLINKNO", "USLINKNO1", "Length", "strmDrop", "StraightL", "DOUTEND")
-    )
+#: What a lake's longest path gives its unit.
+PATH_METRICS = ("Length", "strmDrop", "StraightL", "DOUTEND", "DOUTSTART", "DOUTMID")
+
+
+def path_metrics(internal: DataFrame, links: DataFrame, winners: DataFrame) -> DataFrame:
+    """Per lake the longest path of ``internal`` links (lake_id, LINKNO) from a start, one whose USLINKNO1 isn't internal, down
+    to its winner (lake_id, LINKNO) or to where it leaves: (lake_id, winner, start, *PATH_METRICS).
+
+    ``links``: (LINKNO, DSLINKNO, USLINKNO1, Length, strmDrop, DOUTEND, line from its downstream end). StraightL is the
+    distance of the path's two ends, DOUTEND the least on it. All are 0, and start null, where no path has a length; of
+    paths equally long the one of the least start counts.
+    """
+    inside = internal.join(links, "LINKNO").join(winners.select("lake_id", F.col("LINKNO").alias("winner")), "lake_id", "left")
+    ends = [G.last_vertex(F.col("line")).alias("upper"), G.first_vertex(F.col("line")).alias("lower")]
+    inside = settled(inside.select("lake_id", "LINKNO", "DSLINKNO", "USLINKNO1", "Length", "strmDrop", "DOUTEND", "winner", *ends))
     named = lambda c: F.struct("lake_id", F.col(c).alias("link"))
-    measures = ["Length", "strmDrop", "StraightL"]
-    folds = path_folds(inside.select(named("LINKNO").alias("id"), named("DSLINKNO").alias("down"), *measures, "DOUTEND"), measures, ["DOUTEND"])
+    on = F.when(~F.col("LINKNO").eqNullSafe(F.col("winner")), named("DSLINKNO"))
+    folds = path_folds(inside.select(named("LINKNO").alias("id"), on.alias("down"), "Length", "strmDrop", "DOUTEND"), ["Length", "strmDrop"], ["DOUTEND"])
     ups = inside.select("lake_id", F.col("LINKNO").alias("USLINKNO1"))
-    starts = inside.join(ups, ["lake_id", "USLINKNO1"], "left_anti").select(named("LINKNO").alias("id"))
-    each = folds.join(starts, "id").select("id.lake_id", F.col("id.link").alias("start"), *measures, "DOUTEND")
+    starts = inside.join(ups, ["lake_id", "USLINKNO1"], "left_anti").select(named("LINKNO").alias("id"), "upper")
+    lowest = inside.select(named("LINKNO").alias("end"), "lower")
+    each = folds.join(starts, "id").join(lowest, "end").where("Length > 0")
+    each = each.select("id.lake_id", F.col("id.link").alias("start"), "Length", "strmDrop", G.distance(F.col("upper"), F.col("lower")).alias("StraightL"), "DOUTEND")
     first = Window.partitionBy("lake_id").orderBy(F.desc("Length"), "start")
     best = each.withColumn("rn", F.row_number().over(first)).where("rn = 1").drop("rn")
+    lakes = internal.select("lake_id").distinct().join(winners.select("lake_id", F.col("LINKNO").alias("winner")), "lake_id", "left")
+    zero = lambda c: F.coalesce(c, F.lit(0.0)).alias(c)
+    df = lakes.join(best, "lake_id", "left").select("lake_id", "winner", "start", zero("Length"), zero("strmDrop"), zero("StraightL"), zero("DOUTEND"))
     end = F.col("DOUTEND") + F.col("Length")
-    return best.select("*", end.alias("DOUTSTART"), ((F.col("DOUTEND") + end) / 2).alias("DOUTMID"))
+    return df.select("*", end.alias("DOUTSTART"), ((F.col("DOUTEND") + end) / 2).alias("DOUTMID"))
 
 
 def remap_to_survivors(targets: DataFrame, moved: DataFrame, survivors: DataFrame, outlet: int = -9999) -> DataFrame:

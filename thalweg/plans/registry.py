@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from ..functions import d8, rules
 from ..functions import geometry as G
-from ..operators import dissolve, network, polygons, raster, routing, spatial, terrain
+from ..operators import dissolve, network, polygons, raster, reservoirs, routing, spatial, terrain
 from .fixtures import Tables, sql
 
 FLAGSHIP = "J2_gauges_in_lakes"
@@ -586,15 +586,19 @@ def _(t):
 
 
 @query("T6_contraction", """
-WITH into_ AS (SELECT LINKNO, CAST(floor(LINKNO / 2) AS BIGINT) AS winner FROM streams WHERE LINKNO % 9 = 0
-  UNION ALL SELECT CAST(floor(LINKNO / 2) AS BIGINT), CAST(floor(LINKNO / 2) AS BIGINT) FROM streams WHERE LINKNO % 9 = 0), one AS (
-  SELECT LINKNO, max(winner) AS winner FROM into_ GROUP BY LINKNO), unit AS (
+WITH into_ AS (SELECT LINKNO % 13 AS lake_id, LINKNO, CAST(floor(LINKNO / 2) AS BIGINT) AS winner FROM streams WHERE LINKNO % 9 = 0
+  UNION SELECT LINKNO % 13, CAST(floor(LINKNO / 2) AS BIGINT), CAST(floor(LINKNO / 2) AS BIGINT) FROM streams WHERE LINKNO % 9 = 0
+  UNION SELECT 13, LINKNO, CAST(floor(LINKNO / 2) AS BIGINT) FROM streams WHERE LINKNO % 18 = 4), one AS (
+  SELECT LINKNO, arg_max(winner, (lake_id, winner)) AS winner FROM into_ GROUP BY LINKNO), unit AS (
   SELECT coalesce(o.winner, s.LINKNO) AS unit, s.* FROM streams s LEFT JOIN one o ON o.LINKNO = s.LINKNO)
 SELECT u.unit AS LINKNO, coalesce(any_value(m.winner), any_value(s.DSLINKNO)) AS DSLINKNO, max(u.Length) AS Length, max(u.sz) AS sz
 FROM unit u JOIN streams s ON s.LINKNO = u.unit LEFT JOIN one m ON m.LINKNO = s.DSLINKNO GROUP BY u.unit""")
 def _(t):
-    some = t.streams.where("LINKNO % 9 = 0").select("LINKNO", F.floor(F.col("LINKNO") / 2).alias("winner"))
-    swallowed = some.union(some.select("winner", "winner"))
+    """Links become the winner of the last lake that swallows them."""
+    half = F.floor(F.col("LINKNO") / 2)
+    some = t.streams.where("LINKNO % 9 = 0").select((F.col("LINKNO") % 13).alias("lake_id"), "LINKNO", half.alias("winner"))
+    late = t.streams.where("LINKNO % 18 = 4").select(F.lit(13).cast("long").alias("lake_id"), "LINKNO", half.alias("winner"))
+    swallowed = some.union(some.select("lake_id", "winner", "winner")).union(late)
     links = t.streams.select("LINKNO", "DSLINKNO", "USLINKNO1", "USLINKNO2", "Length", "sz")
     return network.contract(links, swallowed)
 
@@ -605,26 +609,39 @@ _SUBTREES = "SELECT LINKNO, CASE WHEN lvl >= 4 THEN CAST(floor(LINKNO / power(2e
 @query("T5_longest_path", f"""
 WITH lake AS ({_SUBTREES}), inside AS (SELECT l.lake_id, s.* FROM streams s JOIN lake l ON l.LINKNO = s.LINKNO),
 tops AS (SELECT a.lake_id, a.LINKNO AS start FROM inside a LEFT JOIN inside b ON b.lake_id = a.lake_id AND b.LINKNO = a.USLINKNO1 WHERE b.LINKNO IS NULL),
-walk AS (SELECT lake_id, start, start AS cur FROM tops UNION ALL SELECT t.lake_id, t.start, r.anc FROM tops t JOIN reach r ON r.id = t.start JOIN lake l ON l.LINKNO = r.anc AND l.lake_id = t.lake_id),
-each AS (SELECT w.lake_id, w.start, sum(Length) AS Length, sum(strmDrop) AS strmDrop, min(DOUTEND) AS DOUTEND FROM walk w JOIN inside i ON i.LINKNO = w.cur GROUP BY w.lake_id, w.start)
-SELECT lake_id, start, {SIX('Length')} AS Length, {SIX('strmDrop')} AS strmDrop, {SIX('DOUTEND + Length')} AS DOUTSTART FROM
-(SELECT *, row_number() OVER (PARTITION BY lake_id ORDER BY round_even(Length * 1e6, 0) DESC, start) AS k FROM each) WHERE k = 1""")
-def _(t):
-    """Over all links: lakes are the whole subtrees below the fourth level, and the links above them one more."""
+walk AS (SELECT lake_id, start, start AS cur, 0 AS hops FROM tops UNION ALL SELECT t.lake_id, t.start, r.anc, r.hops FROM tops t JOIN reach r ON r.id = t.start JOIN lake l ON l.LINKNO = r.anc AND l.lake_id = t.lake_id),
+stops AS (SELECT start, min(hops) AS stop FROM walk WHERE cur % 6 = 0 AND cur = lake_id GROUP BY start),
+each AS (SELECT w.lake_id, w.start, sum(Length) AS Length, sum(strmDrop) AS strmDrop, min(DOUTEND) AS DOUTEND, arg_max(x0, hops) AS ex, arg_max(y0, hops) AS ey
+  FROM walk w JOIN inside i ON i.LINKNO = w.cur LEFT JOIN stops p ON p.start = w.start WHERE p.stop IS NULL OR w.hops <= p.stop GROUP BY w.lake_id, w.start),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lake_id ORDER BY round_even(Length * 1e6, 0) DESC, start) AS k FROM each) WHERE k = 1)
+SELECT b.lake_id, CASE WHEN b.lake_id % 6 = 0 AND b.lake_id > 0 THEN b.lake_id END AS winner, b.start, {SIX('b.Length')} AS Length, {SIX('b.strmDrop')} AS strmDrop, {SIX('sqrt(power(s.x1 - ex, 2) + power(s.y1 - ey, 2))')} AS StraightL,
+  {SIX('b.DOUTEND')} AS DOUTEND, {SIX('b.DOUTEND + b.Length')} AS DOUTSTART, {SIX('b.DOUTEND + b.Length / 2')} AS DOUTMID FROM best b JOIN streams s ON s.LINKNO = b.start""")
+def _(t):
+    """Over all links: lakes are the whole subtrees below the fourth level, and the links above them one more; every sixth
+    lake has a winner, its top, at which paths stop."""
     top = F.when(F.col("lvl") >= 4, F.floor(F.col("LINKNO") / F.pow(F.lit(2.0), F.col("lvl") - 4)).cast("long")).otherwise(F.lit(0).cast("long"))
-    best = network.path_metrics(t.streams.select(top.alias("lake_id"), "LINKNO"), t.streams)
-    return best.select("lake_id", "start", six(F.col("Length")).alias("Length"), six(F.col("strmDrop")).alias("strmDrop"), six(F.col("DOUTSTART")).alias("DOUTSTART"))
+    inside = t.streams.select(top.alias("lake_id"), "LINKNO")
+    best = network.path_metrics(inside, t.lines(), inside.where("LINKNO = lake_id and LINKNO % 6 = 0"))
+    return best.select("lake_id", "winner", "start", *[six(F.col(c)).alias(c) for c in network.PATH_METRICS])
 
 
 @query("T8_phantom_bypass", f"""
 WITH chain AS (SELECT * FROM (WITH RECURSIVE w(id, cur, hops) AS (SELECT s.LINKNO, s.DSLINKNO, 1 FROM streams s WHERE s.LINKNO % 7 <> 3 AND s.DSLINKNO % 7 = 3 AND s.DSLINKNO > 0 UNION ALL
   SELECT w.id, s.DSLINKNO, w.hops + 1 FROM w JOIN streams s ON s.LINKNO = w.cur WHERE s.DSLINKNO % 7 = 3 AND s.DSLINKNO > 0) SELECT * FROM w)),
-gain AS (SELECT id, sum(p.Length) AS l, sum(p.strmDrop) AS d, min(p.DSContArea) AS a, arg_max(p.DOUTEND, hops) AS e, arg_max(p.DSLINKNO, hops) AS n, count(*) AS k FROM chain c JOIN streams p ON p.LINKNO = c.cur GROUP BY id)
+gain AS (SELECT id, sum(p.Length) AS l, sum(p.strmDrop) AS d, min(p.DSContArea) AS a, arg_max(p.DOUTEND, hops) AS e, arg_max(p.DSLINKNO, hops) AS n, count(*) AS k,
+  arg_max(p.x0, hops) AS ex, arg_max(p.y0, hops) AS ey FROM chain c JOIN streams p ON p.LINKNO = c.cur GROUP BY id)
 SELECT s.LINKNO, coalesce(n, s.DSLINKNO) AS DSLINKNO, {SIX('s.Length + coalesce(l, 0e0)')} AS Length, s.strmDrop + coalesce(d, 0e0) AS strmDrop,
-least(s.DSContArea, coalesce(a, s.DSContArea)) AS DSContArea, coalesce(e, s.DOUTEND) AS DOUTEND, coalesce(k, 0) AS n_absorbed
+  least(s.DSContArea, coalesce(a, s.DSContArea)) AS DSContArea, coalesce(e, s.DOUTEND) AS DOUTEND, coalesce(k, 0) AS n_absorbed,
+  {SIX('(s.strmDrop + coalesce(d, 0e0)) / (s.Length + coalesce(l, 0e0))')} AS Slope, {SIX('sqrt(power(s.x1 - coalesce(ex, s.x0), 2) + power(s.y1 - coalesce(ey, s.y0), 2))')} AS StraightL,
+  {SIX('(s.DOUTEND + s.Length + coalesce(e, s.DOUTEND)) / 2')} AS DOUTMID, 1 AS n_parts, CAST(coalesce(k, 0) + 2 AS INT) AS n_vertices
 FROM streams s LEFT JOIN gain g ON g.id = s.LINKNO WHERE s.LINKNO % 7 <> 3""")
 def _(t):
-    return network.bypass_phantoms(t.streams, t.basins).withColumn("Length", six(F.col("Length")))
+    """Real links with the phantom links below them, as one line each."""
+    links = t.lines().select("LINKNO", "DSLINKNO", "Length", "strmDrop", "DSContArea", "DOUTEND", (F.col("DOUTEND") + F.col("Length")).alias("DOUTSTART"), "line")
+    df = network.bypass_phantoms(links, t.basins)
+    shape = [F.size("parts").alias("n_parts"), F.size(F.get("parts", F.lit(0))).alias("n_vertices")]
+    rounded = [six(F.col(c)).alias(c) for c in ("Length", "Slope", "StraightL", "DOUTMID")]
+    return df.select("LINKNO", "DSLINKNO", "strmDrop", "DSContArea", "DOUTEND", "n_absorbed", *rounded, *shape)
 
 
 @query("T9_upstream_of_point", """
@@ -650,11 +667,12 @@ def _(t):
 
 
 @query("T12_main_stem", """
-SELECT DISTINCT cur AS LINKNO FROM (WITH RECURSIVE w(cur) AS (SELECT CAST(1 AS BIGINT) UNION ALL
-  SELECT b.up FROM w JOIN (SELECT DSLINKNO, arg_min(LINKNO, (-sz, LINKNO)) AS up FROM streams WHERE DSLINKNO > 0 GROUP BY DSLINKNO) b ON b.DSLINKNO = w.cur) SELECT * FROM w)""")
+SELECT DISTINCT cur AS LINKNO FROM (WITH RECURSIVE best(down, up) AS MATERIALIZED (SELECT DSLINKNO, arg_min(LINKNO, (-sz, LINKNO)) FROM streams WHERE DSLINKNO > 0 GROUP BY DSLINKNO),
+  w(cur) AS (SELECT arg_min(LINKNO, (-DSContArea, LINKNO)) FROM streams GROUP BY LINKNO % 50 UNION ALL SELECT b.up FROM w JOIN best b ON b.down = w.cur) SELECT * FROM w)""")
 def _(t):
+    """Links on the way up from the largest link of every unit, units being links of one remainder."""
     rivers = t.streams.select("LINKNO", "DSLINKNO", F.col("sz").alias("area"))
-    seeds = t.streams.where("LINKNO = 1").select(F.col("LINKNO").alias("id"))
+    seeds = t.streams.groupBy(F.col("LINKNO") % 50).agg(F.min(F.struct(-F.col("DSContArea"), "LINKNO")).alias("s")).select(F.col("s.LINKNO").alias("id"))
     return network.main_stems(rivers, seeds)
 
 
@@ -919,6 +937,75 @@ def _(t):
     return df.withColumns({"lake_area": six(F.col("lake_area")), "frac_lake": six(F.col("frac_lake"))})
 
 
+#: Points where links cross the lakes' shores: outflow at the lower end, inflow at the upper one.
+_POURS = """pours AS (SELECT lake_id * 1000000000 + LINKNO * 2 AS pt, lake_id, 'outflow' AS point_type, x0 AS px, y0 AS py FROM met WHERE x1 > xl AND x1 < xh AND y1 > yl AND y1 < yh AND NOT (x0 > xl AND x0 < xh AND y0 > yl AND y0 < yh)
+  UNION ALL SELECT lake_id * 1000000000 + LINKNO * 2 + 1, lake_id, 'inflow', x1, y1 FROM met WHERE x0 > xl AND x0 < xh AND y0 > yl AND y0 < yh AND NOT (x1 > xl AND x1 < xh AND y1 > yl AND y1 < yh)),
+touched AS (SELECT p.*, s.LINKNO, sqrt(power(px - CASE WHEN point_type = 'inflow' THEN x1 ELSE x0 END, 2) + power(py - CASE WHEN point_type = 'inflow' THEN y1 ELSE y0 END, 2)) AS d,
+  greatest(0e0, least(1e0, ((px - x0) * (x1 - x0) + (py - y0) * (y1 - y0)) / ((x1 - x0) * (x1 - x0) + (y1 - y0) * (y1 - y0)))) AS f, x0, y0, x1, y1 FROM pours p JOIN streams s ON s.y0 <= p.py + 5e0 AND s.y1 >= p.py - 5e0),
+linked AS MATERIALIZED (SELECT pt, lake_id, point_type, px, py, arg_min(LINKNO, (d, LINKNO)) AS link_no FROM touched WHERE sqrt(power(px - (x0 + f * (x1 - x0)), 2) + power(py - (y0 + f * (y1 - y0)), 2)) <= 5e0 GROUP BY pt, lake_id, point_type, px, py),
+w AS (SELECT CAST(max(wide) AS DOUBLE) AS w FROM grid),
+cands AS MATERIALIZED (SELECT l.*, s.DOUTEND, s.strmOrder, s.DSContArea, coalesce((SELECT min(sqrt(power(g.x * 1e5 / w - l.px, 2) + power(g.y * 15e3 / w - l.py, 2))) FROM stations g, w WHERE sqrt(power(g.x * 1e5 / w - l.px, 2) + power(g.y * 15e3 / w - l.py, 2)) <= 750), 1e300) AS gd
+  FROM linked l JOIN streams s ON s.LINKNO = l.link_no WHERE point_type = 'outflow'),
+alive AS MATERIALIZED (SELECT * FROM cands c WHERE NOT EXISTS (SELECT 1 FROM cands o JOIN reach q ON q.anc = o.link_no WHERE o.lake_id = c.lake_id AND q.id = c.link_no)),
+near AS (SELECT a.lake_id, arg_min(link_no, (sqrt(power(px - o.x * 1e5 / w, 2) + power(py - o.y * 15e3 / w, 2)), pt)) AS link_no FROM alive a JOIN overrides o ON CAST(o.lake_id AS BIGINT) = a.lake_id, w
+  WHERE sqrt(power(px - o.x * 1e5 / w, 2) + power(py - o.y * 15e3 / w, 2)) <= 3000 GROUP BY a.lake_id),
+won0 AS MATERIALIZED (SELECT b.lake_id, coalesce(n.link_no, b.link_no) AS winner FROM (SELECT lake_id, arg_min(link_no, (gd, DOUTEND, -strmOrder, -DSContArea, pt)) AS link_no FROM alive GROUP BY lake_id) b LEFT JOIN near n ON n.lake_id = b.lake_id),
+starts AS (SELECT lake_id, link_no AS LINKNO FROM linked WHERE point_type = 'inflow'
+  UNION SELECT lake_id, LINKNO FROM met WHERE (mid_inside OR tips_inside OR overlap > 180) AND LINKNO NOT IN (SELECT DSLINKNO FROM streams)),
+ways AS (SELECT s.lake_id, s.LINKNO AS start, r.anc AS id, r.hops FROM starts s JOIN reach r ON r.id = s.LINKNO UNION ALL SELECT lake_id, LINKNO, LINKNO, 0 FROM starts),
+stops AS (SELECT y.lake_id, y.start, min(y.hops) AS stop FROM ways y JOIN cands c ON c.lake_id = y.lake_id AND c.link_no = y.id GROUP BY y.lake_id, y.start),
+inner_ AS MATERIALIZED (SELECT lake_id, winner AS LINKNO FROM won0 UNION SELECT y.lake_id, y.id FROM ways y JOIN won0 n ON n.lake_id = y.lake_id LEFT JOIN stops p ON p.lake_id = y.lake_id AND p.start = y.start WHERE p.stop IS NULL OR y.hops <= p.stop),
+taken AS MATERIALIZED (SELECT i.lake_id, i.LINKNO AS DN FROM inner_ i JOIN basins b ON b.DN = i.LINKNO),
+won AS MATERIALIZED (SELECT * FROM won0 WHERE lake_id IN (SELECT lake_id FROM taken)),
+swallowed AS MATERIALIZED (SELECT * FROM inner_ WHERE lake_id IN (SELECT lake_id FROM taken))"""
+
+
+def _reservoirs(t):
+    met = spatial.lines_in_polygons(t.lines().select("LINKNO", "line"), t.wide_rings(), 5000.0)
+    upper, lower = G.last_vertex(F.col("line")), G.first_vertex(F.col("line"))
+    up, low = G.contains(F.col("ring"), upper), G.contains(F.col("ring"), lower)
+    pt = F.col("lake_id") * 1000000000 + F.col("LINKNO") * 2
+    out = met.where(up & ~low).select(pt.alias("pt"), "lake_id", F.lit("outflow").alias("point_type"), lower.alias("p"))
+    into = met.where(low & ~up).select((pt + 1).alias("pt"), "lake_id", F.lit("inflow").alias("point_type"), upper.alias("p"))
+    n = t.width()
+    wide = lambda name: F.struct((F.col("x") * 1e5 / n).alias("x"), (F.col("y") * 15e3 / n).alias("y")).alias(name)
+    streams = t.lines().select("LINKNO", "DSLINKNO", "USLINKNO1", "line", "Length", "strmDrop", "StraightL", "DOUTEND", "DSContArea", "strmOrder", "Slope")
+    lakes = t.wide_rings().select("lake_id", F.array("ring").alias("rings")).join(t.lakes.select("lake_id", "Lake_area"), "lake_id")
+    overrides = t.overrides.select(F.col("lake_id").cast("long").alias("lake_id"), wide("o"))
+    return reservoirs.reservoirs(out.union(into), streams, lakes, t.catchments(), t.stations.select(wide("q")), overrides)
+
+
+@query("T7_reservoir_units", f"""
+WITH {_POURS}, boxes AS (SELECT b.DN, (b.DN - power(2e0, lvl)) / power(2e0, lvl) * 1e5 AS cx0, (b.DN - power(2e0, lvl) + 1) / power(2e0, lvl) * 1e5 AS cx1, lvl * 1e3 - 500 AS cy0, lvl * 1e3 + 500 AS cy1 FROM basins b JOIN streams s ON s.LINKNO = b.DN),
+parts AS (SELECT t.lake_id, t.DN, (cx1 - cx0) * (cy1 - cy0) AS own, greatest(least(cx1, xh) - greatest(cx0, xl), 0e0) * greatest(least(cy1, yh) - greatest(cy0, yl), 0e0) AS wet FROM taken t JOIN boxes b ON b.DN = t.DN JOIN wide l ON l.lake_id = t.lake_id)
+SELECT b.DN, CAST(-1 AS BIGINT) AS lake_id, 0 AS is_lake, 0e0 AS lake_area, 0e0 AS frac_lake, {SIX('sqrt((cx1 - cx0) * (cy1 - cy0))')} AS side FROM boxes b WHERE DN NOT IN (SELECT DN FROM taken)
+UNION ALL SELECT n.winner, n.lake_id, 1, {SIX('any_value(l.Lake_area) * 1e6')}, {SIX('greatest(0e0, least(1e0, sum(wet) / sum(own)))')}, {SIX('sqrt(sum(own))')} FROM parts p JOIN won n ON n.lake_id = p.lake_id JOIN lakes l ON l.lake_id = n.lake_id GROUP BY n.winner, n.lake_id""")
+def _(t):
+    """From pour points to the basins after each lake has become one unit: outlets, swallowed links, areas and shares."""
+    units = _reservoirs(t)[0]
+    return units.select("DN", "lake_id", "is_lake", six(F.col("lake_area")).alias("lake_area"), six(F.col("frac_lake")).alias("frac_lake"), six(F.sqrt("area")).alias("side"))
+
+
+@query("T6_reservoir_streams", f"""
+WITH {_POURS}, tops AS (SELECT a.lake_id, a.LINKNO AS start FROM swallowed a JOIN streams s ON s.LINKNO = a.LINKNO LEFT JOIN swallowed b ON b.lake_id = a.lake_id AND b.LINKNO = s.USLINKNO1 WHERE b.LINKNO IS NULL),
+lines AS (SELECT lake_id, start, start AS cur, 0 AS hops FROM tops UNION ALL SELECT t.lake_id, t.start, r.anc, r.hops FROM tops t JOIN reach r ON r.id = t.start),
+marks AS (SELECT y.lake_id, y.start, min(CASE WHEN s.LINKNO IS NULL THEN y.hops - 1 WHEN y.cur = n.winner THEN y.hops END) AS stop FROM lines y JOIN won n ON n.lake_id = y.lake_id LEFT JOIN swallowed s ON s.lake_id = y.lake_id AND s.LINKNO = y.cur GROUP BY y.lake_id, y.start),
+each AS (SELECT y.lake_id, y.start, sum(i.Length) AS Length, sum(i.strmDrop) AS strmDrop, min(i.DOUTEND) AS DOUTEND, arg_max(i.x0, y.hops) AS ex, arg_max(i.y0, y.hops) AS ey
+  FROM lines y JOIN streams i ON i.LINKNO = y.cur JOIN marks m ON m.lake_id = y.lake_id AND m.start = y.start WHERE m.stop IS NULL OR y.hops <= m.stop GROUP BY y.lake_id, y.start),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lake_id ORDER BY round_even(Length * 1e6, 0) DESC, start) AS k FROM each) WHERE k = 1),
+metric AS (SELECT n.winner, arg_max((b.Length, b.strmDrop, sqrt(power(s.x1 - b.ex, 2) + power(s.y1 - b.ey, 2)), b.DOUTEND), n.lake_id) AS m FROM won n JOIN best b ON b.lake_id = n.lake_id JOIN streams s ON s.LINKNO = b.start GROUP BY n.winner),
+one AS (SELECT i.LINKNO, arg_max(n.winner, n.lake_id) AS winner FROM swallowed i JOIN won n ON n.lake_id = i.lake_id GROUP BY i.LINKNO),
+unit AS (SELECT coalesce(o.winner, s.LINKNO) AS unit, s.* FROM streams s LEFT JOIN one o ON o.LINKNO = s.LINKNO),
+merged AS (SELECT unit, max(Length) AS Length, max(strmDrop) AS strmDrop, max(StraightL) AS StraightL, max(DOUTEND) AS DOUTEND, max(DSContArea) AS DSContArea, max(strmOrder) AS strmOrder, max(Slope) AS Slope FROM unit GROUP BY unit)
+SELECT u.unit AS LINKNO, coalesce(o.winner, s.DSLINKNO) AS DSLINKNO, {SIX('coalesce(m[1], u.Length)')} AS Length, {SIX('coalesce(m[2], u.strmDrop)')} AS strmDrop, {SIX('coalesce(m[3], u.StraightL)')} AS StraightL, {SIX('coalesce(m[4], u.DOUTEND)')} AS DOUTEND,
+  u.DSContArea, CAST(u.strmOrder AS BIGINT) AS strmOrder, {SIX('coalesce(m[2] / m[1], u.Slope)')} AS Slope FROM merged u JOIN streams s ON s.LINKNO = u.unit LEFT JOIN one o ON o.LINKNO = s.DSLINKNO LEFT JOIN metric m ON m.winner = u.unit""")
+def _(t):
+    """The streams after each lake's links have become its outlet link, with the lake's longest path, and all others mapped."""
+    streams = _reservoirs(t)[1]
+    rounded = [six(F.col(c)).alias(c) for c in ("Length", "strmDrop", "StraightL", "DOUTEND", "Slope")]
+    return streams.select("LINKNO", "DSLINKNO", *rounded, "DSContArea", "strmOrder")
+
+
 def _windows(t):
     """All cells of the windows of the lakes that lie within the raster, with the lake's own."""
     n = t.width()
