@@ -53,13 +53,17 @@ def jumps(key: Column, shards: int) -> Column:
 
 
 def assign(
-    docs: DataFrame, shards: int = 24, key: str = "doc_id", text: str = "text", rows_per_range: int = 20_000
+    docs: DataFrame, shards: int = 24, key: str = "doc_id", text: str = "text", rows_per_range: int = 20_000, most_ranges: int = 32_768,
 ) -> DataFrame:
-    """``docs`` without ``text`` and with size, text_crc32, law, shard, slot and grown_shard."""
+    """``docs`` without ``text`` and with size, text_crc32, law, shard, slot and grown_shard.
+
+    Slots are counted by ranges of the key, at most ``most_ranges``: their bounds go through the driver. Beyond that ranges
+    hold more rows; a task holds those of one range and shard.
+    """
     need(docs, key, text)
     made = ["size", "text_crc32", "law", "shard", "slot", "grown_shard"]
     whole = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    bounds = range_bounds(docs, key, -(-docs.count() // rows_per_range))
+    bounds = range_bounds(docs, key, min(most_ranges, -(-docs.count() // rows_per_range)))
     df = docs.select(
         F.struct(*[c for c in docs.columns if c not in (text, *made)]).alias("__doc"),
         F.col(key).alias("key"),
