@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from thalweg.functions import geometry as G
 from thalweg.functions import rules
-from thalweg.operators import network, routing, terrain
+from thalweg.operators import network, rings, routing, terrain
 from thalweg.sources import shapefile, tables
 
 
@@ -145,7 +145,7 @@ def test_pits_are_filled(spark):
 
 def test_outlines_of_a_ring_of_cells(spark):
     cells = spark.createDataFrame([(1, r, c) for r in range(3) for c in range(3) if (r, c) != (1, 1)], "label long, row int, col int")
-    got = sorted((r.sense, r.area) for r in routing.outlines(cells).select("sense", G.ring_area(F.col("vertices")).alias("area")).collect())
+    got = sorted((r.sense, r.area) for r in rings.outlines(cells).select("sense", G.ring_area(F.col("vertices")).alias("area")).collect())
     assert sorted(a for _, a in got) == [1.0, 9.0] and got[0][0] != got[1][0]
 
 

@@ -1,6 +1,6 @@
 """Merging units: attributes by rule, geometry by the cells that units cover, and reservoirs out of swallowed basins.
 
-Units are sets of cells, so a union is a relabelling: edges between cells of one label cancel (``routing.outlines``), and
+Units are sets of cells, so a union is a relabelling: edges between cells of one label cancel (``rings.outlines``), and
 areas of intersections are counts of common cells.
 """
 
@@ -12,7 +12,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import routing
+from . import rings
 
 
 def first_known(column: str, order: str) -> Column:
@@ -35,7 +35,7 @@ def merged_cells(cells: DataFrame, groups: DataFrame) -> DataFrame:
 
 def union_outlines(cells: DataFrame, groups: DataFrame) -> DataFrame:
     """(label, ring, sense, vertices) around the union of each group's units."""
-    return routing.outlines(merged_cells(cells, groups))
+    return rings.outlines(merged_cells(cells, groups))
 
 
 def cell_area(cells: DataFrame, cell: float = 1.0) -> DataFrame:

@@ -84,8 +84,8 @@ def path_folds(nodes: DataFrame, sums: Iterable[str] = (), mins: Iterable[str] =
             return result
         # ``end`` and the folds reach up to, but not including, ``ahead``
         state = reduce(DataFrame.union, [*[t.where("ahead is null") for t in tables], live])
-        next_ = state.select(F.col("id").alias("ahead"), F.struct(F.col("ahead").alias("to"), "end", "hops", *sums, *mins).alias("n"))
-        n = F.col("n")
+        next_ = state.select(F.col("id").alias("ahead"), F.struct(F.col("ahead").alias("to"), "end", "hops", *sums, *mins).alias("__n"))
+        n = F.col("__n")
         tables.append(
             settled(
                 live.join(next_, "ahead").select(

@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from ..functions import d8, rules
 from ..functions import geometry as G
-from ..operators import dissolve, network, polygons, raster, reservoirs, routing, spatial, terrain
+from ..operators import dissolve, network, polygons, raster, reservoirs, rings, routing, spatial, terrain
 from .fixtures import Tables, sql
 
 FLAGSHIP = "J2_gauges_in_lakes"
@@ -489,8 +489,8 @@ WITH u AS (SELECT DISTINCT r, c FROM mask) SELECT (SELECT count(*) FROM u) + 0e0
 def _(t):
     """One geometry of all lakes, by its rings: area less holes, and length."""
     cells = _mask(t).withColumnRenamed("lake_id", "unit")
-    rings = dissolve.union_outlines(cells, cells.select("unit", F.lit(0).cast("long").alias("label")).distinct())
-    return rings.agg(F.sum(F.col("sense") * G.ring_area(F.col("vertices"))).alias("area"), F.sum(F.size("vertices") - 1).cast("double").alias("perimeter"))
+    merged = dissolve.merged_cells(cells, cells.select("unit", F.lit(0).cast("long").alias("label")).distinct())
+    return rings.measures(merged).agg(F.sum("area").alias("area"), F.sum("perimeter").alias("perimeter"))
 
 
 @query("A3_dissolved_basins", """
@@ -1159,8 +1159,8 @@ SELECT m.lake_id AS label, count(*) + 0e0 AS area, 4e0 * count(*) - 2 * (count(a
 LEFT JOIN mask a ON a.lake_id = m.lake_id AND a.r = m.r + 1 AND a.c = m.c LEFT JOIN mask b ON b.lake_id = m.lake_id AND b.r = m.r AND b.c = m.c + 1 GROUP BY m.lake_id""")
 def _(t):
     """Rings around the lakes' cells, by the area that they enclose, holes left out, and their length."""
-    rings = routing.outlines(_mask(t).withColumnRenamed("lake_id", "label"))
-    return rings.groupBy("label").agg(F.sum(F.col("sense") * G.ring_area(F.col("vertices"))).alias("area"), F.sum(F.size("vertices") - 1).cast("double").alias("perimeter"))
+    found = rings.outlines(_mask(t).withColumnRenamed("lake_id", "label"))
+    return found.groupBy("label").agg(F.sum(F.col("sense") * G.ring_area(F.col("vertices"))).alias("area"), F.sum(F.size("vertices") - 1).cast("double").alias("perimeter"))
 
 
 _STREAMS = f"""acc AS ({_ACCUM}), s0 AS (SELECT d.r, d.c, d.tr, d.tc, d.z, a.ad8 FROM d8 d JOIN acc a ON a.r = d.r AND a.c = d.c WHERE a.ad8 >= 5),
