@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions import d8, rules
+from ..functions import d8, projections, rules
 from ..functions import geometry as G
 from ..operators import dissolve, network, polygons, raster, reservoirs, rings, routing, spatial, terrain
 from .fixtures import Tables, sql
@@ -900,6 +900,37 @@ def _(t):
     return t.stations.select("sid", rules.rounded(m["x"], 3).alias("mx"), rules.rounded(m["y"], 3).alias("my"))
 
 
+_UTM, _CONIC = projections.utm(18), projections.LambertConformal(-96.0, 23.0, 33.0, 45.0)
+#: Stations as degrees around the meridians of the projections.
+_DEGREES = "(SELECT sid, -78 + x % 6 AS lon, 25 + y % 30 AS lat, radians(25 + y % 30) AS phi FROM stations)"
+
+
+def _utm_sql() -> str:
+    e, terms = _UTM.ellipsoid.e, list(enumerate(projections.series(projections.FORWARD, _UTM.ellipsoid.n), 1))
+    x = " + ".join(["e", *[f"({c!r}) * cos({2 * j} * n) * sinh({2 * j} * e)" for j, c in terms]])
+    y = " + ".join(["n", *[f"({c!r}) * sin({2 * j} * n) * cosh({2 * j} * e)" for j, c in terms]])
+    rounded = "round_even(({0}) * 1e3, 0) / 1e3".format
+    return f"""
+SELECT sid, {rounded(f'({x}) * {_UTM.radius!r} + 5e5')} AS x, {rounded(f'({y}) * {_UTM.radius!r}')} AS y FROM (
+SELECT sid, atan2(t, cos(lam)) AS n, asinh(sin(lam) / sqrt(t * t + cos(lam) * cos(lam))) AS e FROM (
+SELECT sid, radians(lon + 75) AS lam, sinh(atanh(sin(phi)) - {e!r} * atanh({e!r} * sin(phi))) AS t FROM {_DEGREES}))"""
+
+
+@query("G14_transverse_mercator", _utm_sql())
+def _(t):
+    """Degrees to the metres of a zone."""
+    p = _UTM.forward(F.lit(-78.0) + F.col("x") % 6, F.lit(25.0) + F.col("y") % 30)
+    return t.stations.select("sid", rules.rounded(p["x"], 3).alias("x"), rules.rounded(p["y"], 3).alias("y"))
+
+
+@query("G14_lambert_conformal", f"""
+SELECT sid, round_even(rho * sin(turn) * 1e3, 0) / 1e3 AS x, round_even(({_CONIC.origin!r} - rho * cos(turn)) * 1e3, 0) / 1e3 AS y FROM (
+SELECT sid, {_CONIC.reach!r} * exp(-({_CONIC.cone!r}) * (atanh(sin(phi)) - {_CONIC.ellipsoid.e!r} * atanh({_CONIC.ellipsoid.e!r} * sin(phi)))) AS rho, {_CONIC.cone!r} * radians(lon + 96) AS turn FROM {_DEGREES})""")
+def _(t):
+    p = _CONIC.forward(F.lit(-78.0) + F.col("x") % 6, F.lit(25.0) + F.col("y") % 30)
+    return t.stations.select("sid", rules.rounded(p["x"], 3).alias("x"), rules.rounded(p["y"], 3).alias("y"))
+
+
 @query("W4_override_snapped", f"""
 SELECT lake_id, link FROM (SELECT o.lake_id, s.LINKNO AS link, row_number() OVER (PARTITION BY o.lake_id ORDER BY abs(o.x - s.LINKNO % 100), s.LINKNO) AS k
 FROM overrides o JOIN streams s ON abs(o.x - s.LINKNO % 100) <= 3e0) WHERE k = 1""")
