@@ -54,12 +54,13 @@ def accumulate(nodes: DataFrame, weight: str, most_rounds: int = 40) -> DataFram
             total = settled(parts.groupBy("id").agg(F.sum("total").cast(first.schema["total"].dataType).alias("total")))
             release(*tables)
             return total
-        gain = live.groupBy(F.col("ahead").alias("id")).agg(F.sum("total").alias("gain"))
-        jump = live.select(F.col("id").alias("ahead"), F.col("ahead").alias("next"))
-        onward = live.join(gain, "id", "left").join(jump, "ahead", "left")
-        onward = onward.select("id", F.col("next").alias("ahead"), (F.col("total") + F.coalesce("gain", F.lit(0))).alias("total"))
-        ended = gain.join(live.select("id"), "id", "left_anti")
-        tables.append(settled(onward.union(ended.select("id", F.lit(None).cast(first.schema["ahead"].dataType).alias("ahead"), F.col("gain").alias("total")))))
+        # what flows on meets what was there: no join, and the nodes that point nowhere any more have no ``ahead``
+        flows = live.union(live.select(F.col("ahead").alias("id"), F.lit(None).cast(first.schema["ahead"].dataType), "total"))
+        met = flows.groupBy("id").agg(F.max("ahead").alias("at"), F.sum("total").alias("total"))
+        jump = live.select(F.col("id").alias("key"), F.col("ahead"))
+        # nodes without an ``ahead`` aren't live, so their own id finds nothing; it keeps them apart, as nulls wouldn't be
+        onward = met.withColumn("key", F.coalesce("at", "id")).join(jump, "key", "left")
+        tables.append(settled(onward.select("id", "ahead", F.col("total").cast(first.schema["total"].dataType).alias("total"))))
     raise ValueError("the network has a cycle")
 
 

@@ -244,6 +244,20 @@ def contributing(cells: DataFrame, cols: int, check_edges: bool = False) -> Data
     return total.select(F.floor(F.col("id") / cols).cast("int").alias("row"), (F.col("id") % cols).cast("int").alias("col"), F.col("total").alias("ad8"))
 
 
+def grid_order(cells: DataFrame, cols: int) -> DataFrame:
+    """(row, col, ord): Strahler's order of each cell of the flow grid ``cells`` (row, col, fdr), 1 where no cell drains in.
+
+    Cells that flow off the grid, or nowhere, end their trees.
+    """
+    key = lambda r, c: F.col(r).cast("long") * cols + F.col(c)
+    df = flow_targets(cells).withColumn("id", key("row", "col")).withColumn("to", key("trow", "tcol"))
+    known = df.select(F.col("id").alias("to"), F.lit(True).alias("there"))
+    off = (F.col("tcol") < 0) | (F.col("tcol") >= cols) | (F.col("fdr") == 0)
+    nodes = df.join(known, "to", "left").select("id", F.when(F.col("there") & ~off, F.col("to")).alias("down"))
+    order = network.strahler(nodes)
+    return order.select(F.floor(F.col("id") / cols).cast("int").alias("row"), (F.col("id") % cols).cast("int").alias("col"), "ord")
+
+
 def snap(points: DataFrame, cells: DataFrame, most: int = 25) -> DataFrame:
     """``points`` (pt, row, col) with srow, scol, steps: the first stream cell down the flow within ``most`` steps."""
     step = flow_targets(cells).select("row", "col", "src", "fdr", "trow", "tcol")

@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from ..functions import d8, projections, rules
 from ..functions import geometry as G
-from ..operators import dissolve, network, polygons, raster, reservoirs, rings, routing, spatial, terrain
+from ..operators import centerline, dissolve, network, polygons, raster, reservoirs, rings, routing, spatial, terrain
 from .fixtures import Tables, sql
 
 FLAGSHIP = "J2_gauges_in_lakes"
@@ -857,6 +857,18 @@ def _(t):
     return df.select(F.col("row").cast("long").alias("r"), F.col("col").cast("long").alias("c"), "ad8")
 
 
+@query("E4_grid_order", """
+WITH flowing AS MATERIALIZED (SELECT a.r * a.wide + a.c AS id, b.r * b.wide + b.c AS down FROM d8 a LEFT JOIN d8 b ON a.fdr > 0 AND b.r = a.tr AND b.c = a.tc)
+SELECT CAST(floor(id / wide) AS BIGINT) AS r, id % wide AS c, ord FROM (WITH RECURSIVE f(id, ord) USING KEY (id) AS (SELECT id, 1 FROM flowing
+  UNION SELECT id, new FROM (SELECT x.id, o.ord, list(k.ord) AS ords, list_max(ords) + CASE WHEN len(list_filter(ords, lambda v : v = list_max(ords))) > 1 THEN 1 ELSE 0 END AS new
+    FROM (SELECT DISTINCT n.down AS id FROM f JOIN flowing n ON n.id = f.id WHERE n.down IS NOT NULL) x JOIN flowing m ON m.down = x.id
+    JOIN recurring.f k ON k.id = m.id JOIN recurring.f o ON o.id = x.id GROUP BY x.id, o.ord) WHERE new > ord)
+  SELECT id, ord FROM f), (SELECT max(wide) AS wide FROM grid)""")
+def _(t):
+    """Orders of the cells of the flow grid, whose trees are as irregular as its heights."""
+    return _named_cells(raster.grid_order(raster.steepest(t.cells()), t.width()), "ord")
+
+
 @query("E5_stream_threshold", f"SELECT CASE WHEN ad8 >= 5 THEN 1 ELSE 0 END AS src, count(*) AS n FROM ({_ACCUM}) GROUP BY 1")
 def _(t):
     df = raster.contributing(raster.steepest(t.cells()), t.width())
@@ -1047,13 +1059,35 @@ def _windows(t):
     return at.join(inside, ["lake_id", "row", "col"], "left").select("lake_id", "row", "col", "fdr", F.col("basin").alias("w"), F.coalesce("inside", F.lit(False)).alias("inside"))
 
 
+def _routed(t):
+    windows = _windows(t)
+    shore = raster.shoreline(windows.where("inside").select("lake_id", "row", "col"))
+    target = shore.groupBy("lake_id").agg(F.max(F.struct("row", "col")).alias("b")).select("lake_id", F.col("b.row").alias("trow"), F.col("b.col").alias("tcol"))
+    return windows, target, centerline.route_lakes(windows, target)
+
+
 @query("R11_centre_line_routing")
 def _(t):
     """Edits of the flow directions of all lakes, each along its centre line to an outlet on its shore."""
-    windows = _windows(t)
-    shore = raster.shoreline(windows.where("inside").select("lake_id", "row", "col"))
-    target = shore.groupBy("lake_id").agg(F.max(F.struct("row", "col")).alias("b"))
-    return _named(routing.route_lakes(windows, target.select("lake_id", F.col("b.row").alias("trow"), F.col("b.col").alias("tcol"))), "new_fdr")
+    return _named(_routed(t)[2], "new_fdr")
+
+
+@query("R11_paths_to_outlets", """
+SELECT m.lake_id, count(*) AS n, count(*) AS n_to_outlet, CAST(max(m.r * 100000 + m.c) AS BIGINT) AS outlet FROM mask m JOIN lakes l ON l.lake_id = m.lake_id, (SELECT max(wide) AS w FROM grid)
+WHERE floor(cx - hw) >= 0 AND floor(cy - hw) >= 0 AND ceil(cx + hw) + 1 <= w AND ceil(cy + hw) + 1 <= w GROUP BY m.lake_id""")
+def _(t):
+    """What must hold of routed lakes: from every cell the flow stays in the lake until it is at the outlet, without a ring."""
+    windows, target, edits = _routed(t)
+    inside = windows.where("inside").select("lake_id", "row", "col", "fdr").join(edits, ["lake_id", "row", "col"], "left")
+    inside = inside.withColumn("fdr", F.coalesce("new_fdr", "fdr")).join(target, "lake_id")
+    at = lambda r, c: F.struct("lake_id", F.col(r).alias("row"), F.col(c).alias("col"))
+    flows = raster.flow_targets(inside.withColumnsRenamed({"trow": "orow", "tcol": "ocol"}))
+    on = F.when((F.col("row") != F.col("orow")) | (F.col("col") != F.col("ocol")), at("trow", "tcol"))
+    ends = network.path_folds(flows.select(at("row", "col").alias("id"), on.alias("down")))
+    done = ends.select("id.lake_id", F.col("end.row").alias("row"), F.col("end.col").alias("col")).join(target, "lake_id")
+    hit = (F.col("row") == F.col("trow")) & (F.col("col") == F.col("tcol"))
+    outlet = F.max(F.col("trow").cast("long") * 100000 + F.col("tcol")).alias("outlet")
+    return done.groupBy("lake_id").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(hit, 1)).alias("n_to_outlet"), outlet)
 
 
 def _lake_exits(t):
