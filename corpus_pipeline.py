@@ -1,4 +1,8 @@
-"""The corpus pipeline: five stages over ``documents``, each written as Parquet and read again by the next."""
+"""The corpus pipeline: five stages over ``documents``, each written as Parquet and read again by the next.
+
+In every stage a null text is empty, null languages and sources are groups of their own, rows with equal or null ids are
+documents of their own, further columns pass through whatever their names, and an empty table gives an empty one.
+"""
 
 from __future__ import annotations
 
@@ -16,28 +20,29 @@ LEAST_SCORE = 0.5
 
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier doesn't reject."""
+    """Documents that the classifier doesn't reject; empty ones have a score like others. Ids without a label or null ones are
+    only scored. Without labels of both classes the prior alone decides."""
     learn = F.coalesce(crc_mod(F.col("doc_id"), 4) != 2, F.lit(True))
     return quality_classifier.accepted(docs, table(spark, sf_dir, "labels"), learn, LEAST_SCORE)
 
 
 def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and are no outliers of their language and source."""
+    """Documents that pass the base rules and are no outliers of their language and source; empty ones fail (too few words)."""
     return quality_rules.passing(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the least id, of each group of similar ones."""
+    """One document, that of the least id, of each group of similar ones; all without words stay, as they are like nothing."""
     return jaccard_join.deduplicated(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, in training order; the last of a source may be cut."""
+    """Whole documents as often as the mix takes them, in training order; those without words are never taken."""
     return mixing.training_order(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row for each piece of a document in a sequence of at most 1024 tokens."""
+    """One row for each piece of a document in a sequence of at most 1024 tokens; an empty one is its separator."""
     return packing.pack_documents(docs, byte_bpe())
 
 
