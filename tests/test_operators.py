@@ -57,6 +57,9 @@ def test_phantom_chain_is_absorbed(spark):
         [(1, 2, 10.0, 1.0, 50.0, 9.0), (2, 3, 5.0, 1.0, 40.0, 8.0), (3, 4, 2.0, 1.0, 60.0, 7.0), (4, -1, 1.0, 0.0, 70.0, 6.0)],
         "LINKNO long, DSLINKNO long, Length double, strmDrop double, DSContArea double, DOUTEND double",
     )
+    at = lambda x: F.struct(x.cast("double").alias("x"), F.lit(0.0).alias("y"))
+    line = F.array(at(-F.col("LINKNO") - 1), at(-F.col("LINKNO")))
+    streams = streams.withColumns({"line": line, "DOUTSTART": F.col("DOUTEND") + F.col("Length")})
     basins = spark.createDataFrame([(1,), (4,)], "DN long")
     got = {r.LINKNO: r for r in network.bypass_phantoms(streams, basins).collect()}
     assert (got[1].DSLINKNO, got[1].Length, got[1].DSContArea, got[1].DOUTEND, got[1].n_absorbed) == (4, 17.0, 40.0, 7.0, 2)
