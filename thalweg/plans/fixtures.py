@@ -92,7 +92,7 @@ ORACLE_CTES = CTES | {
 }
 
 #: What DuckDB is to compute once.
-ONCE = ("mask", "drops", "d8", "shore")
+ONCE = ("grid", "mask", "drops", "d8", "shore")
 
 
 def sql(query: str) -> str:
@@ -135,7 +135,9 @@ class Tables:
         return self.grid.select(*cols, "z", "src", "fac", "w")
 
     def width(self) -> int:
-        return self.spark.sql(f"SELECT {W} AS w").first()["w"]
+        if "width_" not in self.__dict__:
+            self.__dict__["width_"] = self.spark.sql(f"SELECT {W} AS w").first()["w"]
+        return self.__dict__["width_"]
 
     def lake_rings(self) -> DataFrame:
         v = lambda sx, sy: F.struct((F.col("cx") + sx * F.col("hw")).alias("x"), (F.col("cy") + sy * F.col("hw")).alias("y"))

@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from ..functions import d8, projections, rules
 from ..functions import geometry as G
 from ..operators import centerline, dissolve, network, polygons, raster, reservoirs, rings, routing, spatial, terrain
+from ..operators.store import settled
 from .fixtures import Tables, sql
 
 FLAGSHIP = "J2_gauges_in_lakes"
@@ -704,12 +705,19 @@ def _(t):
 # ---- raster -----------------------------------------------------------------------------------------------------
 
 
+def _once(t, name, make):
+    """A table of this query, written when it is first asked for."""
+    if name not in t.__dict__:
+        t.__dict__[name] = settled(make())
+    return t.__dict__[name]
+
+
 def _mask(t):
-    return raster.burn(t.lake_rings(), t.width(), t.width())
+    return _once(t, "mask_", lambda: raster.burn(t.lake_rings(), t.width(), t.width()))
 
 
 def _flows(t):
-    return raster.steepest(t.cells()).join(t.cells().drop("z"), ["row", "col"])
+    return _once(t, "flows_", lambda: raster.steepest(t.cells()).join(t.cells().drop("z"), ["row", "col"]))
 
 
 def _named(df, *more):
@@ -757,8 +765,8 @@ def _(t):
 
 
 @query("R5_exit_cells", """
-SELECT s.lake_id, s.r, s.c FROM shore s JOIN d8 g ON g.r = s.r AND g.c = s.c LEFT JOIN mask m ON m.lake_id = s.lake_id AND m.r = g.tr AND m.c = g.tc
-WHERE g.src = 1 AND m.r IS NULL""")
+SELECT s.lake_id, s.r, s.c FROM shore s JOIN d8 g ON g.r = s.r AND g.c = s.c
+WHERE g.src = 1 AND NOT EXISTS (SELECT 1 FROM mask m WHERE m.lake_id = s.lake_id AND m.r = g.tr AND m.c = g.tc)""")
 def _(t):
     mask = _mask(t)
     return _named(raster.exits(raster.shoreline(mask), mask, _flows(t)))
