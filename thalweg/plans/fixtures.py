@@ -97,10 +97,10 @@ ONCE = ("grid", "mask", "drops", "d8", "shore")
 
 def sql(query: str) -> str:
     """The query for DuckDB, with the expressions that it names."""
-    return _with(ORACLE_CTES, query)
+    return _with(ORACLE_CTES, query, ONCE)
 
 
-def _with(ctes: dict[str, str], query: str) -> str:
+def _with(ctes: dict[str, str], query: str, once: tuple[str, ...] = ()) -> str:
     names = list(ctes)
     used: set[str] = set()
     todo = [query]
@@ -110,7 +110,7 @@ def _with(ctes: dict[str, str], query: str) -> str:
             if name not in used and re.search(rf"\b{name}\b", text):
                 used.add(name)
                 todo.append(ctes[name])
-    kind = lambda n: "AS MATERIALIZED" if n in ONCE else "AS"
+    kind = lambda n: "AS MATERIALIZED" if n in once else "AS"
     parts = ", ".join(f"{n} {kind(n)} ({ctes[n]})" for n in names if n in used)
     lead = query.lstrip()
     if lead.upper().startswith("WITH "):

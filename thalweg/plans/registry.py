@@ -969,7 +969,7 @@ def _(t):
     return raster.edits(before, after).select(F.col("row").cast("long").alias("r"), F.col("col").cast("long").alias("c"), "new_fdr")
 
 
-_SWALLOWED = "SELECT LINKNO % 25 AS lake_id, LINKNO FROM streams WHERE LINKNO <= 91"
+_SWALLOWED = "SELECT LINKNO % 25 AS lake_id, LINKNO FROM streams WHERE sz >= 20"
 
 
 @query("T7_reservoir_basins", f"""
@@ -982,7 +982,7 @@ FROM basins b LEFT JOIN (SELECT w, count(*) AS n FROM grid WHERE w > 0 GROUP BY
 UNION ALL SELECT w.LINKNO, w.lake_id, 1, {SIX('coalesce(l.Lake_area, 0e0) * 1e6')}, {SIX('coalesce(a.wet / (a.n + 0e0), 0e0)')}, CAST(coalesce(a.n, 0) AS BIGINT)
 FROM (SELECT DISTINCT lake_id FROM taken) t JOIN winner w ON w.lake_id = t.lake_id LEFT JOIN lakes l ON l.lake_id = w.lake_id LEFT JOIN area a ON a.lake_id = w.lake_id""")
 def _(t):
-    internal = t.streams.where("LINKNO <= 91").select((F.col("LINKNO") % 25).alias("lake_id"), "LINKNO")
+    internal = t.streams.where("sz >= 20").select((F.col("LINKNO") % 25).alias("lake_id"), "LINKNO")
     winners = internal.groupBy("lake_id").agg(F.min("LINKNO").alias("LINKNO"))
     df = dissolve.reservoir_basins(t.basins, _basin_cells(t), internal, winners, _mask(t), t.lakes)
     return df.withColumns({"lake_area": six(F.col("lake_area")), "frac_lake": six(F.col("frac_lake"))})
