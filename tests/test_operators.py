@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from thalweg.functions import geometry as G
 from thalweg.functions import rules
-from thalweg.operators import network, rings, routing, terrain
+from thalweg.operators import network, raster, rings, routing, terrain
 from thalweg.sources import shapefile, tables
 
 
@@ -139,6 +139,14 @@ def test_aggregation_keeps_protected_units():
     assert sums.sum() == tree.unit.sum() and len(sums) < n
 
 
+def test_lookups_with_defaults(spark):
+    cells = spark.createDataFrame([(0, 0, 5, "x"), (0, 1, None, "y"), (0, 2, 9, "z")], "row int, col int, w long, area string")
+    links = spark.createDataFrame([(5, 50, None), (5, 51, 2.0), (None, 1, 1.0)], "w long, link long, area double")
+    got = raster.lookup(cells, "w", links, {"link": -1, "area": float("inf")}).orderBy("col")
+    assert got.columns == ["row", "col", "w", "link", "area"]
+    assert [tuple(r)[2:] for r in got.collect()] == [(5, 51, 2.0), (None, -1, float("inf")), (9, -1, float("inf"))]
+
+
 def test_pits_are_filled(spark):
     z = [[9, 9, 9, 9], [9, 1, 2, 9], [9, 9, 5, 9], [9, 9, 4, 9]]
     cells = spark.createDataFrame([(r, c, float(h)) for r, row in enumerate(z) for c, h in enumerate(row)], "row int, col int, z double")

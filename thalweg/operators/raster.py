@@ -49,6 +49,15 @@ def sample(points: DataFrame, cells: DataFrame, band: str) -> DataFrame:
     return df.withColumn(band, F.coalesce("__v", F.lit(-1))).drop("__v")
 
 
+def lookup(rows: DataFrame, key: str, table: DataFrame, defaults: dict[str, float]) -> DataFrame:
+    """``rows`` with the columns that ``defaults`` names of the row of ``table`` that has their ``key``, or the defaults where
+    there is none or its value is null. Of several rows of a key those of the greatest values count; null keys find none."""
+    one = table.groupBy(key).agg(F.max(F.struct(*defaults)).alias("__found"))
+    kept = [c for c in rows.columns if c not in defaults]
+    found = [F.coalesce(F.col("__found")[c], F.lit(v).cast(table.schema[c].dataType)).alias(c) for c, v in defaults.items()]
+    return rows.join(one, key, "left").select(*kept, *found)
+
+
 def burn(polygons: DataFrame, rows: int, cols: int, band: int = 256) -> DataFrame:
     """(lake_id, row, col) of each cell whose closed square meets the polygon, in cell units (x column, y row).
 

@@ -823,6 +823,17 @@ def _(t):
     return merged.select(F.col("row").cast("long").alias("r"), F.col("col").cast("long").alias("c"), "fdr")
 
 
+@query("J12_links_of_cells", """
+SELECT g.r, g.c, coalesce(s.LINKNO, -1) AS link_no, CASE WHEN s.DOUTEND IS NULL THEN 'none' ELSE CAST(CAST(s.DOUTEND AS BIGINT) AS VARCHAR) END AS doutend, coalesce(s.DSContArea, 0e0) AS dscontarea
+FROM grid g LEFT JOIN streams s ON s.WSNO = g.w""")
+def _(t):
+    """The link of each cell by its basin and that link's attributes: -1, infinity and 0 where there is none."""
+    links = t.streams.select(F.col("WSNO").alias("w"), "LINKNO", "DOUTEND", "DSContArea")
+    df = raster.lookup(t.cells(), "w", links, {"LINKNO": -1, "DOUTEND": float("inf"), "DSContArea": 0.0})
+    out = F.when(F.col("DOUTEND") == float("inf"), "none").otherwise(F.col("DOUTEND").cast("long").cast("string"))
+    return _named_cells(df, F.col("LINKNO").alias("link_no"), out.alias("doutend"), F.col("DSContArea").alias("dscontarea"))
+
+
 @query("A9_common_basin", "SELECT lake_id, arg_min(w, (-n, w)) AS value, max(n) AS n FROM (SELECT lake_id, w, count(*) AS n FROM mask m JOIN grid g ON g.r = m.r AND g.c = m.c WHERE w > 0 GROUP BY lake_id, w) GROUP BY lake_id")
 def _(t):
     return raster.common_value(_mask(t), t.cells(), "w")
