@@ -153,7 +153,7 @@ def fill_pits(heights: DataFrame, size: int = 64) -> DataFrame:
     out = outer.select(own.alias("a"), F.lit(OUTSIDE).cast("long").alias("b"), F.col("z").alias("level"))
     levels = spill_levels(within.union(joins).union(out))
     found = flooded.where("not pass").select("row", "col", "z", other.alias("id")).join(levels, "id")
-    filled = settled(found.select("row", "col", F.greatest("z", "level").alias("z")))
+    filled = settled(found.select("row", "col", F.greatest("z", "level").alias("z")), plain=True)
     release(flooded, across, levels)
     return filled
 
@@ -201,7 +201,8 @@ def flat_distances(flats: DataFrame, size: int = 64) -> DataFrame:
     columns = [x.split()[0] for x in kinds.split(", ")]
     state = settled(
         flats.select(_tile("row", size).alias("trow"), _tile("col", size).alias("tcol"), "row", "col", F.col("z").cast("double").alias("z"),
-                     F.col("low").cast("long").alias("low"), F.col("away").cast("long").alias("away"), F.lit(True).alias("changed"))
+                     F.col("low").cast("long").alias("low"), F.col("away").cast("long").alias("away"), F.lit(True).alias("changed")),
+        plain=True,
     )
     first = True
     while True:
@@ -218,10 +219,10 @@ def flat_distances(flats: DataFrame, size: int = 64) -> DataFrame:
         every = state.withColumn("halo", F.lit(False)).unionByName(halo.withColumn("halo", F.lit(True)))
         worked = every.join(active, ["trow", "tcol"], "left_semi").groupBy("trow", "tcol").applyInPandas(_relaxed, kinds)
         rest = state.join(active, ["trow", "tcol"], "left_anti").withColumn("changed", F.lit(False))
-        new = settled(worked.select(*columns).union(rest.select(*columns)))
+        new = settled(worked.select(*columns).union(rest.select(*columns)), plain=True)
         release(state, active)
         state, first = new, False
-    result = settled(state.select("row", "col", "low", "away"))
+    result = settled(state.select("row", "col", "low", "away"), plain=True)
     release(state)
     return result
 
@@ -236,24 +237,24 @@ def directions(heights: DataFrame, size: int = 64) -> DataFrame:
     which drain off it, and in depressions; filled heights have none.
     """
     heights = heights.where("z is not null").select("row", "col", F.col("z").cast("double").alias("z"))
-    there = heights.select(F.col("row").alias("nrow"), F.col("col").alias("ncol"), F.col("z").alias("nz"))
-    near = d8.neighbours(heights).join(there, ["nrow", "ncol"])
-    whole = near.groupBy("row", "col").agg(F.count(F.lit(1)).alias("n"), F.max("nz").alias("most"))
-    flows = settled(raster.steepest(heights).join(heights, ["row", "col"]).join(whole, ["row", "col"], "left"))
+    near = d8.with_around(heights, F.col("z"))
+    beyond = [F.col(f"n{code}") for code, *_ in d8.OFFSETS]
+    n = sum((F.when(z.isNull(), 0).otherwise(1) for z in beyond), F.lit(0)).alias("n")
+    flows = settled(near.select("row", "col", "z", raster.downhill().alias("fdr"), n, F.greatest(*beyond).alias("most")), plain=True)
     still = flows.where("fdr = 0 and n = 8")
-    drains = flows.where("fdr > 0 or n is null or n < 8").select(F.col("row").alias("nrow"), F.col("col").alias("ncol"), F.col("z").alias("nz"))
+    drains = flows.where("fdr > 0 or n < 8").select(F.col("row").alias("nrow"), F.col("col").alias("ncol"), F.col("z").alias("nz"))
     beside = d8.neighbours(still.select("row", "col", "z")).join(drains, ["nrow", "ncol"]).where("z = nz")
-    outlets = settled(beside.groupBy("row", "col").agg(F.min("code").alias("code")))
+    outlets = settled(beside.groupBy("row", "col").agg(F.min("code").alias("code")), plain=True)
     starts = still.join(outlets, ["row", "col"], "left").select(
         "row", "col", "z", F.when(F.col("code").isNotNull(), 1).alias("low"), F.when(F.col("most") > F.col("z"), 1).alias("away")
     )
     far = flat_distances(starts, size)
     over = 2 * F.col("low") - F.coalesce("away", F.lit(0))
-    ranked = settled(starts.select("row", "col", "z").join(far, ["row", "col"]).where("low is not null").select("row", "col", "z", "low", over.alias("over")))
+    ranked = settled(starts.select("row", "col", "z").join(far, ["row", "col"]).where("low is not null").select("row", "col", "z", "low", over.alias("over")), plain=True)
     other = ranked.select(F.col("row").alias("nrow"), F.col("col").alias("ncol"), F.col("z").alias("nz"), F.col("over").alias("nover"))
     ways = d8.neighbours(ranked.where("low > 1")).join(other, ["nrow", "ncol"]).where("z = nz and nover < over")
     inner = ways.groupBy("row", "col").agg(F.min(F.struct("nover", "code")).alias("way")).select("row", "col", F.col("way.code").alias("code"))
     found = outlets.union(inner).withColumnRenamed("code", "flat")
-    result = settled(flows.select("row", "col", "fdr").join(found, ["row", "col"], "left").select("row", "col", F.coalesce("flat", "fdr").cast("int").alias("fdr")))
+    result = settled(flows.select("row", "col", "fdr").join(found, ["row", "col"], "left").select("row", "col", F.coalesce("flat", "fdr").cast("int").alias("fdr")), plain=True)
     release(flows, outlets, far, ranked)
     return result
