@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from thalweg.functions import d8
-from thalweg.operators import raster
+from thalweg.operators import raster, spatial
 from thalweg.operators.store import settled
 
 
@@ -34,3 +34,13 @@ def test_shoreline_and_arrivals(spark):
 def test_steepest_drop_over_a_gap(spark):
     cells = spark.createDataFrame([(0, 1, 5.0), (1, 0, 9.0), (2, 1, 1.0)], "row int, col int, z double")
     assert {(r.row, r.col): r.fdr for r in raster.steepest(cells).collect()} == {(0, 1): 0, (1, 0): 8, (2, 1): 0}
+
+
+def test_narrow_lines_gather_only_points_beside_them(spark):
+    at = lambda x, y: F.struct(x.cast("double").alias("x"), F.lit(y).alias("y"))
+    lines = spark.range(2000).select(F.col("id").alias("LINKNO"), F.array(at(F.col("id"), 0.0), at(F.col("id"), 1000.0)).alias("line"))
+    points = spark.range(0, 2000, 10).select(F.col("id").alias("pt"), at(F.col("id"), 500.0).alias("p"))
+    assert spatial._fitted(points, lines, 5.0, 5000.0).count() < 200 * 60
+    near = spatial.lines_near_points(points, lines, "pt", 5.0, 5000.0)
+    assert near.groupBy("pt", "LINKNO").count().where("count > 1").isEmpty()
+    assert near.count() == sum(0 <= x < 2000 for p in range(0, 2000, 10) for x in range(p - 5, p + 6))
