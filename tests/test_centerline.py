@@ -5,7 +5,9 @@ import random
 import numpy as np
 import pytest
 
-from thalweg.operators import centerline, routing
+from pyspark.sql import functions as F
+
+from thalweg.operators import centerline, raster, routing
 
 
 def blob(rng, rows, cols):
@@ -66,3 +68,43 @@ def test_routes_over_tiles(spark, lakes, size):
         new = routing.route(mask, fdr, target, True)
         want += [(k, r + r0, c + c0, int(new[r, c])) for r, c in np.argwhere(new != fdr).tolist()]
     assert got == sorted(want)
+
+
+def test_windows_are_dealt_out_by_tiles(spark):
+    """A generator's rows are unknown to the planner: cells of windows must not be what it broadcasts."""
+    cells = spark.range(300 * 300).select((F.col("id") / 300).cast("int").alias("row"), (F.col("id") % 300).cast("int").alias("col"), "id")
+    boxes = [(1, (3, 60, 200, 130)), (2, (0, 0, 1, 1)), (3, (64, 64, 64, 64)), (4, (290, 290, 10, 10))]
+    values = ", ".join(f"({k}L, named_struct('xoff', {x}, 'yoff', {y}, 'xsize', {n}, 'ysize', {m}))" for k, (x, y, n, m) in boxes)
+    windows = spark.sql(f"SELECT * FROM VALUES {values} AS t(lake_id, w)")  # of a size that the planner knows
+    got = raster.window_cells(windows, cells)
+    assert {tuple(r) for r in got.select("lake_id", "row", "col", "id").collect()} == {
+        (k, r, c, r * 300 + c) for k, (x, y, n, m) in boxes for r in range(y, y + m) for c in range(x, x + n)
+    }
+    assert 0 < sum(_broadcasts(got)) < 100
+
+
+def _broadcasts(df):
+    """Rows of each broadcast of a plan, which it runs."""
+    df.collect()
+    plan, found = [df._jdf.queryExecution().executedPlan()], []
+    while plan:
+        p = plan.pop()
+        if "BroadcastExchange" in p.nodeName():
+            found.append(p.metrics().apply("numOutputRows").value())
+        plan += [p.finalPhysicalPlan()] if p.nodeName().startswith("AdaptiveSparkPlan") else [p.plan()] if "QueryStage" in p.nodeName() else []
+        plan += [p.children().apply(i) for i in range(p.children().size())]
+    return found
+
+
+def test_edited_lakes_over_tiles(spark, lakes):
+    windows, _ = table(spark, lakes)
+    windows = windows.withColumn("w", ((F.col("col") / 9).cast("int") + 1))
+    rows, kinds = [], {0: routing.CARVED, 1: routing.DIRECT, 2: routing.SNAPPED, 7: routing.CARVED, 8: routing.NO_SHORE}
+    for k, (mask, _, (r0, c0), target) in lakes.items():
+        shore = tuple(int(x) for x in np.argwhere(mask)[-1] + (r0, c0)) if k != 8 else (None, None)
+        rows.append((k, kinds[k], *shore, 9, target[0] + r0, target[1] + c0, 5))
+    plans = spark.createDataFrame(rows, "lake_id long, try_ string, trow int, tcol int, link_no long, arow int, acol int, alink long")
+    want = {r.lake_id: r for r in routing.edit_lakes(windows, plans).collect()}
+    outlets, edits = centerline.edit_lakes(windows, plans, size=16)
+    assert {r.lake_id: tuple(r) for r in outlets.collect()} == {k: tuple(r)[:5] for k, r in want.items()}
+    assert sorted(map(tuple, edits.collect())) == sorted((k, *e) for k, r in want.items() for e in r.edits)
