@@ -1,5 +1,8 @@
 """Tables of cells: neighbours without multiplying rows, and sizes that joins are planned by."""
 
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from thalweg.functions import d8
@@ -44,3 +47,36 @@ def test_narrow_lines_gather_only_points_beside_them(spark):
     near = spatial.lines_near_points(points, lines, "pt", 5.0, 5000.0)
     assert near.groupBy("pt", "LINKNO").count().where("count > 1").isEmpty()
     assert near.count() == sum(0 <= x < 2000 for p in range(0, 2000, 10) for x in range(p - 5, p + 6))
+
+
+def test_accumulation_within_tiles_first(spark, monkeypatch):
+    """Over the whole grid only the last cells of ways in a tile are accumulated by joins, not all cells."""
+    rng, n = random.Random(4), 31
+    step = {code: (dr, dc) for code, dr, dc in d8.OFFSETS}
+    high = {(r, c): rng.random() + (r + c) / 9 for r in range(n) for c in range(n) if rng.random() < 0.97}
+    fdr, to = {}, {}
+    for r, c in high:
+        near = [(high[k], code, k) for code, dr, dc in d8.OFFSETS if (k := (r + dr, c + dc)) in high and high[k] < high[r, c]]
+        fdr[r, c], to[r, c] = rng.choice(near)[1:] if near else (rng.choice([0, 3]), None)
+        if to[r, c] is None and fdr[r, c] and (r - 1, c) in high:
+            fdr[r, c] = 0
+    want, edge = {}, {}
+    for k in high:
+        rim = sum((k[0] + dr, k[1] + dc) in high for dr, dc in step.values()) < 8
+        at = k
+        while at is not None:
+            want[at], edge[at] = want.get(at, 0) + 1, edge.get(at, False) or rim
+            at = to[at]
+    sizes, all_ = [], raster.network.accumulate
+    monkeypatch.setattr(raster.network, "accumulate", lambda nodes, *a, **b: (sizes.append(nodes.count()), all_(nodes, *a, **b))[1])
+    cells = spark.createDataFrame([(*k, v) for k, v in fdr.items()], "row int, col int, fdr int")
+    got = {(r.row, r.col): r.ad8 for r in raster.contributing(cells, n, size=8).collect()}
+    assert got == want and sizes[0] < len(high) / 2
+    clear = {(r.row, r.col): r.ad8 for r in raster.contributing(cells, n, check_edges=True, size=8).collect()}
+    assert clear == {k: None if edge[k] else v for k, v in want.items()}
+
+
+def test_accumulation_refuses_rings(spark):
+    cells = spark.createDataFrame([(1, 1, 1), (1, 2, 5), (2, 2, 3)], "row int, col int, fdr int")
+    with pytest.raises(ValueError, match="cycle"):
+        raster.contributing(cells, 4)
