@@ -80,3 +80,18 @@ def test_accumulation_refuses_rings(spark):
     cells = spark.createDataFrame([(1, 1, 1), (1, 2, 5), (2, 2, 3)], "row int, col int, fdr int")
     with pytest.raises(ValueError, match="cycle"):
         raster.contributing(cells, 4)
+
+
+def test_walk_ends_within_tiles_first(spark, monkeypatch):
+    rng, n = random.Random(6), 25
+    down = {i: None if rng.random() < 0.03 else rng.choice([i + 1, i + n, i + n + 1]) for i in range(n * n) if rng.random() < 0.98}
+    sizes, all_ = [], raster.network.path_folds
+    monkeypatch.setattr(raster.network, "path_folds", lambda nodes, *a, **b: (sizes.append(nodes.count()), all_(nodes, *a, **b))[1])
+    got = raster.walk_ends(spark.createDataFrame(list(down.items()), "id long, down long"), n, size=8).collect()
+
+    def end(i):
+        while down[i] in down:
+            i = down[i]
+        return i
+
+    assert {r.row * n + r.col: r.end for r in got} == {i: end(i) for i in down} and sizes[0] < len(down) / 2
