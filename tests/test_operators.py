@@ -216,3 +216,10 @@ def test_pits_across_tiles(spark):
     got = terrain.fill_pits(spark.createDataFrame(cells, "row int, col int, z double"), 8).collect()
     assert len(got) == n * n
     assert all(x.z == want[x.row, x.col] for x in got)
+
+
+def test_closure_writes_each_pair_once(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(network, "settled", lambda df, *a, **k: written.append(df.count()) or df.localCheckpoint())
+    found = network.closure(network.edges(links(spark, [(i, i + 1) for i in range(1, 40)])))
+    assert sum(written) == found.count() == 39 * 40 // 2
