@@ -242,6 +242,21 @@ def test_parts_give_what_whole_trees_do(spark, seed):
     assert math.isclose(sum(r.unit for r in out), sum(u[2] for u in units))
 
 
+def test_no_task_takes_a_part_of_a_network(spark, monkeypatch):
+    """One part, with units of no area and so of equal upstream areas: groups come from joins and stems, not from a kernel over all."""
+    monkeypatch.setattr(routing, "aggregate_tree", None)
+    rng = random.Random(5)
+    tree = random_units(rng, 80)
+    units = units_of({i: d if d > 0 else None for i, d, *_ in tree}, {u[0]: rng.choice([0, u[2]]) for u in tree}, {u[0]: 2 for u in tree[1::9]})
+    monkeypatch.setattr("pyspark.sql.GroupedData.applyInPandas", None)
+    df, got, how = groups_of(spark, units)
+    rows = got.collect()
+    monkeypatch.undo()
+    states = routing.aggregate_tree(pd.DataFrame(units, columns=["id", "down", "unit", "uparea", "mask"]))
+    stop = next((k for k in range(1, len(states)) if states[k][0] == states[k - 1][0]), len(states) - 1)
+    assert {r.id: (r.agg, r.aggdown) for r in rows} == {i: (g, states[stop][2][i]) for i, g in states[stop][1].items()}
+
+
 def test_stream_network_of_a_small_grid(spark):
     """Two heads that meet, then run on: three links."""
     east, south = 1, 7
