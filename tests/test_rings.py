@@ -57,3 +57,16 @@ def test_no_cells_and_one(spark):
     one = rings.outlines(df).collect()
     assert [(r.label, r.sense, [(v.y, v.x) for v in r.vertices]) for r in one] == [(5, 1, [(2, 3), (2, 4), (3, 4), (3, 3), (2, 3)])]
     assert rings.outlines(df.where("false")).count() == 0 and rings.measures(df.where("false")).count() == 0
+
+
+def test_cells_are_dealt_out_by_their_number(spark, monkeypatch):
+    """However well cells in order shrink, tasks hold a bounded number of them; and no cell gets a row for each side."""
+    from thalweg.operators import store
+
+    assert [store.tasks(n) for n in (0, 499_999, 500_000, 7_000_000)] == [1, 1, 2, 15]
+    monkeypatch.setattr(rings, "tasks", lambda n: 7)
+    square = spark.createDataFrame([(1, r, c) for r in range(30) for c in range(30)], "label long, row int, col int")
+    made = []
+    monkeypatch.setattr(rings, "settled", lambda df, plain=False: made.append(df) or df)
+    assert rings.boundary_edges(square).count() == 120
+    assert made[0].rdd.getNumPartitions() == 7 and made[0].count() == 120
