@@ -70,3 +70,20 @@ def test_cells_are_dealt_out_by_their_number(spark, monkeypatch):
     monkeypatch.setattr(rings, "settled", lambda df, plain=False: made.append(df) or df)
     assert rings.boundary_edges(square).count() == 120
     assert made[0].rdd.getNumPartitions() == 7 and made[0].count() == 120
+
+
+def test_units_are_dealt_out_by_their_number(spark, monkeypatch):
+    from thalweg.operators import dissolve
+
+    monkeypatch.setattr(dissolve, "tasks", lambda n: 7)
+    cells = spark.createDataFrame([(u, r, c) for u in (1, 2) for r in range(9) for c in range(4)], "unit long, row int, col int")
+    made = []
+    monkeypatch.setattr(dissolve, "settled", lambda df, plain=False: made.append(df) or df)
+    groups = cells.select("unit").distinct().selectExpr("unit", "0L as label")
+    assert dissolve.merged_cells(cells, groups).count() == 36 and made[0].rdd.getNumPartitions() == 7
+    links = spark.createDataFrame([(5, 1), (5, 2)], "lake_id long, LINKNO long")
+    mask, lakes = cells.where("unit = 1").selectExpr("5L as lake_id", "row", "col"), spark.createDataFrame([(5, 2.0)], "lake_id long, Lake_area double")
+    basins = spark.createDataFrame([(1,), (2,), (3,)], "DN long")
+    df = dissolve.reservoir_basins(basins, cells.withColumnRenamed("unit", "DN"), links, links.where("LINKNO = 1"), mask, lakes)
+    assert {(r.DN, r.lake_id, r.frac_lake, r.n_cells) for r in df.collect()} == {(1, 5, 1.0, 36), (3, -1, 0.0, 0)}
+    assert df._jdf.queryExecution().toString().count(", 7), REPARTITION_BY_NUM") >= 2
