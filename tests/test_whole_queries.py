@@ -2,10 +2,11 @@
 
 import math
 
+import duckdb
 import pytest
 
 from thalweg.plans import registry
-from thalweg.plans.fixtures import Tables
+from thalweg.plans.fixtures import TABLES, Tables
 
 SF = "/root/testdata/sf0.001"
 
@@ -57,3 +58,16 @@ def test_points_of_every_stream_connect(spark, streams):
         if near:
             want[k] = min(near)[1]
     assert {r.pt: r.LINKNO for r in registry.QUERIES["J7_connect_nodes"](spark, SF).collect()} == want
+
+
+def test_routed_lakes_whose_edges_lie_between_cells(spark, tmp_path):
+    """At 20 cells a row: edges of lakes lie on those of cells, and the SQL counts the cells on both sides."""
+    for name in TABLES:
+        df = spark.read.parquet(f"{SF}/{name}.parquet")
+        (df.where("o_orderkey < 400") if name == "orders" else df).write.parquet(f"{tmp_path}/{name}.parquet")
+    db = duckdb.connect()
+    for name in TABLES:
+        db.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    want = db.execute(f"SELECT lake_id, n, n_to_outlet, outlet FROM ({registry.ORACLE_SQL['R11_paths_to_outlets']})").fetchall()
+    got = registry.QUERIES["R11_paths_to_outlets"](spark, str(tmp_path)).collect()
+    assert want and sorted(map(tuple, got)) == sorted(want)
